@@ -24,7 +24,8 @@ CALENDAR_END = date(2030, 12, 31)
 # Characters after which a name part starts with a capital, besides whitespace.
 NAME_DELIMITERS = "!?@\"^#$&~_,.:;+-*%/|\\[](){}<>"
 
-# Decimal types of money and of USD per unit of a currency.
+# Decimal types of money, of its sums, and of USD per unit of a currency.
 MONEY = "decimal(18,2)"
+TOTAL = "decimal(28,2)"
 PRICE = "decimal(12,2)"
 USD_RATE = "decimal(18,12)"

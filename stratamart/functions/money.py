@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from stratamart.constants import MONEY, USD_RATE
+from stratamart.constants import MONEY, TOTAL, USD_RATE
 
 
 def line_total(quantity: Column | str, unit_price: Column | str) -> Column:
@@ -31,7 +31,7 @@ def to_usd(amount: Column, usd_rate: Column, exact: bool = True) -> Column:
 
 def total(amount: Column | str) -> Column:
     """Sum rounded to cents."""
-    return F.round(F.sum(amount), 2)
+    return F.round(F.sum(amount), 2).cast(TOTAL)
 
 
 def mean(amount: Column | str) -> Column:
@@ -41,4 +41,4 @@ def mean(amount: Column | str) -> Column:
 
 def ratio(numerator: Column, count: Column) -> Column:
     """``numerator / count`` as money; NULL for an empty group instead of an error."""
-    return F.round(numerator.cast("decimal(28,2)") / F.nullif(count, F.lit(0)), 2).cast(MONEY)
+    return F.round(numerator.cast(TOTAL) / F.nullif(count, F.lit(0)), 2).cast(MONEY)

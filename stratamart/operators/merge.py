@@ -10,10 +10,14 @@ from stratamart.operators.latest import latest_by_key
 
 
 def changed_since(df: DataFrame, modified: str, high_water_mark) -> DataFrame:
-    """Rows modified after the mark. The comparison with a literal reaches the source."""
+    """Rows modified after the mark, and rows without a modification time.
+
+    The comparison with a literal reaches the source. Untimed rows count as newest
+    everywhere else, so they are read again each time; an upsert makes that harmless.
+    """
     if high_water_mark is None:
         return df
-    return df.where(F.col(modified) > F.lit(high_water_mark))
+    return df.where(F.col(modified).isNull() | (F.col(modified) > F.lit(high_water_mark)))
 
 
 def high_water_mark(df: DataFrame, modified: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratamart.operators.latest import latest_by_key
@@ -29,8 +29,12 @@ def landed_stream(
 
 
 def without_repeats(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
-    """Drop repeats of a key that arrive within ``lateness``; the state is bounded by it."""
-    return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
+    """Drop repeats of a key that arrive within ``lateness``; the state is bounded by it.
+
+    Watermarks need a zoned timestamp, so a naive UTC time is watermarked as a copy.
+    """
+    timed = stream.withColumn("_event_time", F.col(event_time).cast("timestamp"))
+    return timed.withWatermark("_event_time", lateness).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
 
 def append_log(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
