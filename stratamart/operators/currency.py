@@ -24,18 +24,20 @@ def flatten_fx_payload(payloads: DataFrame, json_col: str, keep: tuple[str, ...]
     any quote fails the job, or yields no row with ``on_empty='drop'``.
     """
     body = F.col("_body")
-    has_quotes = F.coalesce(F.size(body["quotes"]), F.lit(0)) > 0
     base = F.coalesce(F.nullif(body["source"], F.lit("")), body["base"], F.lit(BASE_CURRENCY))
     day = F.coalesce(F.nullif(body["date"], F.lit("")).cast("date"), utc_date(body["timestamp"]))
-    rates = F.when(has_quotes, F.transform_keys(body["quotes"], lambda k, _: drop_prefix(k, base))).otherwise(body["rates"])
+    published = F.when(F.size(body["quotes"]) > 0, body["quotes"]).when(F.size(body["rates"]) > 0, body["rates"])
     if on_empty == "fail":
-        rates = F.when(F.coalesce(F.size(rates), F.lit(0)) > 0, rates).otherwise(
-            F.raise_error(F.lit("fx payload has no rates"))
-        )
-    return (
-        payloads.select(*keep, F.from_json(json_col, _PAYLOAD, {"mode": "FAILFAST"}).alias("_body"))
-        .select(*keep, base.alias("base"), day.alias("rate_date"), F.explode(rates).alias("currency", "rate"))
+        published = published.otherwise(F.raise_error(F.lit("fx payload has no rates")))
+    quotes = payloads.select(*keep, F.from_json(json_col, _PAYLOAD, {"mode": "FAILFAST"}).alias("_body")).select(
+        *keep,
+        base.alias("base"),
+        day.alias("rate_date"),
+        (F.size(body["quotes"]) > 0).alias("_prefixed"),
+        F.explode(published).alias("_key", "rate"),
     )
+    currency = F.when(F.col("_prefixed"), drop_prefix(F.col("_key"), F.col("base"))).otherwise(F.col("_key"))
+    return quotes.select(*keep, "base", "rate_date", currency.alias("currency"), "rate")
 
 
 def latest_fx(rates: DataFrame) -> DataFrame:

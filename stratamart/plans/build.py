@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
@@ -15,6 +14,7 @@ from stratamart.constants import CALENDAR_END, CALENDAR_START
 from stratamart.functions.timestamps import run_timestamp
 from stratamart.operators import quality
 from stratamart.plans import curated, marts, staging
+from stratamart.session import side_by_side
 from stratamart.sources.landing import land_all, latest_run, read_landed_feed, read_landed_parquet
 from stratamart.sources.store import LayerStore
 
@@ -124,12 +124,6 @@ def _timed(run: Run, layer: str, name: str, write: Callable[[], int]) -> tuple:
     return run.run_id, layer, name, rows, time.monotonic() - start, datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _together(jobs: list[Callable[[], tuple]]) -> list[tuple]:
-    """Submit independent Spark jobs at once, so that small ones fill idle executors."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        return [done.result() for done in [pool.submit(job) for job in jobs]]
-
-
 def load_raw(store: LayerStore, landing: str, run: Run, run_id: str | None = None) -> list[tuple]:
     """Replace every raw table by a landed run (the latest one by default)."""
 
@@ -143,7 +137,7 @@ def load_raw(store: LayerStore, landing: str, run: Run, run_id: str | None = Non
             )
         return _timed(run, "raw", dataset, lambda: store.write(df, "raw", dataset, run.run_id))
 
-    return _together([lambda d=dataset: load(d) for dataset in RAW_TABLES])
+    return side_by_side([lambda d=dataset: load(d) for dataset in RAW_TABLES])
 
 
 def build_layers(store: LayerStore, run: Run, layers: tuple[str, ...] = ("staging", "curated", "marts")) -> list[tuple]:
@@ -160,7 +154,7 @@ def build_layers(store: LayerStore, run: Run, layers: tuple[str, ...] = ("stagin
     for step in STEPS:
         due = [table for table in step if table.layer in layers]
         if due:
-            log += _together([lambda t=table: build(t) for table in due])
+            log += side_by_side([lambda t=table: build(t) for table in due])
     return log
 
 

@@ -123,12 +123,12 @@ def stg_fx_rates(raw: DataFrame) -> DataFrame:
     )
     columns = ["base_currency", "rate_date", "target_currency", "rate", "usd_per_unit"]
     quoted = (
-        latest_by_key(typed, ["target_currency", "rate_date"], ["_load_ts"], ["rate", "base_currency"])
+        latest_by_key(typed, ["rate_date", "target_currency"], ["_load_ts"], ["rate", "base_currency"])
         .withColumn("usd_per_unit", usd_per_unit("rate"))
         .select(*columns)
     )
-    # Every (currency, day) survives the dedupe, so the last day needs no dedupe to find.
-    own = typed.agg(F.max("rate_date").alias("rate_date")).select(
+    # Reads the same columns as the dedupe, so Spark runs that shuffle once for both.
+    own = quoted.agg(F.max("rate_date").alias("rate_date")).select(
         F.lit(BASE_CURRENCY).alias("base_currency"),
         "rate_date",
         F.lit(BASE_CURRENCY).alias("target_currency"),

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +24,18 @@ _RUNTIME_CONF = {
 }
 
 
+Result = TypeVar("Result")
+
+
+def side_by_side(jobs: Sequence[Callable[[], Result]]) -> list[Result]:
+    """Submit independent Spark jobs at once, so that small ones fill idle executors.
+
+    Results come in the order of the jobs; the first failure is raised.
+    """
+    with ThreadPoolExecutor(max(len(jobs), 1)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to an existing session."""
     for key, value in _RUNTIME_CONF.items():

@@ -7,6 +7,7 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from stratamart.functions.timestamps import from_epoch_micros, run_timestamp
+from stratamart.session import side_by_side
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -34,13 +35,14 @@ def land_json(df: DataFrame, landing: str, dataset: str, run_id: str) -> int:
 
 
 def land_all(frames: Mapping[str, DataFrame], feeds: Collection[str], landing: str, run_id: str) -> dict[str, dict]:
-    """Land every dataset; return ``{dataset: {path, row_count}}``."""
-    manifest = {}
-    for dataset, df in frames.items():
-        land = land_json if dataset in feeds else land_parquet
-        rows = land(df, landing, dataset, run_id)
-        manifest[dataset] = {"path": f"{landing}/{dataset}/run_id={run_id}", "row_count": rows}
-    return manifest
+    """Land every dataset of a run, side by side; return ``{dataset: {path, row_count}}``."""
+
+    def land(dataset: str) -> dict:
+        write = land_json if dataset in feeds else land_parquet
+        rows = write(frames[dataset], landing, dataset, run_id)
+        return {"path": f"{landing}/{dataset}/run_id={run_id}", "row_count": rows}
+
+    return dict(zip(frames, side_by_side([lambda d=dataset: land(d) for dataset in frames])))
 
 
 def latest_run(spark: SparkSession, landing: str, dataset: str) -> str:

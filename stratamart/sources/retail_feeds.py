@@ -106,8 +106,8 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def product_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue objects ``(load, _load_ts, json)``, two loads of each product; some are unrated."""
+def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue objects ``(load, _load_ts, p_partkey, product)``, two loads of each; some are unrated."""
     load = F.col("load")
     rating = F.struct(
         (F.col("p_size") / 10).alias("rate"),
@@ -124,13 +124,18 @@ def product_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     loads = F.array(*map(_ntz, _CATALOGUE_LOADS))
     return table(spark, sf_dir, "part").select("*", F.posexplode(loads).alias("load", "_load_ts")).select(
-        "load", "_load_ts", "p_partkey", F.to_json(product).alias("json")
+        "load", "_load_ts", "p_partkey", product.alias("product")
     )
 
 
+def product_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue as JSON text ``(load, p_partkey, json)``."""
+    return _products(spark, sf_dir).select("load", "p_partkey", F.to_json("product").alias("json"))
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return product_objects(spark, sf_dir).select(
-        F.parse_json("json").alias("raw_data"), *_lineage(F.col("_load_ts"), "products")
+    return _products(spark, sf_dir).select(
+        F.to_variant_object("product").alias("raw_data"), *_lineage(F.col("_load_ts"), "products")
     )
 
 
@@ -160,8 +165,8 @@ def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flattened payloads as variant rows."""
     flat = flatten_fx_payload(fx_payloads(spark, sf_dir), "payload", keep=("_load_ts",))
-    row = F.to_json(F.struct("base", "rate_date", "currency", "rate"))
-    return flat.select(F.parse_json(row).alias("raw_data"), *_lineage(F.col("_load_ts"), "fx_rates"))
+    row = F.to_variant_object(F.struct("base", "rate_date", "currency", "rate"))
+    return flat.select(row.alias("raw_data"), *_lineage(F.col("_load_ts"), "fx_rates"))
 
 
 RAW = {
