@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stratamart.constants import PRICE
-from stratamart.operators.currency import flatten_fx_payload
 
 # Fixed values of the mapping.
 _FIRST_DAY = "1995-01-01"
@@ -139,19 +138,25 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(payload json, _load_ts)``: one rate publication per event, in one of four forms."""
+def _quotes() -> dict[str, Column]:
+    """Rate of each currency as an event publishes it."""
     spread = F.col("event_id") * 37 + F.col("user_id")
-    rate = {c: (F.lit(low) + spread % width) / 10_000 for c, (low, width) in _RATES.items()}
-    day = F.date_add(_first_day(), (F.col("event_id") % _RATE_DAYS).cast("int"))
-    kind = F.col("event_type")
+    return {code: (F.lit(low) + spread % width) / 10_000 for code, (low, width) in _RATES.items()}
+
+
+def _rate_day() -> Column:
+    return F.date_add(_first_day(), (F.col("event_id") % _RATE_DAYS).cast("int"))
+
 
-    quotes = F.create_map(*[x for c, r in rate.items() for x in (F.lit("USD" + c), r)])
-    plain = F.create_map(*[x for c, r in rate.items() for x in (F.lit(c.lower()), r)])
+def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(payload json, _load_ts)``: one rate publication per event, in one of four forms."""
+    day, kind = _rate_day(), F.col("event_type")
+    quotes = F.create_map(*[x for code, rate in _quotes().items() for x in (F.lit("USD" + code), rate)])
+    plain = F.create_map(*[x for code, rate in _quotes().items() for x in (F.lit(code.lower()), rate)])
     no_quotes = kind.isin("error", "click")
     payload = F.struct(
         F.when(kind == "view", "USD").when(kind == "click", "").alias("source"),
-        F.when(kind.isin("click", "error"), "USD").alias("base"),
+        F.when(no_quotes, "USD").alias("base"),
         F.when(kind != "view", day.cast("string")).alias("date"),
         F.when(kind == "view", F.unix_date(day).cast("bigint") * 86_400 + 3_600).alias("timestamp"),
         F.when(~no_quotes, quotes).when(kind == "click", F.map_filter(quotes, lambda k, v: F.lit(False))).alias("quotes"),
@@ -163,8 +168,17 @@ def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flattened payloads as variant rows."""
-    flat = flatten_fx_payload(fx_payloads(spark, sf_dir), "payload", keep=("_load_ts",))
+    """The published rates as variant rows, the same ones the payloads hold."""
+    lower = F.col("event_type").isin("error", "click")
+    rates = F.array(
+        *[
+            F.struct(F.when(lower, code.lower()).otherwise(code).alias("currency"), rate.alias("rate"))
+            for code, rate in _quotes().items()
+        ]
+    )
+    flat = table(spark, sf_dir, "events").select(
+        F.lit("USD").alias("base"), _rate_day().alias("rate_date"), F.inline(rates), F.col("ts").cast("timestamp_ntz").alias("_load_ts")
+    )
     row = F.to_variant_object(F.struct("base", "rate_date", "currency", "rate"))
     return flat.select(row.alias("raw_data"), *_lineage(F.col("_load_ts"), "fx_rates"))
 
