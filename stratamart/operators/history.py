@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from stratamart.functions.timestamps import to_epoch_micros
 
 DAY_MICROS = 86_400_000_000
+_UNTIMED = -(2**63)
 
 
 def _bucket_edges(df: DataFrame, keys: Sequence[str], value: Column, pick, order: Column, neighbour) -> DataFrame:
@@ -32,12 +33,15 @@ def scd2(
     run inside time buckets of a key, so one busy key is spread over its buckets;
     what crosses a bucket border is one edge row per key and bucket, aggregated
     before its shuffle. Choose the bucket so that the rows of one key within it
-    fit a task.
+    fit a task. Rows without a key have no history; an untimed row comes first.
     """
     order = [changed_at, *tiebreak]
     moment = F.struct(*order)
-    rows = df.withColumn("_bucket", F.floor(to_epoch_micros(changed_at) / bucket_micros)).withColumn(
-        "_state", F.struct(*state)
+    bucket = F.floor(to_epoch_micros(changed_at) / bucket_micros)
+    rows = (
+        df.dropna(subset=list(keys))
+        .withColumn("_bucket", F.coalesce(bucket, F.lit(_UNTIMED)))
+        .withColumn("_state", F.struct(*state))
     )
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     cell = [*keys, "_bucket"]

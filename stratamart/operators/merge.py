@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.operators.latest import latest_by_key
+from stratamart.operators.lookups import BROADCAST_ROWS, pin
 
 
 def changed_since(df: DataFrame, modified: str, high_water_mark) -> DataFrame:
@@ -31,15 +32,19 @@ def upsert(
     keys: Sequence[str],
     order: Sequence[str],
     tiebreak: Sequence[str] = (),
+    max_keys: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Apply a change set to a keyed table; a change older than the row it meets loses.
 
-    Only rows whose key occurs in the change set are compared. The rest pass
-    through a semi/anti join on the distinct changed keys, so with a change set
-    small enough for Spark to broadcast the target is scanned but never shuffled.
+    The distinct changed keys are written once and counted. Up to ``max_keys`` they
+    are broadcast: only rows with a changed key are compared, and the rest of the
+    target passes through without a shuffle. Beyond that, target and changes go
+    through one shuffle together.
     """
     changes = changes.select(*target.columns).dropna(subset=list(keys))
-    changed_keys = changes.select(*keys).distinct()
-    contested = target.join(changed_keys, list(keys), "left_semi").unionByName(changes)
-    untouched = target.join(changed_keys, list(keys), "left_anti")
+    changed_keys, count = pin(changes.select(*keys).distinct(), "changed-keys")
+    if count > max_keys:
+        return latest_by_key(target.unionByName(changes), keys, order, tiebreak)
+    contested = target.join(F.broadcast(changed_keys), list(keys), "left_semi").unionByName(changes)
+    untouched = target.join(F.broadcast(changed_keys), list(keys), "left_anti")
     return untouched.unionByName(latest_by_key(contested, keys, order, tiebreak))

@@ -47,8 +47,8 @@ class LayerStore:
         return counter.get["rows"]
 
     def append(self, df: DataFrame, layer: str, table: str) -> int:
-        """Add rows to a table kept across runs."""
-        counter, path = Observation(), f"{self.root}/{layer}/{table}/log"
+        """Add rows to a small table kept across runs."""
+        counter, path = Observation(), self._log(layer, table)
         df.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
         if self.exists(layer, table):
             self.spark.catalog.refreshTable(self.name(layer, table))
@@ -56,6 +56,30 @@ class LayerStore:
             self._create(layer, table, path)
         return counter.get["rows"]
 
+    def append_run(self, df: DataFrame, layer: str, table: str, run_id: str) -> int:
+        """Add a run to a table that keeps every run, as the partition ``_run`` of its own.
+
+        Repeating a run replaces its partition, so a retried load adds nothing twice.
+        """
+        counter, path = Observation(), self._log(layer, table)
+        df.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{path}/_run={run_id}")
+        if not self.exists(layer, table):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+            self.spark.sql(
+                f"CREATE TABLE {self.name(layer, table)} ({columns}, `_run` STRING) USING parquet "
+                f"PARTITIONED BY (`_run`) LOCATION '{path}'"
+            )
+        self.spark.sql(f"ALTER TABLE {self.name(layer, table)} ADD IF NOT EXISTS PARTITION (`_run` = '{run_id}')")
+        self.spark.catalog.refreshTable(self.name(layer, table))
+        return counter.get["rows"]
+
+    def _log(self, layer: str, table: str) -> str:
+        """Folder of a table that is added to; one that runs replace cannot be added to."""
+        path = f"{self.root}/{layer}/{table}/log"
+        if self.exists(layer, table) and not self.location(layer, table).endswith("/log"):
+            raise ValueError(f"{layer}.{table} is replaced by each run; reset it before keeping history")
+        return path
+
     def location(self, layer: str, table: str) -> str:
         """Folder the table points at now."""
         rows = self.spark.sql(f"DESCRIBE FORMATTED {self.name(layer, table)}")

@@ -166,7 +166,7 @@ def spells_by_hand(events):
     for user, ts, number, state in events:
         by_user[user].append((ts, number, state))
     for user, history in by_user.items():
-        history.sort()
+        history.sort(key=lambda e: (e[0] or datetime.min, e[1]))
         changes = [e for i, e in enumerate(history) if i == 0 or history[i - 1][2] != e[2]]
         for here, after in zip(changes, changes[1:] + [None]):
             result[user, here[1]] = (here[0], after and after[0], after is None)
@@ -181,7 +181,8 @@ def test_scd2_equals_a_pass_per_key_with_a_hot_key(spark, bucket):
         (dice.choice([0, 0, 0, 1, 2, 3]), start + timedelta(minutes=dice.randrange(8_000)), i, dice.choice([None, "a", "b"]))
         for i in range(1_500)
     ]
-    df = spark.createDataFrame(events, "user int, ts timestamp_ntz, id int, state string")
+    events.append((0, None, 5_000, "a"))
+    df = spark.createDataFrame([*events, (None, start, 5_001, "a")], "user int, ts timestamp_ntz, id int, state string")
     found = scd2(df, ["user"], "ts", ["state"], ["id"], bucket)
     assert {(r.user, r.id): (r.valid_from, r.valid_to, r.is_current) for r in found.collect()} == spells_by_hand(events)
 
@@ -207,8 +208,11 @@ def test_upsert(spark):
     changes = spark.createDataFrame([(2, 4, "late"), (3, 2, "mid"), (3, 3, "new"), (4, 1, "insert"), (None, 9, "no key")], schema)
     merged = upsert(target, changes, ["id"], ["m"], ["v"])
     assert rows(merged, "id") == [(1, 1, "keep"), (2, 5, "newer"), (3, 3, "new"), (4, 1, "insert")]
+    assert plan(merged).count("BroadcastHashJoin") == 2
     again = upsert(merged, changes, ["id"], ["m"], ["v"])
     assert rows(again, "id") == rows(merged, "id")
+    beyond = upsert(target, changes, ["id"], ["m"], ["v"], max_keys=1)
+    assert "BroadcastHashJoin" not in plan(beyond) and rows(beyond, "id") == rows(merged, "id")
 
 
 # --- quality

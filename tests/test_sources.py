@@ -164,6 +164,42 @@ def test_full_build_is_repeatable(spark, store):
     assert store.read("curated", "fct_orders").select("fx_rate_to_usd").distinct().count() > 6
 
 
+def test_raw_history_is_added_once_per_run(spark, store):
+    df = spark.sql("""SELECT 1L AS id, parse_json('{"a": 1}') AS raw_data""")
+    assert store.append_run(df, "raw", "p", "20240101T000000") == 1
+    assert store.append_run(df.unionAll(df), "raw", "p", "20240102T000000") == 2
+    assert store.append_run(df.unionAll(df), "raw", "p", "20240102T000000") == 2
+    assert rows(store.read("raw", "p").groupBy("_run").count(), "_run") == [("20240101T000000", 1), ("20240102T000000", 2)]
+    store.write(df, "raw", "q", "r1")
+    with pytest.raises(ValueError, match="replaced by each run"):
+        store.append_run(df, "raw", "q", "r2")
+
+
+def test_incremental_runs_end_like_a_full_run(spark, store, tmp_path):
+    d = "/root/testdata/sf0.001"
+    sources = queries._feed_sources(spark, d)
+    mark = F.lit("1999-01-01").cast("timestamp_ntz")
+    early = {**sources, **{t: sources[t].where(F.col(c).isNull() | (F.col(c) <= mark)) for t, c in build.CHANGED_AT.items()}}
+
+    def run(number):
+        return build.Run(run_id=f"2024010{number}T000000", run_ts=f"2024-01-0{number} 00:00:00", as_of=date(2024, 1, 1),
+                         calendar_start=date(1995, 1, 1), calendar_end=date(2001, 12, 31))
+
+    build.run_changes(store, early, f"{store.root}/landing", run(1))
+    log = build.run_changes(store, sources, f"{store.root}/landing", run(2))
+    added = {r.table_name: r.row_count for r in log.where("layer = 'raw'").collect()}
+    assert 0 < added["orders"] < sources["orders"].count()
+    assert added["orders"] == sources["orders"].where(F.col("modified_at") > mark).count()
+
+    full = LayerStore(spark, str(tmp_path / "full"), store.prefix + "f_")
+    build.run_all(full, sources, f"{full.root}/landing", run(2))
+    for table in ("revenue_by_category", "revenue_by_country", "customer_segment_kpis"):
+        assert sorted(map(str, store.read("marts", table).drop("_last_built_at").collect())) == sorted(
+            map(str, full.read("marts", table).drop("_last_built_at").collect())
+        )
+    full.reset()
+
+
 # --- streams
 
 EVENT = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("v", T.StringType())])
