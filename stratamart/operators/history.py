@@ -2,21 +2,73 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratamart.functions.timestamps import to_epoch_micros
+from stratamart.operators.lookups import BROADCAST_ROWS, lookup_join, pin
 
-DAY_MICROS = 86_400_000_000
-_UNTIMED = -(2**63)
+# Rows of one key that a task may sort; a key with more is cut along its time line.
+ROWS_PER_TASK = 5_000_000
 
 
-def _bucket_edges(df: DataFrame, keys: Sequence[str], value: Column, pick, order: Column, neighbour) -> DataFrame:
-    """Per key and time bucket the edge value of the neighbouring non-empty bucket."""
-    edges = df.groupBy(*keys, "_bucket").agg(pick(value, order).alias("_own"))
-    by_time = Window.partitionBy(*keys).orderBy("_bucket")
-    return edges.select(*keys, "_bucket", neighbour("_own").over(by_time).alias("_edge"))
+def _stretches(rows: DataFrame, keys: Sequence[str], changed_at: str, rows_per_task: int) -> DataFrame | None:
+    """Add ``_stretch``, which cuts the time line of each hot key; None when no key is hot.
+
+    Rows per key are counted with partial sums. For hot keys alone, approximate
+    quantiles of the time give cuts that leave about equal numbers of rows, however
+    unevenly the rows lie in time.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_task)
+    hot, number = pin(counts, "hot-keys")
+    if number == 0:
+        return None
+    pieces = math.ceil(hot.agg(F.max("_rows")).first()[0] / rows_per_task)
+    chosen = hot.select(*keys)
+    hot_rows = rows.join(F.broadcast(chosen) if number <= BROADCAST_ROWS else chosen, list(keys), "left_semi")
+    moment = to_epoch_micros(changed_at)
+    accuracy = max(10_000, 4 * pieces)
+    cuts = hot_rows.groupBy(*keys).agg(
+        F.percentile_approx(moment, [i / pieces for i in range(1, pieces)], accuracy).alias("_cuts")
+    )
+    # Every step-th cut is tried first, then the cuts up to the next of those.
+    step = math.isqrt(pieces) + 1
+    cuts = cuts.withColumn("_coarse", F.filter("_cuts", lambda _, i: (i + 1) % step == 0))
+    passed = F.size(F.filter("_coarse", lambda cut: cut < moment)) * step
+    passed += F.size(F.filter(F.slice("_cuts", passed + 1, F.lit(step)), lambda cut: cut < moment))
+    joined = lookup_join(rows, cuts, keys, max_rows=BROADCAST_ROWS // pieces)
+    return joined.withColumn(
+        "_stretch", F.when(F.col("_cuts").isNotNull(), passed).otherwise(0)
+    ).drop("_cuts", "_coarse")
+
+
+def _across(
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    neighbour: Callable[[Column | str], Column],
+    edge: Callable[[Column, Column], Column],
+    name: str,
+) -> DataFrame:
+    """Add the neighbouring row's ``value`` where keys may be cut into stretches.
+
+    The window runs within a stretch. A row at its border takes the edge value of
+    the next non-empty stretch, of which one aggregated row per stretch is kept.
+    """
+    cell = [*keys, "_stretch"]
+    within = Window.partitionBy(*cell).orderBy(*order)
+    edges = rows.groupBy(*cell).agg(edge(value, F.struct(*order)).alias("_own"))
+    beyond = edges.select(*cell, neighbour("_own").over(Window.partitionBy(*keys).orderBy("_stretch")).alias("_beyond"))
+    return (
+        rows.withColumn("_inside", neighbour(value).over(within))
+        .withColumn("_border", neighbour(F.lit(1)).over(within).isNull())
+        .join(beyond, cell)
+        .withColumn(name, F.when(F.col("_border"), F.col("_beyond")).otherwise(F.col("_inside")))
+        .drop("_inside", "_border", "_beyond")
+    )
 
 
 def scd2(
@@ -25,43 +77,26 @@ def scd2(
     changed_at: str,
     state: Sequence[str],
     tiebreak: Sequence[str] = (),
-    bucket_micros: int = DAY_MICROS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``valid_from``, ``valid_to`` and ``is_current`` to the rows that change the state.
 
-    A row that repeats the previous state of its key opens no new spell. Windows
-    run inside time buckets of a key, so one busy key is spread over its buckets;
-    what crosses a bucket border is one edge row per key and bucket, aggregated
-    before its shuffle. Choose the bucket so that the rows of one key within it
-    fit a task. Rows without a key have no history; an untimed row comes first.
+    A row that repeats the previous state of its key opens no new spell. Rows
+    without a key have no history; an untimed row comes first. Keys with more than
+    ``rows_per_task`` rows are cut into stretches of time that are worked on apart.
     """
     order = [changed_at, *tiebreak]
-    moment = F.struct(*order)
-    bucket = F.floor(to_epoch_micros(changed_at) / bucket_micros)
-    rows = (
-        df.dropna(subset=list(keys))
-        .withColumn("_bucket", F.coalesce(bucket, F.lit(_UNTIMED)))
-        .withColumn("_state", F.struct(*state))
-    )
-    in_bucket = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    cell = [*keys, "_bucket"]
+    rows = df.dropna(subset=list(keys)).withColumn("_state", F.struct(*state))
+    cut = _stretches(rows, keys, changed_at, rows_per_task)
+    if cut is None:
+        timeline = Window.partitionBy(*keys).orderBy(*order)
+        before = rows.withColumn("_before", F.lag("_state").over(timeline))
+    else:
+        before = _across(cut, keys, order, F.col("_state"), F.lag, F.max_by, "_before")
 
-    before = _bucket_edges(rows, keys, F.col("_state"), F.max_by, moment, F.lag)
-    changes = (
-        rows.withColumn("_previous", F.lag("_state").over(in_bucket))
-        .withColumn("_first", F.row_number().over(in_bucket) == 1)
-        .join(before, cell)
-        .withColumn("_previous", F.when(F.col("_first"), F.col("_edge")).otherwise(F.col("_previous")))
-        .where(~F.col("_previous").eqNullSafe(F.col("_state")))
-        .drop("_edge", "_first", "_previous", "_state")
-    )
-
-    after = _bucket_edges(changes, keys, F.col(changed_at), F.min_by, moment, F.lead)
-    return (
-        changes.withColumn("_next", F.lead(changed_at).over(in_bucket))
-        .join(after, cell)
-        .withColumn("valid_from", F.col(changed_at))
-        .withColumn("valid_to", F.coalesce("_next", "_edge"))
-        .withColumn("is_current", F.col("valid_to").isNull())
-        .drop("_bucket", "_next", "_edge")
-    )
+    changes = before.where(~F.col("_before").eqNullSafe(F.col("_state"))).drop("_before", "_state")
+    if cut is None:
+        spells = changes.withColumn("valid_to", F.lead(changed_at).over(timeline))
+    else:
+        spells = _across(changes, keys, order, F.col(changed_at), F.lead, F.min_by, "valid_to").drop("_stretch")
+    return spells.withColumn("valid_from", F.col(changed_at)).withColumn("is_current", F.col("valid_to").isNull())

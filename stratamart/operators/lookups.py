@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from stratamart.session import shared_dir
 
@@ -32,7 +32,8 @@ def salted_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
     The salt is a hash of the fact row, not a random number, so a re-run task
     sends its rows to the same partitions.
     """
-    spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
+    hashed = [f.name for f in facts.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
 

@@ -128,6 +128,13 @@ def _timed(run: Run, layer: str, name: str, write: Callable[[], int]) -> tuple:
     return run.run_id, layer, name, rows, time.monotonic() - start, datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def create_raw_tables(store: LayerStore) -> None:
+    """Declare the layers and their raw tables, typed or variant, before the first load."""
+    store.create_layers()
+    for name in RAW_TABLES:
+        store.create_empty("raw", name, schemas.raw_table(name))
+
+
 def load_raw(store: LayerStore, landing: str, run: Run, run_id: str | None = None) -> list[tuple]:
     """Load a landed run (the latest one by default) into every raw table.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stratamart.constants import CALENDAR_END, CALENDAR_START, RATING_BUCKETS, RATING_REST
 from stratamart.functions.calendar import calendar_columns
@@ -32,12 +32,10 @@ def dim_customer(stg_customers: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def rating_bucket(rating: str):
+def rating_bucket(rating: str) -> Column:
     """Label of a rating; a missing one falls into the rest."""
-    bucket = F
-    for lower, label in RATING_BUCKETS:
-        bucket = bucket.when(F.col(rating) >= lower, label)
-    return bucket.otherwise(RATING_REST)
+    labels = [F.when(F.col(rating) >= lower, label) for lower, label in RATING_BUCKETS]
+    return F.coalesce(*labels, F.lit(RATING_REST))
 
 
 def dim_product(stg_products: DataFrame) -> DataFrame:

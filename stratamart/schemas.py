@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from stratamart.constants import PRICE
 
-_PRICE = T.DecimalType(*map(int, PRICE.removeprefix("decimal(").removesuffix(")").split(",")))
+_PRICE = T.DataType.fromDDL(PRICE)
 
 
 def _struct(**columns: T.DataType) -> T.StructType:

@@ -308,7 +308,7 @@ def top20_country_revenue(spark, d):
 @query
 def top_category_last_month(spark, d):
     """Categories of the month before the last order day."""
-    as_of = _order_days(spark, d).agg(F.max("day"))
+    as_of = _order_days(spark, d).agg(F.max("day")).first()[0]
     return marts.top_categories_since(_fct_items(spark, d), _dim_product(spark, d), _dim_date(spark, d), as_of)
 
 
@@ -373,7 +373,7 @@ def lineage_trace(spark, d):
     return quality.trace_key(steps, raw.agg(F.min("customer_id")), names)
 
 
-def _feed_sources(spark, d) -> dict[str, DataFrame]:
+def feed_sources(spark, d) -> dict[str, DataFrame]:
     """The five sources as an extract delivers them: three tables and two JSON feeds."""
     lineage = ("_load_ts", "_source_file")
     sources = {name: feeds.RAW[name](spark, d).drop(*lineage) for name in schemas.RELATIONAL}
@@ -387,7 +387,7 @@ def built_store(spark, d) -> tuple[LayerStore, DataFrame]:
     store = LayerStore(spark, shared_dir(spark, "layers"), f"s{uuid.uuid4().hex[:8]}_")
     days = _order_days(spark, d).agg(F.min("day"), F.max("day")).first()
     run = build.Run(run_id="20020102T000000", run_ts=RUN_TS, as_of=AS_OF, calendar_start=days[0], calendar_end=days[1])
-    return store, build.run_all(store, _feed_sources(spark, d), f"{store.root}/landing", run)
+    return store, build.run_all(store, feed_sources(spark, d), f"{store.root}/landing", run)
 
 
 def _report(spark, d, make: Callable[[LayerStore, DataFrame], DataFrame]) -> DataFrame:

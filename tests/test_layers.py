@@ -206,7 +206,7 @@ def test_category_revenue(spark, world):
     ]
     outside = curated.dim_date(spark, date(2030, 1, 1), date(2030, 1, 2))
     assert marts.revenue_by_category(facts, products, outside).count() == 0
-    recent = marts.top_categories_since(facts, products, days, spark.createDataFrame([(date(2024, 2, 1),)], "d date"))
+    recent = marts.top_categories_since(facts, products, days, date(2024, 2, 1))
     assert [tuple(r) for r in recent.collect()] == [("A", 3, 4, D("16.99")), ("B", 1, 1, D("7.50"))]
     assert marts.top_categories_since(facts, products, days).count() == 0  # nothing in the last month before today
 
@@ -234,6 +234,15 @@ def test_segment_kpis_count_inactive_customers(spark, world):
 # --- plans
 
 
+def test_recent_categories_skip_old_facts(spark, world, tmp_path):
+    orders, items, rates = world
+    curated.fct_order_items(items, orders, rates).write.parquet(str(tmp_path / "facts"))
+    products = spark.createDataFrame([(1, "A")], "product_sk bigint, category string")
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    text = plan(marts.top_categories_since(facts, products, curated.dim_date(spark), date(2024, 2, 1)))
+    assert "GreaterThanOrEqual(order_date,2024-01-01)" in text
+
+
 def test_facts_are_not_shuffled_by_currency(spark, world, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     orders, _, rates = world

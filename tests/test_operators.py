@@ -9,7 +9,7 @@ from conftest import executed_plan, plan, rows
 from stratamart.constants import LAYERS
 from stratamart.operators import quality
 from stratamart.operators.currency import flatten_fx_payload, latest_fx, with_fx_as_of, with_latest_fx
-from stratamart.operators.history import scd2
+from stratamart.operators.history import _stretches, scd2
 from stratamart.operators.latest import latest_by_key
 from stratamart.operators.lookups import lookup_join, pin, salted_join
 from stratamart.operators.merge import changed_since, high_water_mark, upsert
@@ -173,8 +173,8 @@ def spells_by_hand(events):
     return result
 
 
-@pytest.mark.parametrize("bucket", [3_600_000_000, 86_400_000_000, 10**15])
-def test_scd2_equals_a_pass_per_key_with_a_hot_key(spark, bucket):
+@pytest.mark.parametrize("rows_per_task", [20, 300, 10**6])
+def test_scd2_equals_a_pass_per_key_with_a_hot_key(spark, rows_per_task):
     dice = random.Random(7)
     start = datetime(2024, 1, 1)
     events = [
@@ -183,10 +183,26 @@ def test_scd2_equals_a_pass_per_key_with_a_hot_key(spark, bucket):
     ]
     events.append((0, None, 5_000, "a"))
     df = spark.createDataFrame([*events, (None, start, 5_001, "a")], "user int, ts timestamp_ntz, id int, state string")
-    found = scd2(df, ["user"], "ts", ["state"], ["id"], bucket)
+    found = scd2(df, ["user"], "ts", ["state"], ["id"], rows_per_task)
     assert {(r.user, r.id): (r.valid_from, r.valid_to, r.is_current) for r in found.collect()} == spells_by_hand(events)
 
 
+def test_scd2_cuts_a_burst_evenly(spark):
+    """A hot key whose rows crowd into one second is still cut into small stretches."""
+    start = datetime(2024, 1, 1)
+    df = spark.range(4_000).select(
+        F.lit(1).alias("user"),
+        F.timestamp_add("MICROSECOND", F.when(F.col("id") < 100, F.col("id") * 10**9).otherwise(F.lit(10**11) + F.col("id")),
+                        F.lit(start).cast("timestamp_ntz")).alias("ts"),
+        (F.col("id") % 3).alias("state"),
+    )
+    cut = _stretches(df, ["user"], "ts", 500)
+    assert cut.groupBy("_stretch").count().agg(F.max("count")).first()[0] <= 600
+    spells = scd2(df, ["user"], "ts", ["state"], rows_per_task=500)
+    assert spells.count() == 4_000 and spells.where("is_current").count() == 1
+    assert spells.where("valid_to <= valid_from").count() == 0
+
+
 # --- increments
 
 

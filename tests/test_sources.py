@@ -125,6 +125,12 @@ def test_schema_change_and_variants(spark, store):
     assert store.read("raw", "p").columns == ["raw_data"]
 
 
+def test_raw_tables_can_be_declared_first(spark, store):
+    build.create_raw_tables(store)
+    for name in build.RAW_TABLES:
+        assert store.read("raw", name).schema.simpleString() == schemas.raw_table(name).simpleString()
+
+
 def test_append_and_reset(spark, store):
     store.append(spark.range(2), "metadata", "log")
     store.append(spark.range(3), "metadata", "log")
@@ -146,7 +152,7 @@ def test_watermarks(spark, store):
 
 def test_full_build_is_repeatable(spark, store):
     d = "/root/testdata/sf0.001"
-    sources = queries._feed_sources(spark, d)
+    sources = queries.feed_sources(spark, d)
     results = []
     for run_id in ("20240101T000000", "20240102T000000"):
         run = build.Run(run_id=run_id, run_ts="2024-01-01 00:00:00", as_of=date(2024, 1, 1), calendar_start=date(1995, 1, 1), calendar_end=date(2001, 12, 31))
@@ -177,7 +183,7 @@ def test_raw_history_is_added_once_per_run(spark, store):
 
 def test_incremental_runs_end_like_a_full_run(spark, store, tmp_path):
     d = "/root/testdata/sf0.001"
-    sources = queries._feed_sources(spark, d)
+    sources = queries.feed_sources(spark, d)
     mark = F.lit("1999-01-01").cast("timestamp_ntz")
     early = {**sources, **{t: sources[t].where(F.col(c).isNull() | (F.col(c) <= mark)) for t, c in build.CHANGED_AT.items()}}
 
