@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from stratamart.constants import PRICE
-
-_PRICE = T.DataType.fromDDL(PRICE)
+_PRICE = T.DecimalType(12, 2)  # the type ``constants.PRICE`` names
 
 
 def _struct(**columns: T.DataType) -> T.StructType:
