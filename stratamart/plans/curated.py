@@ -103,7 +103,10 @@ def fct_order_items(
     exact: bool = True,
     as_of_order_date: bool = False,
 ) -> DataFrame:
-    """One row per order item, priced in USD with the currency of its order."""
+    """One row per order item, priced in USD with the currency of its order.
+
+    As for the staged items, pass the orders as a stored table.
+    """
     header = stg_orders.select("order_id", "customer_id", "order_date", "currency_code", "shipping_country")
     rate = F.col("usd_per_unit")
     return _priced_orders(stg_order_items.join(header, "order_id"), stg_fx, as_of_order_date).select(

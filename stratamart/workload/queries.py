@@ -59,8 +59,13 @@ def _orders(spark, d) -> DataFrame:
     return staging.stg_orders(feeds.raw_orders(spark, d), RUN_TS)
 
 
+def _stored_orders(spark, d) -> DataFrame:
+    """Staged orders as a written table, the form in which items are joined to them."""
+    return pin(_orders(spark, d), "stg-orders")[0]
+
+
 def _items(spark, d) -> DataFrame:
-    return staging.stg_order_items(feeds.raw_order_items(spark, d), _orders(spark, d), RUN_TS)
+    return staging.stg_order_items(feeds.raw_order_items(spark, d), _stored_orders(spark, d), RUN_TS)
 
 
 def _customers(spark, d) -> DataFrame:
@@ -88,7 +93,7 @@ def _fct_items(spark, d) -> DataFrame:
     items = staging.clean_order_items(feeds.raw_order_items(spark, d)).withColumn(
         "_stg_load_ts", F.lit(RUN_TS).cast("timestamp_ntz")
     )
-    return curated.fct_order_items(items, _orders(spark, d), _fx(spark, d))
+    return curated.fct_order_items(items, _stored_orders(spark, d), _fx(spark, d))
 
 
 def _dim_product(spark, d) -> DataFrame:
@@ -331,7 +336,10 @@ def dq_orphan_items(spark, d):
 def dq_unstaged_items(spark, d):
     """Clean items whose order was not staged."""
     return quality.orphan_count(
-        staging.clean_order_items(feeds.raw_order_items(spark, d)), _orders(spark, d), ["order_id"], "unstaged_items"
+        staging.clean_order_items(feeds.raw_order_items(spark, d)),
+        _stored_orders(spark, d),
+        ["order_id"],
+        "unstaged_items",
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import executed_plan, plan, rows
 from stratamart import schemas
+from stratamart.operators.lookups import pin
 from stratamart.plans import curated, marts, staging
 
 T0, T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
@@ -256,8 +257,8 @@ def test_no_plan_needs_python(spark, world):
         assert "Python" not in plan(df)
 
 
-def test_hot_order_is_split(spark, conf):
-    """With most items in one order the join is split by AQE and stays right."""
+@pytest.fixture
+def small_skew(conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
@@ -265,16 +266,45 @@ def test_hot_order_is_split(spark, conf):
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
     )
-    orders = spark.range(200).select(
-        F.col("id").alias("order_id"), F.col("id").alias("customer_id"), F.lit(DAY).alias("order_date"),
-        F.lit("USD").alias("currency_code"), F.lit("DE").alias("shipping_country"),
+
+
+def hot_items(spark):
+    """Raw items, two thirds of which belong to one order and to one product."""
+    n = F.col("id")
+    hot = n % 3 > 0
+    return spark.range(0, 60_000, 1, 8).select(
+        n.alias("order_item_id"), F.when(hot, 7).otherwise(n % 200).alias("order_id"),
+        F.when(hot, 3).otherwise(n % 50).alias("product_id"), F.lit(1).cast("bigint").alias("quantity"),
+        F.lit(D("1.00")).alias("unit_price"), F.lit(T0).cast("timestamp_ntz").alias("created_at"),
+        F.lit(T0).cast("timestamp_ntz").alias("_load_ts"), F.lit("f").alias("_source_file"),
     )
-    items = spark.range(0, 60_000, 1, 8).select(
-        F.col("id").alias("order_item_id"),
-        F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 200).alias("order_id"),
-        F.col("id").alias("product_id"), F.lit(1).alias("quantity"), F.lit(D("1.00")).alias("unit_price"),
-        F.lit(D("1.00")).alias("line_total"), F.lit(T0).cast("timestamp_ntz").alias("_stg_load_ts"),
+
+
+def stored_orders(spark):
+    n = F.col("id")
+    raw = spark.range(200).select(
+        n.alias("order_id"), n.alias("customer_id"), F.lit(DAY).alias("order_date"), F.lit("placed").alias("status"),
+        F.lit("de").alias("shipping_country"), F.lit("usd").alias("currency_code"), F.lit(D("1.00")).alias("total_amount"),
+        *[F.lit(T0).cast("timestamp_ntz").alias(c) for c in ("created_at", "modified_at", "_load_ts")],
+        F.lit("f").alias("_source_file"),
     )
-    facts = curated.fct_order_items(items, orders, fx(spark, USD=1.0))
+    return pin(staging.stg_orders(raw), "orders")[0]
+
+
+def test_hot_order_is_split(spark, small_skew):
+    """With most items in one order, the joins with orders are split by AQE and stay whole."""
+    items = staging.stg_order_items(hot_items(spark), stored_orders(spark))
+    assert "skew=true" in executed_plan(items)
+    assert items.count() == 60_000
+    facts = curated.fct_order_items(pin(items, "items")[0], stored_orders(spark), fx(spark, USD=1.0))
     assert "skew=true" in executed_plan(facts)
     assert facts.count() == 60_000
+
+
+def test_hot_product_is_split(spark, small_skew):
+    items = pin(staging.stg_order_items(hot_items(spark), stored_orders(spark)), "items")[0]
+    facts = pin(curated.fct_order_items(items, stored_orders(spark), fx(spark, USD=1.0)), "facts")[0].repartition(8)
+    products = spark.range(50).select(F.xxhash64("id").alias("product_sk"), F.lit("A").alias("category"))
+    mart = marts.revenue_by_category(facts, products, curated.dim_date(spark))
+    assert "skew=true" in executed_plan(mart)
+    assert rows(mart.select("order_count", "units_sold", "revenue_usd")) == [(200, 60_000, D("60000.00"))]
