@@ -6,7 +6,7 @@ from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from stratamart.functions.timestamps import from_epoch_micros, run_timestamp
+from stratamart.functions.timestamps import from_epoch_micros, run_timestamp, utc_naive
 from stratamart.session import side_by_side
 
 
@@ -63,6 +63,21 @@ def with_lineage(df: DataFrame, run_ts=None, source: Column | None = None) -> Da
     )
 
 
+def _as_declared(field: T.StructField, stored: T.StructType) -> Column:
+    """A file's column as the declared type, whatever type the file has it in."""
+    names = {name.lower(): name for name in stored.names}
+    if field.name.lower() not in names:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    name = names[field.name.lower()]
+    column, kind = F.col(f"`{name}`"), stored[name].dataType
+    if isinstance(field.dataType, T.TimestampNTZType):
+        if isinstance(kind, T.IntegralType):
+            column = from_epoch_micros(column)
+        elif isinstance(kind, T.TimestampType):
+            column = utc_naive(column)
+    return column.cast(field.dataType).alias(field.name)
+
+
 def read_landed_parquet(
     spark: SparkSession,
     landing: str,
@@ -70,22 +85,16 @@ def read_landed_parquet(
     schema: T.StructType,
     run_id: str | None = None,
     run_ts=None,
-    epoch_micros: Collection[str] = (),
 ) -> DataFrame:
-    """A run of a dataset by column name, with lineage columns.
+    """A run of a dataset in the declared schema, with lineage columns.
 
-    Columns missing from the files are NULL, further ones are ignored. Columns in
-    ``epoch_micros`` are stored as integers and become timestamps.
+    Columns are matched by name without regard to case or order. Missing ones are
+    NULL, further ones are ignored, others are cast, and a value that does not fit
+    fails the job. Integers declared as timestamps are microseconds of the epoch.
     """
     run_id = run_id or latest_run(spark, landing, dataset)
-    stored = T.StructType(
-        [T.StructField(f.name, T.LongType()) if f.name in epoch_micros else f for f in schema.fields]
-    )
-    files = spark.read.schema(stored).parquet(f"{landing}/{dataset}/run_id={run_id}")
-    columns = [
-        from_epoch_micros(f.name).cast(f.dataType).alias(f.name) if f.name in epoch_micros else F.col(f.name)
-        for f in schema.fields
-    ]
+    files = spark.read.parquet(f"{landing}/{dataset}/run_id={run_id}")
+    columns = [_as_declared(field, files.schema) for field in schema.fields]
     return with_lineage(files.select(*columns, "_metadata"), run_ts).drop("_metadata")
 
 

@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from stratamart.constants import LAYERS
 
 
+def _quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class LayerStore:
     """Tables of all layers under one root folder.
 
@@ -67,9 +72,9 @@ class LayerStore:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
             self.spark.sql(
                 f"CREATE TABLE {self.name(layer, table)} ({columns}, `_run` STRING) USING parquet "
-                f"PARTITIONED BY (`_run`) LOCATION '{path}'"
+                f"PARTITIONED BY (`_run`) LOCATION {_quoted(path)}"
             )
-        self.spark.sql(f"ALTER TABLE {self.name(layer, table)} ADD IF NOT EXISTS PARTITION (`_run` = '{run_id}')")
+        self.spark.sql(f"ALTER TABLE {self.name(layer, table)} ADD IF NOT EXISTS PARTITION (`_run` = {_quoted(run_id)})")
         self.spark.catalog.refreshTable(self.name(layer, table))
         return counter.get["rows"]
 
@@ -94,13 +99,13 @@ class LayerStore:
                     self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table.name)}")
 
     def _create(self, layer: str, table: str, path: str) -> None:
-        self.spark.sql(f"CREATE TABLE {self.name(layer, table)} USING parquet LOCATION '{path}'")
+        self.spark.sql(f"CREATE TABLE {self.name(layer, table)} USING parquet LOCATION {_quoted(path)}")
 
     def _point(self, layer: str, table: str, path: str, schema: T.StructType) -> None:
         name = self.name(layer, table)
         if self.exists(layer, table):
             if self.spark.table(name).schema.simpleString() == schema.simpleString():
-                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(path)}")
                 self.spark.catalog.refreshTable(name)
                 return
             self.spark.sql(f"DROP TABLE {name}")

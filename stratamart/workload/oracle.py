@@ -310,7 +310,7 @@ WHERE strftime(order_date, '%Y%m') = (SELECT max(strftime(order_date, '%Y%m')) F
 SELECT 'part' AS source, p_partkey AS id, {_initcap("p_name || '/' || p_brand")} AS name FROM part
 UNION ALL
 SELECT 'customer', customer_id, {_initcap("last_name || ', ' || email")} FROM raw_customers""",
-    "latest_fx_rates": "SELECT * FROM latest_fx",
+    "latest_fx": "SELECT * FROM latest_fx",
     "dim_customer": "SELECT * FROM dim_customer",
     "dim_date": "SELECT * FROM dim_date",
     "dim_product": "SELECT * FROM dim_product",

@@ -17,8 +17,7 @@ from stratamart.functions.money import mean
 from stratamart.functions.text import initcap_delimited
 from stratamart.functions.timestamps import from_epoch_micros, to_epoch_micros, utc_naive
 from stratamart.functions.variants import has_path, integer_field
-from stratamart.operators import quality
-from stratamart.operators.currency import flatten_fx_payload, latest_fx
+from stratamart.operators import currency, quality
 from stratamart.operators.history import scd2
 from stratamart.operators.lookups import pin
 from stratamart.operators.merge import changed_since, upsert
@@ -145,7 +144,7 @@ def stg_fx_rates(spark, d):
 
 @query
 def fx_payload_flatten(spark, d):
-    return flatten_fx_payload(feeds.fx_payloads(spark, d), "payload", keep=("event_id",))
+    return currency.flatten_fx_payload(feeds.fx_payloads(spark, d), "payload", keep=("event_id",))
 
 
 @query
@@ -194,9 +193,7 @@ def landed_orders_by_name(spark, d):
         "total_amount", "currency_code", "status", "order_date", "customer_id", "order_id",
     )
     land_parquet(landed, landing, "orders", "20020101T000000")
-    rows = read_landed_parquet(
-        spark, landing, "orders", schemas.ORDERS, run_ts=RUN_TS, epoch_micros=("created_at", "modified_at")
-    )
+    rows = read_landed_parquet(spark, landing, "orders", schemas.ORDERS, run_ts=RUN_TS)
     return rows.withColumn("has_source", F.col("_source_file").contains("run_id=")).drop("_source_file", "_load_ts")
 
 
@@ -228,8 +225,8 @@ def initcap_names(spark, d):
 
 
 @query
-def latest_fx_rates(spark, d):
-    return latest_fx(_fx(spark, d))
+def latest_fx(spark, d):
+    return currency.latest_fx(_fx(spark, d))
 
 
 @query
@@ -386,7 +383,7 @@ def feed_sources(spark, d) -> dict[str, DataFrame]:
     lineage = ("_load_ts", "_source_file")
     sources = {name: feeds.RAW[name](spark, d).drop(*lineage) for name in schemas.RELATIONAL}
     sources["products"] = feeds.product_objects(spark, d).where("load = 0").select("json")
-    sources["fx_rates"] = flatten_fx_payload(feeds.fx_payloads(spark, d), "payload")
+    sources["fx_rates"] = currency.flatten_fx_payload(feeds.fx_payloads(spark, d), "payload")
     return sources
 
 

@@ -30,10 +30,19 @@ def test_landed_parquet_is_read_by_name(spark, tmp_path):
     assert "run_id=r1" in row._source_file
 
 
-def test_epoch_columns_become_timestamps(spark, tmp_path):
-    landing.land_parquet(spark.createDataFrame([(1, 1_000_001)], "id bigint, at bigint"), str(tmp_path), "t", "r1")
-    found = landing.read_landed_parquet(spark, str(tmp_path), "t", SCHEMA, epoch_micros=["at"])
-    assert found.first()["at"] == datetime(1970, 1, 1, 0, 0, 1, 1)
+def test_stored_types_are_cast_to_the_declared_ones(spark, tmp_path):
+    declared = T.StructType([*SCHEMA.fields, T.StructField("price", T.DecimalType(12, 2)), T.StructField("t", T.TimestampNTZType())])
+    df = spark.sql("SELECT 1 AS ID, 1000001L AS at, 7 AS v, 1.005D AS price, TIMESTAMP'2024-01-01 12:00:00+02:00' AS t")
+    landing.land_parquet(df, str(tmp_path), "t", "r1")
+    found = landing.read_landed_parquet(spark, str(tmp_path), "t", declared).drop("_load_ts", "_source_file")
+    assert found.schema.simpleString() == declared.simpleString()
+    assert tuple(found.first()) == (1, datetime(1970, 1, 1, 0, 0, 1, 1), "7", Decimal("1.01"), datetime(2024, 1, 1, 10))
+
+
+def test_value_that_does_not_fit_fails(spark, tmp_path):
+    landing.land_parquet(spark.sql("SELECT 'abc' AS id"), str(tmp_path), "t", "r1")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        landing.read_landed_parquet(spark, str(tmp_path), "t", SCHEMA).collect()
 
 
 def test_latest_run_wins(spark, tmp_path):
@@ -131,6 +140,15 @@ def test_raw_tables_can_be_declared_first(spark, store):
         assert store.read("raw", name).schema.simpleString() == schemas.raw_table(name).simpleString()
 
 
+def test_root_with_a_quote(spark, tmp_path):
+    made = LayerStore(spark, str(tmp_path / "it's a lake"), "quoted_")
+    made.create_layers()
+    made.write(spark.range(2), "raw", "t", "r1")
+    made.write(spark.range(3), "raw", "t", "r2")
+    assert made.read("raw", "t").count() == 3
+    made.reset()
+
+
 def test_append_and_reset(spark, store):
     store.append(spark.range(2), "metadata", "log")
     store.append(spark.range(3), "metadata", "log")
