@@ -18,7 +18,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from stratamart.workload.queries import QUERIES  # noqa: E402
 
 HEADLINE = (
-    "layered_build_log",
     "stg_customers",
     "stg_orders",
     "stg_order_items",
@@ -36,6 +35,7 @@ HEADLINE = (
     "scd2_user_state",
     "merge_upsert",
     "stream_landing_upsert",
+    "layered_build_log",  # the whole build: land, load, staging, curated, marts
 )
 
 

@@ -19,7 +19,7 @@ def landed_stream(
     file_filter: str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """New Parquet files of a folder as a stream."""
+    """New Parquet files of a folder, or of all folders and files a pattern matches, as a stream."""
     reader = spark.readStream.schema(schema)
     if file_filter:
         reader = reader.option("pathGlobFilter", file_filter)

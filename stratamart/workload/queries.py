@@ -461,7 +461,7 @@ def stream_landing_upsert(spark, d):
     schema = feeds.table(spark, d, "events").schema
     store = LayerStore(spark, shared_dir(spark, "stream"), f"s{uuid.uuid4().hex[:8]}_")
     store.create_layers()
-    stream = ingest.landed_stream(spark, d, schema, "events.parquet")
+    stream = ingest.landed_stream(spark, f"{d}/events.parquet*", schema)
     ingest.upsert_available(
         stream, store, "staging", "user_state", ["user_id"], ["ts"], f"{store.root}/progress", ["event_id"]
     ).awaitTermination()
@@ -476,7 +476,7 @@ def stream_append_log(spark, d):
     """Events streamed into an append-only log without repeats, summed per type."""
     schema = feeds.table(spark, d, "events").schema
     root = shared_dir(spark, "stream")
-    stream = ingest.without_repeats(ingest.landed_stream(spark, d, schema, "events.parquet"), ["event_id"], "ts", "1 day")
+    stream = ingest.without_repeats(ingest.landed_stream(spark, f"{d}/events.parquet*", schema), ["event_id"], "ts", "1 day")
     ingest.append_log(stream, f"{root}/log", f"{root}/progress").awaitTermination()
     log = spark.read.schema(schema).parquet(f"{root}/log")
     return log.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"))
