@@ -22,7 +22,7 @@ from stratamart.operators.history import scd2
 from stratamart.operators.lookups import pin
 from stratamart.operators.merge import changed_since, upsert
 from stratamart.plans import build, curated, marts, staging
-from stratamart.session import configure, shared_dir
+from stratamart.session import configure, shared_dir, side_by_side
 from stratamart.sources import retail_feeds as feeds
 from stratamart.sources.landing import land_parquet, read_json_rows, read_landed_parquet
 from stratamart.sources.store import LayerStore
@@ -58,13 +58,18 @@ def _orders(spark, d) -> DataFrame:
     return staging.stg_orders(feeds.raw_orders(spark, d), RUN_TS)
 
 
-def _stored_orders(spark, d) -> DataFrame:
-    """Staged orders as a written table, the form in which items are joined to them."""
-    return pin(_orders(spark, d), "stg-orders")[0]
+def _stored(spark, d, *tables: Query) -> list[DataFrame]:
+    """Staging frames as written tables, made side by side.
+
+    Facts are built from stored staging tables: each is computed once, and joins
+    between two of them have a shuffle on both sides, which AQE needs to split a key.
+    """
+    return side_by_side([lambda t=table: pin(t(spark, d), t.__name__.strip("_"))[0] for table in tables])
 
 
 def _items(spark, d) -> DataFrame:
-    return staging.stg_order_items(feeds.raw_order_items(spark, d), _stored_orders(spark, d), RUN_TS)
+    (orders,) = _stored(spark, d, _orders)
+    return staging.stg_order_items(feeds.raw_order_items(spark, d), orders, RUN_TS)
 
 
 def _customers(spark, d) -> DataFrame:
@@ -92,7 +97,8 @@ def _fct_items(spark, d) -> DataFrame:
     items = staging.clean_order_items(feeds.raw_order_items(spark, d)).withColumn(
         "_stg_load_ts", F.lit(RUN_TS).cast("timestamp_ntz")
     )
-    return curated.fct_order_items(items, _stored_orders(spark, d), _fx(spark, d))
+    orders, fx = _stored(spark, d, _orders, _fx)
+    return curated.fct_order_items(items, orders, fx)
 
 
 def _dim_product(spark, d) -> DataFrame:
@@ -332,12 +338,9 @@ def dq_orphan_items(spark, d):
 @query
 def dq_unstaged_items(spark, d):
     """Clean items whose order was not staged."""
-    return quality.orphan_count(
-        staging.clean_order_items(feeds.raw_order_items(spark, d)),
-        _stored_orders(spark, d),
-        ["order_id"],
-        "unstaged_items",
-    )
+    (orders,) = _stored(spark, d, _orders)
+    items = staging.clean_order_items(feeds.raw_order_items(spark, d))
+    return quality.orphan_count(items, orders, ["order_id"], "unstaged_items")
 
 
 @query
