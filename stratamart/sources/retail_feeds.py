@@ -170,17 +170,22 @@ def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published rates as variant rows, the same ones the payloads hold."""
     lower = F.col("event_type").isin("error", "click")
-    rates = F.array(
+    # Built inside the explode, so that filters on a row do not build it a second time.
+    rows = F.array(
         *[
-            F.struct(F.when(lower, code.lower()).otherwise(code).alias("currency"), rate.alias("rate"))
+            F.to_variant_object(
+                F.struct(
+                    F.lit("USD").alias("base"),
+                    _rate_day().alias("rate_date"),
+                    F.when(lower, code.lower()).otherwise(code).alias("currency"),
+                    rate.alias("rate"),
+                )
+            )
             for code, rate in _quotes().items()
         ]
     )
-    flat = table(spark, sf_dir, "events").select(
-        F.lit("USD").alias("base"), _rate_day().alias("rate_date"), F.inline(rates), F.col("ts").cast("timestamp_ntz").alias("_load_ts")
-    )
-    row = F.to_variant_object(F.struct("base", "rate_date", "currency", "rate"))
-    return flat.select(row.alias("raw_data"), *_lineage(F.col("_load_ts"), "fx_rates"))
+    published = F.col("ts").cast("timestamp_ntz")
+    return table(spark, sf_dir, "events").select(F.explode(rows).alias("raw_data"), *_lineage(published, "fx_rates"))
 
 
 RAW = {
