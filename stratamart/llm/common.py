@@ -172,10 +172,20 @@ def crc_fold(value, folds: int) -> int:
     return binascii.crc32(("" if value is None else str(value)).encode()) % folds
 
 
+def spaced(text: Column) -> Column:
+    """Every white space character of a text as a space; null as empty text.
+
+    ``replace`` looks for bytes; ``translate`` would look up every character.
+    """
+    out = F.coalesce(text, F.lit(""))
+    for c in "\t\n\x0b\x0c\r":
+        out = F.replace(out, F.lit(c), F.lit(" "))
+    return out
+
+
 def words(text: Column) -> Column:
     """Words of a text as an array, with JVM functions only; null gives no words."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+    return F.filter(F.split(spaced(text), " "), lambda w: w != "")
 
 
 def word_count(text: Column) -> Column:

@@ -13,7 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratamart.llm.common import words
+from stratamart.llm.common import spaced, words
 from stratamart.operators.lookups import pin
 
 WINDOW = 8
@@ -54,7 +54,7 @@ def _let(value, body):
 def _repeat_words(tokens):
     """Words inside windows that occur more than once, by sorting (window, position) pairs.
 
-    The sort is skipped for texts without repeats, which are most.
+    Windows are compared by hashes of word hashes; the sort is skipped where nothing repeats.
     """
 
     def covered(at):
@@ -71,8 +71,20 @@ def _repeat_words(tokens):
         found = _let(pairs, lambda p: _let(positions(p), covered))
         return F.when(F.size(F.array_distinct(grams)) == F.size(grams), 0).otherwise(found)
 
-    windows = F.transform(F.sequence(F.lit(1), F.size(tokens) - WINDOW + 1), lambda i: F.xxhash64(F.slice(tokens, i, WINDOW)))
-    return F.when(F.size(tokens) < WINDOW, 0).otherwise(_let(windows, of_grams))
+    def joined(hashes, parts, step):
+        """Hash of each run of ``parts`` elements that stand ``step`` apart."""
+        n = F.size(hashes) - (parts - 1) * step
+        together = F.arrays_zip(*[F.slice(hashes, 1 + k * step, n) for k in range(parts)])
+        return F.transform(together, lambda g: F.xxhash64(g))
+
+    def of_halves(halves):
+        # A window that repeats has halves that repeat, and few texts have any.
+        windows = _let(joined(halves, 2, WINDOW // 2), of_grams)
+        return F.when(F.size(F.array_distinct(halves)) == F.size(halves), 0).otherwise(windows)
+
+    hashes = F.transform(tokens, lambda w: F.xxhash64(w))
+    found = _let(hashes, lambda h: _let(joined(h, WINDOW // 2, 1), of_halves))
+    return F.when(F.size(tokens) < WINDOW, 0).otherwise(found)
 
 
 def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -82,7 +94,6 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     of one document are the largest thing held; nothing is shuffled.
     """
     long = lambda c: c.cast("long")
-    blank = " \t\n\x0b\x0c\r"
 
     def of_words(tokens):
         return F.struct(
@@ -98,16 +109,16 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
         )
 
     body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(body, "\n"), lambda line: F.translate(line, blank, "") != "")
-    found = lambda chars: long(F.length(body) - F.length(F.translate(body, chars, "")))
+    lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    found = lambda chars: long(F.regexp_count(body, F.lit(chars)))
     return docs.select(
         *keep,
         _let(words(F.col(text)), of_words).alias("_w"),
         _let(lines, of_lines).alias("_l"),
-        long(F.length(F.translate(body, blank, ""))).alias("word_chars"),
-        found(SYMBOLS).alias("n_symbols"),
-        found("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_capitals"),
-        found("!?").alias("n_loud"),
+        long(F.length(F.replace(spaced(F.col(text)), F.lit(" "), F.lit("")))).alias("word_chars"),
+        found(f"[{SYMBOLS}]").alias("n_symbols"),
+        found("[A-Z]").alias("n_capitals"),
+        found("[!?]").alias("n_loud"),
     ).select(
         *keep, "_w.n_words", "word_chars", "n_symbols", "_l.n_dup_lines", "_w.n_repeat_words",
         "_l.n_lines", "n_capitals", "n_loud", "_w.n_distinct",
