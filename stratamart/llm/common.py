@@ -30,7 +30,7 @@ _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values that spreads every input bit."""
-    x = np.asarray(x, np.uint64)
+    x = np.atleast_1d(np.asarray(x, np.uint64))  # arrays wrap around silently, scalars warn
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))

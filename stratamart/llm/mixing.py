@@ -94,7 +94,7 @@ class Flight:
         return self.waiting
 
 
-_SCHEMA = "doc_id long, source string, size long, luck double, probability double"
+_SCHEMA = "doc_id long, source string, size long, luck double, probability double, key long"
 
 
 def _flight(last: bool):
@@ -102,12 +102,12 @@ def _flight(last: bool):
         flights: dict = {}
 
         def columns(rows: list[list]) -> Columns:
-            names = ("size", "probability", "luck", "doc_id", "source")
+            names = ("size", "probability", "luck", "doc_id", "source", "key")
             return dict(zip(names, map(list, zip(*rows)))) if rows else {n: [] for n in names}
 
         for b in batches:
             done: list[list] = []
-            for row in map(list, zip(b["size"], b["probability"], b["luck"], b["doc_id"], b["source"])):
+            for row in map(list, zip(b["size"], b["probability"], b["luck"], b["doc_id"], b["source"], b["key"])):
                 if _EDGE <= row[1] <= 1 - _EDGE:
                     done += flights.setdefault(row[4], Flight()).add(row)
                 else:
@@ -122,12 +122,12 @@ def _flight(last: bool):
 
 def _passed(df: DataFrame, parts: int, last: bool, *by: str) -> DataFrame:
     # Large documents come first, so that those left undecided at the end are small.
-    dealt = df.repartition(parts, *by).sortWithinPartitions(F.desc("size"), "luck", "doc_id", "source")
+    dealt = df.repartition(parts, *by).sortWithinPartitions(F.desc("size"), "luck", "doc_id", "source", "key")
     return map_columns(dealt, _flight(last), _SCHEMA)
 
 
 def balanced_sample(df: DataFrame, rows: int, seed: int = 0, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Decide ``probability`` of each row (``doc_id, source, size, probability``) to 0 or 1,
+    """Decide ``probability`` of each row (``doc_id, source, size, probability, key``) to 0 or 1,
     balanced per source on documents and tokens.
 
     Rows are dealt by their own hash and streamed, so a hot source or a row repeated
@@ -135,7 +135,7 @@ def balanced_sample(df: DataFrame, rows: int, seed: int = 0, rows_per_task: int
     on the cluster or the files, so reruns agree.
     """
     luck = (F.shiftrightunsigned(F.xxhash64("doc_id", "size", F.lit(seed)), 11) / F.lit(float(1 << 53))).alias("luck")
-    df = df.select("doc_id", "source", "size", luck, "probability")
+    df = df.select("doc_id", "source", "size", luck, "probability", "key")
     first, _ = pin(_passed(df, max(1, -(-rows // rows_per_task)), False, "doc_id"), "mix-first")
     open_rows = F.col("probability").between(_EDGE, 1 - _EDGE)
     return first.where(~open_rows).unionByName(_passed(first.where(open_rows), 8, True, "source"))
@@ -144,14 +144,15 @@ def balanced_sample(df: DataFrame, rows: int, seed: int = 0, rows_per_task: int
 def mix_sources(
     docs: DataFrame, text: str = "text", cap: float = CAP, weights: tuple[int, ...] = WEIGHTS, seed: int = 0,
 ) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, copies, taken``.
+    """One row per document: ``doc_id, source, size, source_size, target, copies, taken, text_key``.
 
-    ``taken`` is ``copies`` times ``size``. Null and empty texts have size 0 and take
+    ``taken`` is ``copies`` times ``size``; ``text_key`` (``xxhash64`` of the text) tells
+    rows of one doc_id apart. Null and empty texts have size 0 and take
     part without moving tokens; a source without words has target 0 and no copies.
     A null source is a source of its own, a null doc_id is kept. Equal rows are
     decided one by one. An empty table gives no rows. Other columns are not read.
     """
-    sized, rows = pin(docs.select("doc_id", "source", word_count(F.col(text)).alias("size")), "mix-sizes")
+    sized, rows = pin(docs.select("doc_id", "source", word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("key")), "mix-sizes")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets, _ = pin(source_targets(per_source, cap, weights), "mix-targets")
     t = targets.select(F.col("source").alias("_source"), "source_size", "target")
@@ -159,8 +160,9 @@ def mix_sources(
     base = F.floor(ratio + _EDGE)
     with_ratio = sized.join(t, F.col("source").eqNullSafe(F.col("_source")), "left")
     chance = F.greatest(F.lit(0.0), ratio - base)
-    decided = balanced_sample(with_ratio.select("doc_id", "source", "size", chance.alias("probability")), rows, seed)
+    decided = balanced_sample(with_ratio.select("doc_id", "source", "size", chance.alias("probability"), "key"), rows, seed)
     copies = (base + F.col("probability")).cast("long")
     return decided.join(t, F.col("source").eqNullSafe(F.col("_source")), "left").select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"),
+        F.col("key").alias("text_key"),
     )

@@ -13,13 +13,13 @@ thresholds bounds the prior.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratamart.llm.common import Columns, map_columns, shingle_set, small_batches, text_words
+from stratamart.llm.common import shingle_set, small_batches, text_words
 from stratamart.operators.lookups import pin
 
 # Bounds of the samples the two classifiers are fitted on, rows chosen by hash of the id.
@@ -133,54 +133,75 @@ def _sample(measured: DataFrame, rows: int, seed: int) -> np.ndarray:
     return np.array([r[0] for r in kept], np.float64).reshape(-1, len(FEATURES))
 
 
-def score_quality(
-    docs: DataFrame,
+@F.pandas_udf("array<float>")
+def _feature_batch(texts: pd.Series) -> pd.Series:
+    return pd.Series([features(None if t is None or t != t else t) for t in texts], dtype=object)
+
+
+def feature_column(text: str = "text") -> Column:
+    return _feature_batch(F.col(text))
+
+
+def learn_quality(
+    measured: DataFrame,
     labels: DataFrame,
     learn: Column,
-    keep: tuple[str, ...] = ("doc_id",),
     positive_rows: int = POSITIVE_ROWS,
     unlabelled_rows: int = UNLABELLED_ROWS,
     seed: int = 1,
-) -> DataFrame:
-    """Adds ``score`` (0 to 1) and ``predicted`` to the columns ``keep``, one row per row of ``docs``.
-
-    ``labels`` gives the trusted positives (``doc_id``, ``quality`` 1); rows where
-    ``learn`` (over ``doc_id``) is not true are never learnt from. Null and empty
-    texts are scored as texts without words. Without positives or unlabelled rows
-    every score is 0.5. Equal rows get equal scores; an empty table gives no rows.
-    Only ``doc_id``, ``text`` and ``keep`` are read.
+) -> Linear | None:
+    """Fit the classifier on stored features (``_id``, ``_features``); None without positives or unlabelled rows.
+
+    ``labels`` gives the trusted positives (``doc_id``, ``quality`` 1). Rows where
+    ``learn`` (over ``doc_id``) is not true are never learnt from.
     """
+    training = measured.withColumn("doc_id", F.col("_id")).where(learn).select("_id", "_features")
+    trusted = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).distinct()
+    positive = training.join(trusted, "_id", "left_semi").select("_id", "_features")
+    p, u = _sample(positive, positive_rows, seed), _sample(training, unlabelled_rows, seed + 1)
+    if not len(p) or not len(u):
+        return None
+    first = fit(p, u, None)
+    bin_of = F.least(F.lit(BINS - 1), F.floor(BINS * _probability(first))).cast("int")
+
+    def histogram(rows: DataFrame) -> np.ndarray:
+        out = np.zeros(BINS)
+        for b, n in rows.groupBy(bin_of.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():  # BINS rows at most
+            out[b] = n
+        return out
+
+    return fit(p, u, class_prior(histogram(positive), histogram(training)))
+
+
+def _probability(model: Linear | None) -> Column:
+    if model is None:
+        return F.lit(0.5)
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), model.column(F.col("_features"))))))
+
+
+def measure_quality(docs: DataFrame) -> DataFrame:
+    """Features of every whole text, stored: ``_id, _features``."""
     small_batches(docs.sparkSession)
-    names = {k: f"_keep{i}" for i, k in enumerate(keep)}
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = "_id long, _features array<float>" + "".join(f", `{v}` {fields[k]}" for k, v in names.items())
+    measured, _ = pin(docs.select(F.col("doc_id").alias("_id"), feature_column().alias("_features")), "quality-features")
+    return measured
 
-    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
-        for b in batches:
-            yield {"_id": b["_id"], "_features": [features(t) for t in b["_text"]]} | {v: b[v] for v in names.values()}
 
-    chosen = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), *[F.col(k).alias(v) for k, v in names.items()])
-    measured, _ = pin(map_columns(chosen, run, schema), "quality-features")
+def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, **bounds) -> DataFrame:
+    """``doc_id``, ``score`` (0 to 1) and ``predicted``, one row per row of ``docs``.
 
-    training = measured.withColumn("doc_id", F.col("_id")).where(learn).drop("doc_id")
-    trusted = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).distinct()
-    positive = training.join(trusted, "_id", "left_semi").select("_id", "_features")
-    unlabelled = training.select("_id", "_features")
-    p, u = _sample(positive, positive_rows, seed), _sample(unlabelled, unlabelled_rows, seed + 1)
-    if len(p) and len(u):
-        first = fit(p, u, None)
-        bin_of = F.least(F.lit(BINS - 1), F.floor(BINS / (1 + F.exp(-first.column(F.col("_features")))))).cast("int")
-
-        def histogram(rows: DataFrame) -> np.ndarray:
-            out = np.zeros(BINS)
-            for b, n in rows.groupBy(bin_of.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():  # BINS rows at most
-                out[b] = n
-            return out
-
-        model = fit(p, u, class_prior(histogram(positive), histogram(unlabelled)))
-        score = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), model.column(F.col("_features"))))))
-    else:
-        score = F.lit(0.5)
-    return measured.select(*[F.col(v).alias(k) for k, v in names.items()], score.alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int")
-    )
+    Null and empty texts are scored as texts without words. Without positives or
+    unlabelled rows every score is 0.5. Equal rows get equal scores; an empty table
+    gives no rows. Only ``doc_id`` and ``text`` are read; the id only chooses rows to
+    learn from. ``bounds`` are those of ``learn_quality``.
+    """
+    measured = measure_quality(docs)
+    score = _probability(learn_quality(measured, labels, learn, **bounds))
+    return measured.select(F.col("_id").alias("doc_id"), score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
+    """The rows of ``docs`` predicted good, with all their columns. Texts stay where they are
+    and their features are worked out a second time, which costs less than moving them."""
+    model = learn_quality(measure_quality(docs), labels, learn)
+    judged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), feature_column().alias("_features"))
+    return judged.where(_probability(model) >= 0.5).select("_row.*")

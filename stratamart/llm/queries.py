@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratamart.llm import language_id, mixing, packing, quality_classifier, quality_rules
+from stratamart.llm import (
+    chat_formatting, html_text, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules,
+    substring_dedup, topk_search,
+)
 from stratamart.llm.common import fold, table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = fold("doc_id", 3) == 1
@@ -22,7 +29,20 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("copies")
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("copies", "text_key")
+
+
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.similarity_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +52,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+# A conversation whose texts hold control strings, formatted along with the table's.
+_SPOOF = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    spoof = spark.createDataFrame(_SPOOF, "conv_id long, turn long, role string, text string")
+    return chat_formatting.digests(chat_formatting.format_conversations(stored.unionByName(spoof)))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -41,7 +71,33 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_quality_classifier, op3_best_fit_packing, op4_source_mixing, op8_language_id, op10_quality_rules)
+    for f in (
+        op1_substring_dedup, op2_quality_classifier, op3_best_fit_packing, op4_source_mixing, op5_ngram_jaccard_join,
+        op6_topk_search, op7_html_extraction, op8_language_id, op9_chat_formatting, op10_quality_rules,
+    )
+}
+
+ORACLE: dict[str, str] = {
+    "op6_topk_search": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS "rank", vec_id, score
+FROM s QUALIFY "rank" <= 5
+""",
+    "op9_chat_formatting": """
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM c),
+k AS (SELECT '[<\\[]\\\\*(?:\\||/s>|s>|INST\\]|/INST\\])' AS control)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  sum(length(r) + length(t) + 13 + len(regexp_extract_all(t, control)))::BIGINT AS formatted_chars
+FROM t, k GROUP BY conv_id
+""",
+    "op10_quality_rules": quality_rules.oracle(),
 }
-
-ORACLE: dict[str, str] = {"op10_quality_rules": quality_rules.oracle()}

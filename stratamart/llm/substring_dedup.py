@@ -54,7 +54,7 @@ def runs(first: np.ndarray, n_words: int) -> np.ndarray:
 
 def _key(hashes: np.ndarray) -> int:
     """Tells rows of one doc_id with different words apart."""
-    return int(mix(hashes.sum(dtype=np.uint64) + np.uint64(len(hashes))).view(np.int64)) if len(hashes) else 0
+    return int(mix(hashes.sum(dtype=np.uint64)).view(np.int64)[0]) if len(hashes) else 0
 
 
 def _span_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
