@@ -9,7 +9,7 @@ pigeonhole principle two similar sets agree on some segment if there are more th
 * Small bands, whose sets would leave many segments empty, use fewer segments and
   index each content and all contents with one shingle left out (two units for a
   segment of two shingles or more, since it then also finds one that differs by one).
-* Shingles that are common in a sample of documents have segments of their own, which
+* Shingles that many documents share have segments of their own, which
   a set indexes only if its other segments do not give more than H units; if all do
   not, it hashes anew twice, and last falls back on a prefix of its shingles in hash
   order. Of two similar sets, the one that needs fewer steps finds the other, which
@@ -36,15 +36,18 @@ from stratamart.operators.lookups import pin
 
 SHINGLE = 5
 SIMILAR = (3, 4)  # 0.75, as a fraction
-SAMPLE_DOCS = 2048  # to find common shingles; only costs depend on it
-COMMON_DOCS = 6
-COMMON_MOST = 65_536
+# Common shingles: in so many documents of one stretch of a task's input, the most
+# frequent so many. Only costs depend on them.
+COMMON_DOCS = 4
+COMMON_MOST = 262_144
+STRETCH_SHINGLES = 4_000_000
 SMALL_BAND = 63
 FLUSH_KEYS = 1_000_000
 KEYS_PER_TASK = 1_500_000
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 2_000_000
 _CELL_RATIO = 1.15
+_KEY_BYTES = 6
 
 _U = np.uint64
 
@@ -137,14 +140,34 @@ def _class_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
         yield out
 
 
-def _sample_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
+def _common_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
+    """Shingles that several documents of a stretch share, with their counts."""
+
+    def counted(sets: list[np.ndarray]) -> Columns:
+        values, counts = np.unique(np.concatenate([*sets, np.zeros(0, _U)]), return_counts=True)
+        often = counts >= COMMON_DOCS
+        return {"s": values[often].view(np.int64), "n": counts[often]}
+
+    sets: dict[int, np.ndarray] = {}
+    held = 0
     for b in batches:
-        sets = [shingle_set(t, SHINGLE) for t in b["text"]]
-        yield {"s": np.concatenate([*sets, np.zeros(0, _U)]).view(np.int64)}
+        for text in b["text"]:
+            s = shingle_set(text, SHINGLE)
+            if len(s) and (c := _class_of(s)) not in sets:
+                sets[c] = s
+                held += len(s)
+        if held >= STRETCH_SHINGLES:
+            yield counted(list(sets.values()))
+            sets, held = {}, 0
+    yield counted(list(sets.values()))
 
 
 def _key_rows(common: np.ndarray, parts: int):
-    """Index keys with their classes, as sorted blobs for each of ``parts`` key ranges."""
+    """Index keys with their classes, packed for each of ``parts`` ranges of keys.
+
+    A key is cut to 6 bytes, which with its range tells keys apart well enough: keys that
+    coincide only add a candidate. Classes are numbers into a list that goes along.
+    """
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         keys: list[np.ndarray] = []
@@ -159,11 +182,13 @@ def _key_rows(common: np.ndarray, parts: int):
             k, c, part = k[order], c[order], part[order]
             cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             ends = np.r_[cut[1:], len(k)]
-            return {
-                "p": part[cut].astype(np.int64),
-                "keys": [k[i:j].tobytes() for i, j in zip(cut, ends)],
-                "classes": [c[i:j].tobytes() for i, j in zip(cut, ends)],
-            }
+            rows: Columns = {"p": part[cut].astype(np.int64), "keys": [], "numbers": [], "classes": []}
+            for i, j in zip(cut, ends):
+                own, numbers = np.unique(c[i:j], return_inverse=True)
+                rows["keys"].append(k[i:j].view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes())
+                rows["numbers"].append(numbers.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32).tobytes())
+                rows["classes"].append(own.tobytes())
+            return rows
 
         for b in batches:
             for text in b["text"]:
@@ -203,9 +228,13 @@ def _bucket_links(batches: Iterator[Columns]) -> Iterator[Columns]:
         return {"a": links[:, 0], "b": links[:, 1]}
 
     for b in batches:
-        for keys, classes in zip(b["keys"], b["classes"]):
-            waiting.append((np.frombuffer(keys, _U), np.frombuffer(classes, np.int64)))
-            held += len(waiting[-1][0])
+        for keys, numbers, classes in zip(b["keys"], b["numbers"], b["classes"]):
+            n = len(keys) // _KEY_BYTES
+            k = np.zeros((n, 8), np.uint8)
+            k[:, :_KEY_BYTES] = np.frombuffer(keys, np.uint8).reshape(n, _KEY_BYTES)
+            number = np.frombuffer(numbers, np.uint16 if len(numbers) == 2 * n else np.uint32)
+            waiting.append((k.view(_U)[:, 0], np.frombuffer(classes, np.int64)[number]))
+            held += n
         if held >= 2 * KEYS_PER_TASK:
             yield settle()
             waiting, held = [], 0
@@ -316,16 +345,14 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     docs = docs.select("doc_id", "text")
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
-    members, rows = pin(map_columns(keyed, _class_rows, "doc_id long, text_key long, n long, c long"), "jaccard-classes")
-    share = min(1.0, SAMPLE_DOCS / max(rows, 1))
-    sampled = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    counts = map_columns(sampled, _sample_rows, "s long").groupBy("s").count().where(F.col("count") >= COMMON_DOCS)
-    usual = [r["s"] for r in counts.orderBy(F.desc("count"), "s").limit(COMMON_MOST).collect()]
+    members, _ = pin(map_columns(keyed, _class_rows, "doc_id long, text_key long, n long, c long"), "jaccard-classes")
+    counts = map_columns(docs, _common_rows, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    usual = [r["s"] for r in counts.orderBy(F.desc("n"), "s").limit(COMMON_MOST).collect()]
     common = np.sort(np.array(usual, np.int64).view(_U))
 
     shingles = members.agg(F.sum("n")).first()[0] or 0
     parts = max(8, -(-shingles * 6 // 10 // KEYS_PER_TASK))
-    keys = map_columns(docs, _key_rows(common, parts), "p long, keys binary, classes binary")
+    keys = map_columns(docs, _key_rows(common, parts), "p long, keys binary, numbers binary, classes binary")
     candidates = map_columns(keys.repartition(parts, "p"), _bucket_links, "a long, b long")
     clusters, _ = pin(connected_components(candidates), "jaccard-clusters")
 
