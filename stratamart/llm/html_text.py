@@ -385,6 +385,12 @@ class Renderer:
             for column, span, lines in row:
                 if span == 1 and (w := max(map(len, lines))) <= _WIDEST:
                     widths[column] = max(widths.get(column, 0), w)
+        for row in grid:  # a wide cell over several columns widens the last of them
+            for column, span, lines in row:
+                own = range(column, column + span)
+                more = max(map(len, lines)) - sum(widths.get(c, 0) for c in own) - 2 * (span - 1)
+                if span > 1 and more > 0 and max(map(len, lines)) <= _WIDEST:
+                    widths[own[-1]] = widths.get(own[-1], 0) + more
         before = loose.result()
         if before:
             out.plain(before)
