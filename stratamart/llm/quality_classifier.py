@@ -133,13 +133,12 @@ def _sample(measured: DataFrame, rows: int, seed: int) -> np.ndarray:
     return np.array([r[0] for r in kept], np.float64).reshape(-1, len(FEATURES))
 
 
-@F.pandas_udf("array<float>")
 def _feature_batch(texts: pd.Series) -> pd.Series:
     return pd.Series([features(None if t is None or t != t else t) for t in texts], dtype=object)
 
 
 def feature_column(text: str = "text") -> Column:
-    return _feature_batch(F.col(text))
+    return F.pandas_udf(_feature_batch, "array<float>")(F.col(text))
 
 
 def learn_quality(

@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.llm.common import Columns, map_columns, mix, range_hashes, sentence_starts, small_batches, text_words
+from stratamart.operators.lookups import pin
 
 SENTENCES = 3
 WORDS = 24
@@ -123,8 +124,10 @@ def deduplicate(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
     spans = map_columns(docs.select("doc_id", "text"), _span_rows, "h long, g int, doc_id long, k long, b int, e int")
     # Smallest place wins: a null id is written as a larger one than any other.
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k", "b", "e")
-    first = spans.groupBy("h", "g").agg(F.min(place).alias("first"), F.max(place).alias("other")).where("first != other")
-    repeated = spans.join(first.select("h", "g", "first"), ["h", "g"]).where(place != F.col("first"))
+    first = spans.groupBy("h", "g").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that both sides of the join are shuffles of their own and AQE can split a hot hash.
+    first, _ = pin(first.select("h", "g", "first"), "substring-first")
+    repeated = spans.join(first, ["h", "g"]).where(place != F.col("first"))
     removed = repeated.groupBy("doc_id", "k").agg(F.collect_set(F.struct("b", "e")).alias("_spans"))
 
     names = {c: f"_keep{i}" for i, c in enumerate(keep)}
