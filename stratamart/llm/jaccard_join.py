@@ -16,11 +16,13 @@ pigeonhole principle two similar sets agree on some segment if there are more th
   has taken those steps too. So the allocation follows cost and loses no pair.
 
 Sets that meet in a bucket are linked to the bucket's least class, not to each other.
-The components of those candidate links are then verified exactly in blocks of bounded
-size: a parity sketch, which two similar sets can differ in by at most H bits, rules
-out most pairs, and pairs already connected are skipped; only links that connect leave
-a task. A very large component is cut into cells by size and hash, and pairs of cells
-that may hold similar sizes are verified as tasks of their own.
+The components of those candidate links are looked at in blocks of bounded size, twice.
+First by parity sketches of about one bit a shingle, which two similar sets can differ
+in by at most H bits: that parts what only shared passages held together. Then the
+components left are verified exactly from the texts. In both, pairs already connected
+are skipped and only links that connect leave a task. A very large component is cut
+into cells by size and hash, and pairs of cells that may hold similar sizes are tasks
+of their own.
 """
 
 from __future__ import annotations
@@ -132,11 +134,12 @@ def index_keys(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 def _class_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
     for b in batches:
-        out: Columns = {"doc_id": b["doc_id"], "text_key": b["text_key"], "n": [], "c": []}
+        out: Columns = {"doc_id": b["doc_id"], "text_key": b["text_key"], "n": [], "c": [], "sketch": []}
         for text in b["text"]:
             s = shingle_set(text, SHINGLE)
             out["n"].append(len(s))
             out["c"].append(_class_of(s) if len(s) else None)
+            out["sketch"].append(_sketch(s).tobytes() if len(s) else None)
         yield out
 
 
@@ -241,68 +244,91 @@ def _bucket_links(batches: Iterator[Columns]) -> Iterator[Columns]:
     yield settle()
 
 
-def _sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """Parity of the shingles that fall on each bit; as many bits as the largest set has shingles."""
-    bits = 1 << max(6, max(map(len, sets), default=1).bit_length())
-    rows = np.empty((len(sets), bits // 64), _U)
-    for i, s in enumerate(sets):
-        parity = (np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
-        rows[i] = np.packbits(parity).view(_U)
-    return rows
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the shingles that fall on each bit, with at least as many bits as shingles."""
+    bits = 1 << max(6, len(shingles).bit_length())
+    parity = (np.bincount((shingles & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(parity).view(_U)
 
 
-def verify_block(classes: list[int], texts: list[str], sides: list[int]) -> list[tuple[int, int]]:
-    """Links that connect the similar sets of a block: of side 0 with each other, or of side 0 with side 1."""
+def _folded(sketches: list[np.ndarray], words: int) -> np.ndarray:
+    """Sketches of this length or longer, folded to it; a fold keeps parities."""
+    return np.stack([np.bitwise_xor.reduce(s.reshape(-1, words), axis=0) for s in sketches])
+
+
+def _connect(order: list[int], size: np.ndarray, side: np.ndarray, sketches: list[np.ndarray], similar) -> list[tuple[int, int]]:
+    """Links that connect a block's sets (in order of size): of side 0 with each other, or
+    of side 0 with side 1. ``similar(i, j)`` decides on pairs the sketches leave."""
     a, b = SIMILAR
-    sets: dict[int, np.ndarray] = {}
-    side: dict[int, int] = {}
-    for c, text, s in zip(classes, texts, sides):
-        if c not in sets:
-            shingles = shingle_set(text, SHINGLE)
-            if len(shingles) and _class_of(shingles) == c:  # else another text under the same doc_id
-                sets[c], side[c] = shingles, s
-    order = sorted(sets, key=lambda c: (len(sets[c]), c))
-    values = [sets[c] for c in order]
-    size = np.array([len(v) for v in values], np.int64)
-    which = np.array([side[c] for c in order])
-    cross = bool(len(which)) and bool(which.any())
-    sketch = _sketches(values)
+    cross = bool(side.any())
     group = np.arange(len(order))
+    folded: dict[int, tuple[int, np.ndarray]] = {}
     links = []
     for i in range(len(order)):
         # Larger sets only, up to the largest that can be similar.
-        end = np.searchsorted(size, size[i] * b // a, side="right")
-        near = slice(i + 1, end)
-        open_ = group[near] != group[i]
+        end = int(np.searchsorted(size, size[i] * b // a, side="right"))
+        open_ = group[i + 1 : end] != group[i]
         if cross:
-            open_ &= which[near] != which[i]
+            open_ &= side[i + 1 : end] != side[i]
         at = np.flatnonzero(open_)
         if not len(at):
             continue
         at += i + 1
-        differ = np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+        words = len(sketches[i])
+        if words not in folded:  # sketches are as long or longer from here on
+            folded[words] = i, _folded(sketches[i:], words)
+        base, matrix = folded[words]
+        differ = np.bitwise_count(matrix[at - base] ^ matrix[i - base]).sum(axis=1, dtype=np.int64)
         for j in at[differ <= (b - a) * (size[at] + size[i]) // (a + b)]:
-            if group[j] == group[i]:
-                continue
-            x, y = values[i], values[j]
-            shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            if b * shared >= a * (len(x) + len(y) - shared):
+            if group[j] != group[i] and similar(i, j):
                 group[group == group[j]] = group[i]
                 links.append((max(order[i], order[j]), min(order[i], order[j])))
     return links
 
 
+def verify_block(classes: list[int], texts: list[str], sides: list[int]) -> list[tuple[int, int]]:
+    """Links between the sets of a block that are similar, verified exactly."""
+    a, b = SIMILAR
+    sets: dict[int, np.ndarray] = {}
+    side: dict[int, int] = {}
+    for c, text, s in zip(classes, texts, sides):
+        if c not in sets:
+            shingles = shingle_set(text, SHINGLE)
+            if len(shingles) and _class_of(shingles) == c:  # else another text under the same doc_id
+                sets[c], side[c] = shingles, s
+    order = sorted(sets, key=lambda c: (len(sets[c]), c))
+    values = [sets[c] for c in order]
+
+    def similar(i: int, j: int) -> bool:
+        x, y = values[i], values[j]
+        shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+        return b * shared >= a * (len(x) + len(y) - shared)
+
+    size, sides_ = np.array([len(v) for v in values], np.int64), np.array([side[c] for c in order], np.int64)
+    return _connect(order, size, sides_, [_sketch(v) for v in values], similar)
+
+
+def _sieve(c: Columns) -> Columns:
+    """Links between sets that their sketches leave possible."""
+    rows = sorted({k: (n, k, s, sketch) for k, n, s, sketch in zip(c["c"], c["n"], c["side"], c["sketch"])}.values())
+    sketches = [np.frombuffer(r[3], _U) for r in rows]
+    size, side = np.array([r[0] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
+    links = _connect([r[1] for r in rows], size, side, sketches, lambda i, j: True)
+    return {"a": [x for x, _ in links], "b": [y for _, y in links]}
+
+
 def _verify(c: Columns) -> Columns:
     links = verify_block(c["c"], c["text"], c["side"])
     return {"a": [x for x, _ in links], "b": [y for _, y in links]}
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """Deal the members of candidate components (``c, root, n, doc``) to blocks: adds ``block`` and ``side``."""
+    """Deal the members of candidate components (``root, n, c`` and more) to blocks: adds ``block`` and ``side``."""
     whole = members.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     large = whole.where(f"sets > {BLOCK_SETS} OR shingles > {BLOCK_SHINGLES}").select("root")
+    own = [c for c in members.columns if c != "root"]
     alone = members.join(large, "root", "left_anti").select(
-        "c", "doc", F.struct("root", F.lit(0).alias("g1"), F.lit(0).cast("long").alias("s1"), F.lit(0).alias("g2"), F.lit(0).cast("long").alias("s2")).alias("block"), F.lit(0).alias("side"),
+        *own, F.struct("root", F.lit(0).alias("g1"), F.lit(0).cast("long").alias("s1"), F.lit(0).alias("g2"), F.lit(0).cast("long").alias("s2")).alias("block"), F.lit(0).alias("side"),
     )
     g = F.floor(F.log("n") / F.log(F.lit(_CELL_RATIO))).cast("int")
     split = members.join(large, "root").withColumn("g", g)
@@ -321,7 +347,7 @@ def _blocks(members: DataFrame) -> DataFrame:
         )
     )
     placed = split.join(cut, ["root", "g"]).withColumn("s", F.pmod(F.xxhash64("c"), F.col("cells")))
-    return alone.unionByName(placed.join(ends, ["root", "g", "s"]).select("c", "doc", "block", "side"))
+    return alone.unionByName(placed.join(ends, ["root", "g", "s"]).select(*own, "block", "side"))
 
 
 def _id(name: str):
@@ -345,7 +371,7 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     docs = docs.select("doc_id", "text")
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
-    members, _ = pin(map_columns(keyed, _class_rows, "doc_id long, text_key long, n long, c long"), "jaccard-classes")
+    members, _ = pin(map_columns(keyed, _class_rows, "doc_id long, text_key long, n long, c long, sketch binary"), "jaccard-classes")
     counts = map_columns(docs, _common_rows, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
     usual = [r["s"] for r in counts.orderBy(F.desc("n"), "s").limit(COMMON_MOST).collect()]
     common = np.sort(np.array(usual, np.int64).view(_U))
@@ -354,10 +380,14 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     parts = max(8, -(-shingles * 6 // 10 // KEYS_PER_TASK))
     keys = map_columns(docs, _key_rows(common, parts), "p long, keys binary, numbers binary, classes binary")
     candidates = map_columns(keys.repartition(parts, "p"), _bucket_links, "a long, b long")
-    clusters, _ = pin(connected_components(candidates), "jaccard-clusters")
-
-    classes = members.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"))
-    blocks = _blocks(clusters.select(F.col("node").alias("c"), "root").join(classes, "c"))
+    held, _ = pin(connected_components(candidates), "jaccard-candidates")
+    classes = members.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    sketched, _ = pin(held.select(F.col("node").alias("c"), "root").join(classes, "c"), "jaccard-sketches")
+    dealt, _ = pin(_blocks(sketched.drop("doc")), "jaccard-sieve")
+    sieved = map_groups(dealt.groupBy("block"), _sieve, "a long, b long")
+    clusters = connected_components(sieved).select(F.col("node").alias("c"), "root")
+
+    blocks = _blocks(clusters.join(sketched.drop("root", "sketch"), "c"))
     blocks, _ = pin(blocks.select("c", "block", "side", _id("doc").alias("_doc")), "jaccard-blocks")
     texts = docs.select(_id("doc_id").alias("_doc"), "text").join(blocks, "_doc")
     links = map_groups(texts.select("block", "c", "side", "text").groupBy("block"), _verify, "a long, b long")

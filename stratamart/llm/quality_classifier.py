@@ -104,7 +104,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, steps
             negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
             rest = down(u, su) - prior * down(p, sp)
             g = prior * up(p, sp) + rest if negative >= 0 else -rest
-        g = g + 1e-3 * np.r_[m.weights[:-1], 0]
+        g = g + (0.01 + 10 / len(p)) * np.r_[m.weights[:-1], 0]  # few positives are trusted less
         mean += 0.1 * (g - mean)
         power += 0.01 * (g * g - power)
         m.weights -= 0.1 * (1 - step / (steps + 1)) * (mean / (1 - 0.9**step)) / (np.sqrt(power / (1 - 0.99**step)) + 1e-9)
