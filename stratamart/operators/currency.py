@@ -8,7 +8,7 @@ from stratamart.constants import BASE_CURRENCY
 from stratamart.functions.text import drop_prefix
 from stratamart.functions.timestamps import utc_date
 from stratamart.operators.latest import latest_by_key
-from stratamart.operators.lookups import lookup_join
+from stratamart.operators.lookups import BROADCAST_ROWS, lookup_join
 
 _PAYLOAD = (
     "source string, base string, date string, timestamp bigint, "
@@ -46,10 +46,10 @@ def latest_fx(rates: DataFrame) -> DataFrame:
     return newest.select("target_currency", "usd_per_unit")
 
 
-def with_latest_fx(facts: DataFrame, rates: DataFrame, currency: str) -> DataFrame:
+def with_latest_fx(facts: DataFrame, rates: DataFrame, currency: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``usd_per_unit`` by currency; NULL where the currency has no rate."""
     lookup = latest_fx(rates).withColumnRenamed("target_currency", currency)
-    return lookup_join(facts, lookup, [currency])
+    return lookup_join(facts, lookup, [currency], max_rows=max_rows)
 
 
 def with_fx_as_of(facts: DataFrame, rates: DataFrame, currency: str, day: str) -> DataFrame:

@@ -28,7 +28,8 @@ def _stretches(rows: DataFrame, keys: Sequence[str], changed_at: str, rows_per_t
     pieces = math.ceil(hot.agg(F.max("_rows")).first()[0] / rows_per_task)
     chosen = hot.select(*keys)
     hot_rows = rows.join(F.broadcast(chosen) if number <= BROADCAST_ROWS else chosen, list(keys), "left_semi")
-    moment = to_epoch_micros(changed_at)
+    # Untimed rows are the newest, and so lie in the last stretch.
+    moment = F.coalesce(to_epoch_micros(changed_at), F.lit((1 << 63) - 1))
     accuracy = max(10_000, 4 * pieces)
     cuts = hot_rows.groupBy(*keys).agg(
         F.percentile_approx(moment, [i / pieces for i in range(1, pieces)], accuracy).alias("_cuts")
@@ -47,7 +48,7 @@ def _stretches(rows: DataFrame, keys: Sequence[str], changed_at: str, rows_per_t
 def _across(
     rows: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
+    order: Sequence[Column],
     value: Column,
     neighbour: Callable[[Column | str], Column],
     edge: Callable[[Column, Column], Column],
@@ -82,10 +83,13 @@ def scd2(
     """Add ``valid_from``, ``valid_to`` and ``is_current`` to the rows that change the state.
 
     A row that repeats the previous state of its key opens no new spell. Rows
-    without a key have no history; an untimed row comes first. Keys with more than
-    ``rows_per_task`` rows are cut into stretches of time that are worked on apart.
+    without a key have no history; untimed rows come last, as the newest. A key has
+    one current spell, the last one. Keys with more than ``rows_per_task`` rows are cut
+    into stretches of time that are worked on apart; rows of one moment stay together.
+    Rows per key are counted when this is called.
     """
-    order = [changed_at, *tiebreak]
+    untimed = F.col(changed_at).isNull()
+    order = [untimed, F.col(changed_at), *map(F.col, tiebreak)]
     rows = df.dropna(subset=list(keys)).withColumn("_state", F.struct(*state))
     cut = _stretches(rows, keys, changed_at, rows_per_task)
     if cut is None:
@@ -96,7 +100,13 @@ def scd2(
 
     changes = before.where(~F.col("_before").eqNullSafe(F.col("_state"))).drop("_before", "_state")
     if cut is None:
-        spells = changes.withColumn("valid_to", F.lead(changed_at).over(timeline))
+        spells = changes.withColumn("_next", F.lead(F.struct(F.col(changed_at).alias("at"))).over(timeline))
     else:
-        spells = _across(changes, keys, order, F.col(changed_at), F.lead, F.min_by, "valid_to").drop("_stretch")
-    return spells.withColumn("valid_from", F.col(changed_at)).withColumn("is_current", F.col("valid_to").isNull())
+        following = F.struct(F.col(changed_at).alias("at"))
+        spells = _across(changes, keys, order, following, F.lead, F.min_by, "_next").drop("_stretch")
+    return (
+        spells.withColumn("valid_from", F.col(changed_at))
+        .withColumn("valid_to", F.col("_next.at"))
+        .withColumn("is_current", F.col("_next").isNull())
+        .drop("_next")
+    )

@@ -11,14 +11,16 @@ from stratamart.operators.lookups import BROADCAST_ROWS, pin
 
 
 def changed_since(df: DataFrame, modified: str, high_water_mark) -> DataFrame:
-    """Rows modified after the mark, and rows without a modification time.
+    """Rows modified at the mark or later, and rows without a modification time.
 
-    The comparison with a literal reaches the source. Untimed rows count as newest
-    everywhere else, so they are read again each time; an upsert makes that harmless.
+    The comparison with a literal reaches the source. Rows at the mark itself are read
+    again, since more of them may have been committed after it was taken; where commits
+    can lag by more, pass a mark that is earlier by the lag. Untimed rows count as newest
+    everywhere else, so they too are read each time. An upsert makes both harmless.
     """
     if high_water_mark is None:
         return df
-    return df.where(F.col(modified).isNull() | (F.col(modified) > F.lit(high_water_mark)))
+    return df.where(F.col(modified).isNull() | (F.col(modified) >= F.lit(high_water_mark)))
 
 
 def high_water_mark(df: DataFrame, modified: str) -> DataFrame:
@@ -36,15 +38,15 @@ def upsert(
 ) -> DataFrame:
     """Apply a change set to a keyed table; a change older than the row it meets loses.
 
-    The distinct changed keys are written once and counted. Up to ``max_keys`` they
-    are broadcast: only rows with a changed key are compared, and the rest of the
-    target passes through without a shuffle. Beyond that, target and changes go
-    through one shuffle together.
+    Only target rows with a changed key are compared; all others, those without a
+    key among them, pass through as they are. The distinct changed keys are written
+    once and counted when this is called. Up to ``max_keys`` they are broadcast, and
+    the untouched rows are not shuffled; beyond that the same two joins shuffle.
+    Changes without a key are left out.
     """
     changes = changes.select(*target.columns).dropna(subset=list(keys))
     changed_keys, count = pin(changes.select(*keys).distinct(), "changed-keys")
-    if count > max_keys:
-        return latest_by_key(target.unionByName(changes), keys, order, tiebreak)
-    contested = target.join(F.broadcast(changed_keys), list(keys), "left_semi").unionByName(changes)
-    untouched = target.join(F.broadcast(changed_keys), list(keys), "left_anti")
+    changed_keys = F.broadcast(changed_keys) if count <= max_keys else changed_keys
+    contested = target.join(changed_keys, list(keys), "left_semi").unionByName(changes)
+    untouched = target.join(changed_keys, list(keys), "left_anti")
     return untouched.unionByName(latest_by_key(contested, keys, order, tiebreak))

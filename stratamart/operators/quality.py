@@ -66,12 +66,14 @@ def trace_key(
     """All rows of one key through the layers.
 
     ``steps`` are ``(layer label, table, key column, columns)`` and ``key`` is a
-    one-row, one-column frame; the columns of each step are renamed to ``names``.
+    one-row, one-column frame; the columns of each step are renamed to ``names``. The
+    key is a scalar subquery in a filter, which goes below the deduplication of a table
+    whose rows it identifies.
     """
     wanted = key.toDF("_wanted")
     frames = []
     for layer, table, key_column, columns in steps:
-        found = table.join(F.broadcast(wanted), F.col(key_column) == F.col("_wanted"))
+        found = table.where(F.col(key_column) == wanted.scalar())
         frames.append(
             found.select(F.lit(layer).alias("layer"), *[F.col(c).alias(n) for c, n in zip(columns, names)])
         )

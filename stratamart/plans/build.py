@@ -15,7 +15,7 @@ from stratamart.functions.timestamps import run_timestamp
 from stratamart.operators import quality, watermarks
 from stratamart.plans import curated, marts, staging
 from stratamart.session import side_by_side
-from stratamart.sources.landing import land_all, latest_run, read_landed_feed, read_landed_parquet
+from stratamart.sources.landing import land_all, latest_common_run, read_landed_feed, read_landed_parquet
 from stratamart.sources.store import LayerStore
 
 _RUN_LOG = "run_id string, layer string, table_name string, row_count bigint, seconds double, finished_at timestamp_ntz"
@@ -136,14 +136,15 @@ def create_raw_tables(store: LayerStore) -> None:
 
 
 def load_raw(store: LayerStore, landing: str, run: Run, run_id: str | None = None) -> list[tuple]:
-    """Load a landed run (the latest one by default) into every raw table.
+    """Load a landed run (by default the latest that every dataset has finished) into every raw table.
 
     A raw table is replaced, or with ``keep_raw_history`` the run is added to it.
     """
     write = store.append_run if run.keep_raw_history else store.write
 
+    chosen = run_id or latest_common_run(store.spark, landing, RAW_TABLES)
+
     def load(dataset: str) -> tuple:
-        chosen = run_id or latest_run(store.spark, landing, dataset)
         if dataset in schemas.FEEDS:
             df = read_landed_feed(store.spark, landing, dataset, chosen, run.run_ts)
         else:

@@ -12,6 +12,7 @@ from stratamart.functions.keys import date_key, surrogate_key
 from stratamart.functions.money import to_usd
 from stratamart.functions.text import full_name
 from stratamart.operators.currency import with_fx_as_of, with_latest_fx
+from stratamart.operators.lookups import BROADCAST_ROWS
 
 
 def dim_customer(stg_customers: DataFrame, as_of=None) -> DataFrame:
@@ -65,22 +66,29 @@ def dim_date_of(df: DataFrame, day: str) -> DataFrame:
     return span.select(F.explode(F.sequence("first", "last")).alias("_day")).select(*calendar_columns("_day"))
 
 
-def _priced_orders(stg_orders: DataFrame, stg_fx: DataFrame, as_of_order_date: bool) -> DataFrame:
+def _priced_orders(
+    stg_orders: DataFrame, stg_fx: DataFrame, as_of_order_date: bool, lookup_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     if as_of_order_date:
         return with_fx_as_of(stg_orders, stg_fx, "currency_code", "order_date")
-    return with_latest_fx(stg_orders, stg_fx, "currency_code")
+    return with_latest_fx(stg_orders, stg_fx, "currency_code", lookup_rows)
 
 
 def fct_orders(
-    stg_orders: DataFrame, stg_fx: DataFrame, exact: bool = True, as_of_order_date: bool = False
+    stg_orders: DataFrame,
+    stg_fx: DataFrame,
+    exact: bool = True,
+    as_of_order_date: bool = False,
+    lookup_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per order, in its own currency and in USD.
 
     USD uses the newest rate of the currency, or with ``as_of_order_date`` the
-    rate in force that day. Without a rate the USD amount is NULL.
+    rate in force that day. Without a rate the USD amount is NULL. The rates are counted
+    when this is called; up to ``lookup_rows`` newest rates are broadcast.
     """
     rate = F.col("usd_per_unit")
-    return _priced_orders(stg_orders, stg_fx, as_of_order_date).select(
+    return _priced_orders(stg_orders, stg_fx, as_of_order_date, lookup_rows).select(
         F.col("order_id").alias("order_nk"),
         surrogate_key("order_id").alias("order_sk"),
         surrogate_key("customer_id").alias("customer_sk"),

@@ -23,13 +23,13 @@ def land_parquet(df: DataFrame, landing: str, dataset: str, run_id: str) -> int:
 
 
 def land_json(df: DataFrame, landing: str, dataset: str, run_id: str) -> int:
-    """Write a feed of a run as gzipped JSON lines.
+    """Write a feed of a run as JSON lines, which readers can split (gzipped ones are read too, one task a file).
 
     A frame with the one column ``json`` holds finished JSON text, line by line.
     """
     is_text = df.columns == ["json"]
     df, counter = _observed(df)
-    writer = df.write.mode("overwrite").option("compression", "gzip")
+    writer = df.write.mode("overwrite")
     (writer.text if is_text else writer.json)(f"{landing}/{dataset}/run_id={run_id}")
     return counter.get["rows"]
 
@@ -46,14 +46,30 @@ def land_all(frames: Mapping[str, DataFrame], feeds: Collection[str], landing: s
 
 
 def latest_run(spark: SparkSession, landing: str, dataset: str) -> str:
-    """The last run of a dataset in name order, from the folder names alone."""
+    """The last finished run of a dataset in name order; a run is finished once it has ``_SUCCESS``."""
+    finished = finished_runs(spark, landing, dataset)
+    if not finished:
+        raise FileNotFoundError(f"no finished run of {dataset} under {landing}")
+    return max(finished)
+
+
+def finished_runs(spark: SparkSession, landing: str, dataset: str) -> set[str]:
+    """Names of a dataset's runs whose writing has ended well."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/{dataset}")
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    runs = [s.getPath().getName() for s in files.listStatus(path)]
-    runs = [name.removeprefix("run_id=") for name in runs if name.startswith("run_id=")]
-    if not runs:
-        raise FileNotFoundError(f"no run of {dataset} under {landing}")
-    return max(runs)
+    if not files.exists(path):
+        return set()
+    folders = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith("run_id=")]
+    done = [f for f in folders if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return {f.getName().removeprefix("run_id=") for f in done}
+
+
+def latest_common_run(spark: SparkSession, landing: str, datasets: Collection[str]) -> str:
+    """The last run that every dataset has finished, so that no two are mixed."""
+    common = set.intersection(*[finished_runs(spark, landing, d) for d in datasets])
+    if not common:
+        raise FileNotFoundError(f"no run under {landing} is finished for all of {', '.join(datasets)}")
+    return max(common)
 
 
 def with_lineage(df: DataFrame, run_ts=None, source: Column | None = None) -> DataFrame:
@@ -93,7 +109,8 @@ def read_landed_parquet(
     fails the job. Integers declared as timestamps are microseconds of the epoch.
     """
     run_id = run_id or latest_run(spark, landing, dataset)
-    files = spark.read.parquet(f"{landing}/{dataset}/run_id={run_id}")
+    # Files of a run may differ in their columns; types that cannot be merged fail the job.
+    files = spark.read.option("mergeSchema", True).parquet(f"{landing}/{dataset}/run_id={run_id}")
     columns = [_as_declared(field, files.schema) for field in schema.fields]
     return with_lineage(files.select(*columns, "_metadata"), run_ts).drop("_metadata")
 

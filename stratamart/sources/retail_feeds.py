@@ -47,7 +47,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     email = F.when(version == 0, F.col("c_name")).otherwise(F.replace("c_name", F.lit("#"), F.lit(".")))
     return (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .withColumn("version", F.explode(F.array(F.lit(0), F.lit(1))))
         .select(
             F.col("c_custkey").alias("customer_id"),
@@ -73,7 +73,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         table(spark, sf_dir, "orders")
-        .join(nation, (F.col("o_custkey") % 25).cast("int") == F.col("n_nationkey"))
+        .join(nation, (F.col("o_custkey") % 25).cast("int") == F.col("n_nationkey"), "left")
         .withColumn("version", F.explode(F.array(F.lit(0), F.lit(1))))
         .select(
             F.col("o_orderkey").alias("order_id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -28,20 +29,21 @@ def landed_stream(
     return reader.parquet(path)
 
 
-def without_repeats(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
-    """Drop repeats of a key that arrive within ``lateness``; the state is bounded by it.
+def without_repeats(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest row of each key of a log; rows without a key are all kept.
 
-    Watermarks need a zoned timestamp, so a naive UTC time is watermarked as a copy.
+    Repeats are left out when a log is read, not while it is written: a watermark
+    would also drop rows that are merely late.
     """
-    timed = stream.withColumn("_event_time", F.col(event_time).cast("timestamp"))
-    return timed.withWatermark("_event_time", lateness).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return latest_by_key(log.where(~keyless), keys, order).unionByName(log.where(keyless))
 
 
 def append_log(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append what has arrived to a Parquet log, each row once, then stop.
+    """Append what has arrived to a Parquet log, each arrived row once however late it is, then stop.
 
-    This is the form for large tables: nothing is rewritten, and the batch job
-    that reads the log keeps the newest version of each key.
+    This is the form for large tables: nothing is rewritten and no state is kept. The
+    job that reads the log takes ``without_repeats`` of it.
     """
     return (
         stream.writeStream.format("parquet")
@@ -66,20 +68,23 @@ def upsert_available(
 ) -> StreamingQuery:
     """Merge what has arrived into a layer table, then stop.
 
-    Each micro-batch writes a version named after it and switches to that version
-    last. A batch repeated after a failure either finds its version current and
-    does nothing, or starts again from the version before it.
+    Each micro-batch writes a version of its own, switches to it, and then records its
+    number under the id of its streaming query, which a checkpoint keeps. Streams into
+    one table therefore never take each other's batches for their own. A batch repeated
+    after a failure finds its record and does nothing, or is merged again, which an
+    upsert makes harmless. One stream at a time may write a table.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = f"{name}-{batch_id:010d}"
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not store.exists(layer, table):
             merged = latest_by_key(batch.dropna(subset=list(keys)), keys, order, tiebreak)
-        elif store.location(layer, table).endswith(f"run_id={version}"):
+        elif int(store.mark(layer, table, f"stream.{query}") or -1) >= batch_id:
             return
         else:
             merged = upsert(store.read(layer, table), batch, keys, order, tiebreak)
-        store.write(merged, layer, table, version)
+        store.write(merged, layer, table, f"{name}-{batch_id:010d}")
+        store.set_mark(layer, table, f"stream.{query}", str(batch_id))
 
     return (
         stream.writeStream.foreachBatch(apply)

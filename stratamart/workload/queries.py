@@ -88,7 +88,7 @@ def _fct_orders(spark, d) -> DataFrame:
     return curated.fct_orders(_orders(spark, d), _fx(spark, d))
 
 
-def _fct_items(spark, d) -> DataFrame:
+def _fct_items(spark, d, orders: DataFrame | None = None) -> DataFrame:
     """Item facts straight from raw items.
 
     Joining the orders for their attributes already leaves out items of excluded
@@ -97,7 +97,7 @@ def _fct_items(spark, d) -> DataFrame:
     items = staging.clean_order_items(feeds.raw_order_items(spark, d)).withColumn(
         "_stg_load_ts", F.lit(RUN_TS).cast("timestamp_ntz")
     )
-    orders, fx = _stored(spark, d, _orders, _fx)
+    orders, fx = (orders, *_stored(spark, d, _fx)) if orders is not None else _stored(spark, d, _orders, _fx)
     return curated.fct_order_items(items, orders, fx)
 
 
@@ -263,7 +263,8 @@ def fct_order_items(spark, d):
 
 @query
 def asof_fx_orders(spark, d):
-    facts = curated.fct_orders(_orders(spark, d), _fx(spark, d), as_of_order_date=True)
+    orders, fx = _stored(spark, d, _orders, _fx)  # the facts are used twice
+    facts = curated.fct_orders(orders, fx, as_of_order_date=True)
     return _without_audit(facts).drop("order_sk", "customer_sk")
 
 
@@ -331,8 +332,9 @@ def dq_missing_fx(spark, d):
 @query
 def dq_orphan_items(spark, d):
     """Item facts without an order fact: none, since excluded orders lose their items."""
-    facts = _fct_items(spark, d).select("order_sk")
-    return quality.orphan_count(facts, _orders(spark, d).select(surrogate_key("order_id").alias("order_sk")), ["order_sk"])
+    (orders,) = _stored(spark, d, _orders)
+    facts = _fct_items(spark, d, orders).select("order_sk")
+    return quality.orphan_count(facts, orders.select(surrogate_key("order_id").alias("order_sk")), ["order_sk"])
 
 
 @query
@@ -385,7 +387,7 @@ def feed_sources(spark, d) -> dict[str, DataFrame]:
     """The five sources as an extract delivers them: three tables and two JSON feeds."""
     lineage = ("_load_ts", "_source_file")
     sources = {name: feeds.RAW[name](spark, d).drop(*lineage) for name in schemas.RELATIONAL}
-    sources["products"] = feeds.product_objects(spark, d).where("load = 0").select("json")
+    sources["products"] = feeds.product_objects(spark, d).select("json")
     sources["fx_rates"] = currency.flatten_fx_payload(feeds.fx_payloads(spark, d), "payload")
     return sources
 
@@ -436,8 +438,12 @@ def layered_build_checks(spark, d):
 
 @query
 def scd2_user_state(spark, d):
+    return _user_spells(spark, d)
+
+
+def _user_spells(spark, d, **bounds) -> DataFrame:
     events = feeds.table(spark, d, "events").select("user_id", "ts", "event_id", "event_type")
-    spells = scd2(events, ["user_id"], "ts", ["event_type"], ["event_id"])
+    spells = scd2(events, ["user_id"], "ts", ["event_type"], ["event_id"], **bounds)
     return spells.select("user_id", "event_id", "event_type", "valid_from", "valid_to", "is_current")
 
 
@@ -450,12 +456,16 @@ def incremental_extract(spark, d):
 @query
 def merge_upsert(spark, d):
     """Placement records up to the mark, with all later placements and all final states merged in."""
+    return _merged_orders(spark, d)
+
+
+def _merged_orders(spark, d, **bounds) -> DataFrame:
     raw = feeds.raw_orders(spark, d).select("order_id", "customer_id", "status", "total_amount", "modified_at")
     placed = F.col("status") == "placed"
     mark = F.lit(HIGH_WATER_MARK).cast("timestamp_ntz")
     target = raw.where(placed & (F.col("modified_at") <= mark))
     changes = raw.where(~placed | (F.col("modified_at") > mark))
-    return upsert(target, changes, ["order_id"], ["modified_at"], ["status"])
+    return upsert(target, changes, ["order_id"], ["modified_at"], ["status", "customer_id", "total_amount"], **bounds)
 
 
 @query
@@ -476,10 +486,42 @@ def stream_landing_upsert(spark, d):
 
 @query
 def stream_append_log(spark, d):
-    """Events streamed into an append-only log without repeats, summed per type."""
+    """Events streamed into an append-only log, summed per type without repeats."""
+    return _event_sums(spark, d, f"{d}/events.parquet*")
+
+
+def _event_sums(spark, d, path: str, files_per_batch: int | None = None) -> DataFrame:
     schema = feeds.table(spark, d, "events").schema
     root = shared_dir(spark, "stream")
-    stream = ingest.without_repeats(ingest.landed_stream(spark, f"{d}/events.parquet*", schema), ["event_id"], "ts", "1 day")
+    stream = ingest.landed_stream(spark, path, schema, files_per_batch=files_per_batch)
     ingest.append_log(stream, f"{root}/log", f"{root}/progress").awaitTermination()
-    log = spark.read.schema(schema).parquet(f"{root}/log")
+    log = ingest.without_repeats(spark.read.schema(schema).parquet(f"{root}/log"), ["event_id"], ["ts"])
     return log.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users"))
+
+
+@query
+def stream_append_log_files(spark, d):
+    """The same sums over events that arrive in several files, one a batch, each with all times."""
+    files = shared_dir(spark, "events")
+    feeds.table(spark, d, "events").repartition(4, "event_id").write.parquet(files)
+    return _event_sums(spark, d, files, files_per_batch=1)
+
+
+@query
+def merge_upsert_many_keys(spark, d):
+    """``merge_upsert`` with the changed keys shuffled instead of broadcast."""
+    return _merged_orders(spark, d, max_keys=0)
+
+
+@query
+def fct_orders_salted(spark, d):
+    """``fct_orders`` through the salted lookup join."""
+    orders, fx = _stored(spark, d, _orders, _fx)
+    facts = curated.fct_orders(orders, fx, lookup_rows=0)
+    return _without_audit(facts).drop("order_sk", "customer_sk")
+
+
+@query
+def scd2_user_state_cut(spark, d):
+    """``scd2_user_state`` with every key's time line cut into stretches."""
+    return _user_spells(spark, d, rows_per_task=2)
