@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stratamart.constants import BASE_CURRENCY
@@ -46,13 +48,13 @@ def latest_fx(rates: DataFrame) -> DataFrame:
     return newest.select("target_currency", "usd_per_unit")
 
 
-def with_latest_fx(facts: DataFrame, rates: DataFrame, currency: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_latest_fx(facts: DataFrame, rates: DataFrame, currency: str, max_rows: int = BROADCAST_ROWS, salt_by: Sequence[str] = ()) -> DataFrame:
     """Add ``usd_per_unit`` by currency; NULL where the currency has no rate."""
     lookup = latest_fx(rates).withColumnRenamed("target_currency", currency)
-    return lookup_join(facts, lookup, [currency], max_rows=max_rows)
+    return lookup_join(facts, lookup, [currency], max_rows=max_rows, salt_by=salt_by)
 
 
-def with_fx_as_of(facts: DataFrame, rates: DataFrame, currency: str, day: str) -> DataFrame:
+def with_fx_as_of(facts: DataFrame, rates: DataFrame, currency: str, day: str, salt_by: Sequence[str] = ()) -> DataFrame:
     """Add the ``usd_per_unit`` in force on the row's day: the last rate at or before it.
 
     The distinct (currency, day) pairs of the facts, reduced before they are
@@ -78,4 +80,4 @@ def with_fx_as_of(facts: DataFrame, rates: DataFrame, currency: str, day: str) -
         .where("_asked")
         .drop("_asked")
     )
-    return lookup_join(facts, lookup, [currency, day])
+    return lookup_join(facts, lookup, [currency, day], salt_by=salt_by)

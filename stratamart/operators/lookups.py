@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from stratamart.session import shared_dir
 
-# Rows of a lookup that may be sent to every executor. A lookup row here is a few
-# short columns, so this is some tens of megabytes at most.
+# Rows of a lookup that may be sent to every executor, and bytes as stored.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 SALTS = 64
 
 
@@ -26,13 +26,22 @@ def pin(df: DataFrame, purpose: str) -> tuple[DataFrame, int]:
     return df.sparkSession.read.schema(df.schema).parquet(path), written.get["rows"]
 
 
-def salted_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
+def stored_bytes(pinned: DataFrame) -> int:
+    """Size of a written table's files."""
+    return int(pinned._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def salted_join(
+    facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, salts: int = SALTS, salt_by: Sequence[str] = ()
+) -> DataFrame:
     """Equi-join in which every key of ``facts`` is spread over ``salts`` tasks.
 
-    The salt is a hash of the fact row, not a random number, so a re-run task
-    sends its rows to the same partitions.
+    The salt is a hash of the columns ``salt_by``, best a key of the facts, and without
+    them of the whole row, for which every column has to be read. It is no random
+    number, so a re-run task sends its rows to the same partitions.
     """
-    hashed = [f.name for f in facts.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    atomic = [f.name for f in facts.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    hashed = list(salt_by) or atomic
     spread = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*on, "_salt"], how).drop("_salt")
@@ -44,14 +53,15 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    salt_by: Sequence[str] = (),
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` without shuffling the facts where that is safe.
 
-    The lookup is written once and counted. Up to ``max_rows`` it is broadcast;
-    beyond that the join is salted, because lookup keys are few and one of them
-    may belong to most facts.
+    The lookup is written once and measured when this is called. Up to ``max_rows``
+    rows and ``BROADCAST_BYTES`` bytes it is broadcast; beyond that the join is salted
+    by ``salt_by``, because lookup keys are few and one of them may belong to most facts.
     """
     pinned, rows = pin(lookup, "lookup")
-    if rows <= max_rows:
+    if rows <= max_rows and stored_bytes(pinned) <= BROADCAST_BYTES:
         return facts.join(F.broadcast(pinned), list(on), how)
-    return salted_join(facts, pinned, on, how)
+    return salted_join(facts, pinned, on, how, salt_by=salt_by)

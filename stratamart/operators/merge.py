@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.operators.latest import latest_by_key
-from stratamart.operators.lookups import BROADCAST_ROWS, pin
+from stratamart.operators.lookups import BROADCAST_BYTES, BROADCAST_ROWS, pin, stored_bytes
 
 
 def changed_since(df: DataFrame, modified: str, high_water_mark) -> DataFrame:
@@ -46,7 +46,8 @@ def upsert(
     """
     changes = changes.select(*target.columns).dropna(subset=list(keys))
     changed_keys, count = pin(changes.select(*keys).distinct(), "changed-keys")
-    changed_keys = F.broadcast(changed_keys) if count <= max_keys else changed_keys
+    small = count <= max_keys and stored_bytes(changed_keys) <= BROADCAST_BYTES
+    changed_keys = F.broadcast(changed_keys) if small else changed_keys
     contested = target.join(changed_keys, list(keys), "left_semi").unionByName(changes)
     untouched = target.join(changed_keys, list(keys), "left_anti")
     return untouched.unionByName(latest_by_key(contested, keys, order, tiebreak))

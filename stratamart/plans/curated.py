@@ -12,6 +12,7 @@ from stratamart.functions.keys import date_key, surrogate_key
 from stratamart.functions.money import to_usd
 from stratamart.functions.text import full_name
 from stratamart.operators.currency import with_fx_as_of, with_latest_fx
+from stratamart.operators.history import ROWS_PER_TASK, scd2
 from stratamart.operators.lookups import BROADCAST_ROWS
 
 
@@ -67,11 +68,31 @@ def dim_date_of(df: DataFrame, day: str) -> DataFrame:
 
 
 def _priced_orders(
-    stg_orders: DataFrame, stg_fx: DataFrame, as_of_order_date: bool, lookup_rows: int = BROADCAST_ROWS
+    rows: DataFrame, stg_fx: DataFrame, key: str, as_of_order_date: bool, lookup_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     if as_of_order_date:
-        return with_fx_as_of(stg_orders, stg_fx, "currency_code", "order_date")
-    return with_latest_fx(stg_orders, stg_fx, "currency_code", lookup_rows)
+        return with_fx_as_of(rows, stg_fx, "currency_code", "order_date", salt_by=[key])
+    return with_latest_fx(rows, stg_fx, "currency_code", lookup_rows, salt_by=[key])
+
+
+CUSTOMER_STATE = ("email", "first_name", "last_name", "customer_segment", "country")
+
+
+def dim_customer_history(raw_customers: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Type 2 customer dimension: each spell of unchanged attributes, the current one marked.
+
+    Versions without a modification time are the newest, as in the staging table.
+    """
+    tiebreak = ["_load_ts", *CUSTOMER_STATE]
+    spells = scd2(raw_customers, ["customer_id"], "modified_at", CUSTOMER_STATE, tiebreak, rows_per_task)
+    return spells.select(
+        F.col("customer_id").alias("customer_nk"),
+        surrogate_key("customer_id").alias("customer_sk"),
+        *CUSTOMER_STATE,
+        "valid_from",
+        "valid_to",
+        "is_current",
+    )
 
 
 def fct_orders(
@@ -88,7 +109,7 @@ def fct_orders(
     when this is called; up to ``lookup_rows`` newest rates are broadcast.
     """
     rate = F.col("usd_per_unit")
-    return _priced_orders(stg_orders, stg_fx, as_of_order_date, lookup_rows).select(
+    return _priced_orders(stg_orders, stg_fx, "order_id", as_of_order_date, lookup_rows).select(
         F.col("order_id").alias("order_nk"),
         surrogate_key("order_id").alias("order_sk"),
         surrogate_key("customer_id").alias("customer_sk"),
@@ -117,7 +138,7 @@ def fct_order_items(
     """
     header = stg_orders.select("order_id", "customer_id", "order_date", "currency_code", "shipping_country")
     rate = F.col("usd_per_unit")
-    return _priced_orders(stg_order_items.join(header, "order_id"), stg_fx, as_of_order_date).select(
+    return _priced_orders(stg_order_items.join(header, "order_id"), stg_fx, "order_item_id", as_of_order_date).select(
         F.col("order_item_id").alias("order_item_nk"),
         surrogate_key("order_item_id").alias("order_item_sk"),
         surrogate_key("order_id").alias("order_sk"),

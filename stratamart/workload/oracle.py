@@ -14,7 +14,7 @@ _CTE["raw_customers"] = """
 SELECT c_custkey AS customer_id,
        (CASE WHEN version = 0 THEN c_name ELSE replace(c_name, '#', '.') END) || '@Mail.Example' AS email,
        lower(split_part(c_name, '#', 1)) AS first_name,
-       lower(c_mktsegment) || '-' || lower(n_name) AS last_name,
+       concat_ws('-', lower(c_mktsegment), lower(n_name)) AS last_name,
        lower(c_mktsegment) AS customer_segment,
        lower(n_name) AS country,
        DATE '1995-01-01' + CAST(c_custkey % 365 AS INTEGER) AS signup_date,
@@ -377,6 +377,13 @@ SELECT user_id, event_id, event_type, ts AS valid_from,
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
 FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events)
 WHERE previous IS DISTINCT FROM event_type""",
+    "scd2_dim_customer": """
+SELECT customer_id AS customer_nk, email, first_name, last_name, customer_segment, country, modified_at AS valid_from,
+  lead(modified_at) OVER w AS valid_to, lead(1) OVER w IS NULL AS is_current
+FROM (SELECT *, lag(ROW(email, first_name, last_name, customer_segment, country)) OVER w AS previous FROM raw_customers
+  WINDOW w AS (PARTITION BY customer_id ORDER BY modified_at NULLS LAST, email, first_name, last_name, customer_segment, country))
+WHERE previous IS DISTINCT FROM ROW(email, first_name, last_name, customer_segment, country)
+WINDOW w AS (PARTITION BY customer_id ORDER BY modified_at NULLS LAST, email, first_name, last_name, customer_segment, country)""",
     "incremental_extract": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'""",
     "merge_upsert": """

@@ -525,3 +525,9 @@ def fct_orders_salted(spark, d):
 def scd2_user_state_cut(spark, d):
     """``scd2_user_state`` with every key's time line cut into stretches."""
     return _user_spells(spark, d, rows_per_task=2)
+
+
+@query
+def scd2_dim_customer(spark, d):
+    """History of every customer over all raw versions."""
+    return curated.dim_customer_history(feeds.raw_customers(spark, d)).drop("customer_sk")
