@@ -1,6 +1,8 @@
 """Times the headline queries and prints one JSON line.
 
-``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the cores.
+``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the cores, and
+``BENCH_WORK_DIR`` the folder of intermediate tables (default a temporary one: the
+session is local).
 Every query is run to the last row into a sink that keeps nothing.
 """
 
@@ -9,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -49,6 +52,7 @@ def main() -> None:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.files.maxPartitionBytes", "16m")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
