@@ -114,20 +114,23 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(range_hashes(words, starts, np.minimum(starts + k, len(words))))
 
 
-def sentence_starts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray:
+def sentence_starts(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, longest: int, one_in: int
+) -> np.ndarray:
     """Index of the first word of each sentence.
 
-    A sentence ends with a word that ends in ``.``, ``!`` or ``?``, or at a line
-    end; one of more than ``longest`` words is cut every ``longest`` words.
+    A sentence ends with a word that ends in ``.``, ``!`` or ``?``, or at a line end. One
+    of more than ``longest`` words is also cut after words whose hash is a multiple of
+    ``one_in``: where the cuts are does not depend on where the sentence began.
     """
     n = len(starts)
     if not n:
         return np.zeros(0, np.int64)
     lines = np.r_[0, np.cumsum(data == 10)]
     closes = _END_MARK[data[ends[:-1] - 1]] | (lines[starts[1:]] > lines[ends[:-1]])
-    first = np.r_[True, closes]
-    began = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    return np.flatnonzero((np.arange(n) - began) % longest == 0)
+    sentence = np.r_[0, np.cumsum(closes)]
+    long = (np.bincount(sentence) > longest)[sentence]
+    return np.flatnonzero(np.r_[True, closes | (long[:-1] & (hashes[:-1] % np.uint64(one_in) == 0))])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

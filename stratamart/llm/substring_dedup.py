@@ -22,15 +22,16 @@ from pyspark.sql import DataFrame, functions as F
 from stratamart.llm.common import Columns, map_columns, mix, range_hashes, sentence_starts, small_batches, text_words
 from stratamart.operators.lookups import pin
 
-SENTENCES = 3
-WORDS = 24
-LONGEST = 16  # words; a longer sentence is cut
+SENTENCES = 2
+WORDS = 20
+LONGEST = 16  # words; a longer sentence is cut after about one word in
+ONE_IN = 8
 
 
 def sentences(text: str) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """UTF-8 bytes, first byte of each sentence, first word of each, and hashes of the words."""
     data, starts, ends, hashes = text_words(text)
-    first = sentence_starts(data, starts, ends, LONGEST)
+    first = sentence_starts(data, starts, ends, hashes, LONGEST, ONE_IN)
     at = starts[first] if len(first) else np.zeros(0, np.int64)
     if len(at):
         at = at.copy()

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 
+from stratamart.llm.common import text_words
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 SF = "/root/testdata/sf0.01"
@@ -40,16 +42,25 @@ def jaccard_components(docs):
     return [(doc, len(sets[i]), least.get(find(i))) for i, (doc, _) in enumerate(docs)]
 
 
-def sentence_words(text, longest):
+def sentence_words(text, longest, one_in):
     found = list(WORD.finditer(text or ""))
-    out, current = [], []
+    sentences, current = [], []
     for k, m in enumerate(found):
         current.append(m)
         newline = k + 1 < len(found) and "\n" in text[m.end() : found[k + 1].start()]
-        if m.group()[-1] in ".!?" or newline or len(current) == longest:
-            out.append(current)
+        if m.group()[-1] in ".!?" or newline:
+            sentences.append(current)
             current = []
-    return out + [current] if current else out
+    out = []
+    for s in [*sentences, current]:
+        piece = []
+        for m in s:
+            piece.append(m)
+            if len(s) > longest and int(text_words(m.group())[3][0]) % one_in == 0:
+                out.append(piece)
+                piece = []
+        out += [piece] if piece else []
+    return out
 
 
 def runs(lengths, sentences, least_words):
@@ -61,11 +72,11 @@ def runs(lengths, sentences, least_words):
     return sorted(out)
 
 
-def substring_dedup(docs, sentences=3, least_words=24, longest=16):
+def substring_dedup(docs, sentences=2, least_words=20, longest=16, one_in=8):
     """{doc_id: text} with the sentences of repeated runs removed."""
     first, places, cut = {}, [], {}
     for doc, text in sorted(docs.items()):
-        cut[doc] = sentence_words(text, longest)
+        cut[doc] = sentence_words(text, longest, one_in)
         for i, j in runs([len(s) for s in cut[doc]], sentences, least_words):
             key = " ".join(m.group().translate(LOWER) for s in cut[doc][i:j] for m in s)
             places.append((key, (doc, i, j)))

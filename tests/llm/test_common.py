@@ -31,12 +31,12 @@ def test_shingles_count_as_plain_sets(text, k):
     assert len(common.shingle_set(text, k)) == len(brute.shingles(text, k))
 
 
-@given(TEXT, st.integers(1, 5))
+@given(TEXT, st.integers(1, 5), st.integers(1, 4))
 @settings(max_examples=300, deadline=None)
-def test_sentences(text, longest):
-    data, starts, ends, _ = common.text_words(text)
-    firsts = common.sentence_starts(data, starts, ends, longest)
-    plain = brute.sentence_words(text, longest)
+def test_sentences(text, longest, one_in):
+    data, starts, ends, hashes = common.text_words(text)
+    firsts = common.sentence_starts(data, starts, ends, hashes, longest, one_in)
+    plain = brute.sentence_words(text, longest, one_in)
     assert list(firsts) == list(np.cumsum([0, *map(len, plain)])[:-1])
 
 
