@@ -51,7 +51,7 @@ if __name__ == "__main__":
     from __spark_entry__ import oracle_sql, queries
 
     directory = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    chosen = sys.argv[2:] or list(queries())
+    chosen = sys.argv[2:] or list(oracle_sql())
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
