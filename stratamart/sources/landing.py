@@ -60,7 +60,9 @@ def finished_runs(spark: SparkSession, landing: str, dataset: str) -> set[str]:
     if not files.exists(path):
         return set()
     folders = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith("run_id=")]
-    done = [f for f in folders if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    has = lambda folder, name: files.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, name))
+    together = has(path, "_SUCCESS")  # runs written by one partitioned job are marked together
+    done = [f for f in folders if has(f, "_SUCCESS") or (together and not has(f, "_temporary"))]
     return {f.getName().removeprefix("run_id=") for f in done}
 
 
