@@ -115,9 +115,10 @@ def pack(
             )
         ).alias("piece", "start_word"),
     ).withColumn("n_words", F.least(F.lit(capacity).cast("long"), F.col("size") - F.col("start_word")))
+    # Numbered by the scan, so that the pieces of equal rows get bins of their own too.
     whole = pieces.where("n_words = 0 OR n_words = %d" % capacity).select(
         "doc_id", "piece", "start_word", "n_words",
-        F.when(F.col("n_words") > 0, -1 - F.abs(F.xxhash64("doc_id", "cluster", "piece") % F.lit(1 << 62))).alias("bin_id"),
+        F.when(F.col("n_words") > 0, -1 - F.monotonically_increasing_id()).alias("bin_id"),
         F.lit(0).cast("long").alias("bin_offset"),
     )
     shards = max(1, -(-rows // shard_rows))

@@ -114,6 +114,35 @@ def test_packing_edge_cases(spark):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def check_copies(rows, texts, capacity, per_source):
+    """Bins of pieces, in which documents (``{doc_id: (text, source)}``) may have copies."""
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.bin_id].append(r)
+    for b, members in bins.items():
+        if b is not None:
+            assert sum(r.n_words for r in members) <= capacity
+            assert max(Counter(" ".join(brute.words(texts[r.doc_id][0].lower())) for r in members).values()) == 1
+            assert max(Counter(texts[r.doc_id][1] for r in members).values()) <= per_source
+
+
+def test_full_pieces_of_copies_have_bins_of_their_own(spark):
+    texts = {1: ("a b " * 15, "s"), 2: ("c " * 20, "s"), 3: ("c " * 20, "t"), 4: ("d " * 7, "t")}
+    rows = [(i, t, s) for i, (t, s) in texts.items() for _ in range(3)]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        got = packing.pack(df, capacity=10).collect()
+        assert Counter((r.doc_id, r.piece) for r in got) == {(1, 0): 3, (1, 1): 3, (1, 2): 3, (2, 0): 3, (2, 1): 3, (3, 0): 3, (3, 1): 3, (4, 0): 3}
+        check_copies(got, texts, 10, packing.PER_SOURCE)
+
+
+def test_bins_of_the_mixed_small_table(spark):
+    docs = spark.read.parquet(f"{brute.SF}/documents.parquet")
+    texts = {r.doc_id: (r.text, r.source) for r in docs.collect()}
+    mixed = corpus_pipeline.mix_to_targets(spark, docs, brute.SF)
+    check_copies(corpus_pipeline.pack_bins(spark, mixed, brute.SF).collect(), texts, packing.CAPACITY, packing.PER_SOURCE)
+
+
 def plain_search(rows, k):
     ok = [(i, np.floor(256 * np.array(v, float)).astype(int).tolist()) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
