@@ -114,23 +114,48 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(range_hashes(words, starts, np.minimum(starts + k, len(words))))
 
 
+def _slide(op: Callable, values: np.ndarray, window: int) -> np.ndarray:
+    """``op`` (minimum or maximum) over each full window."""
+    width = 1
+    while width < window:
+        step = min(width, window - width)
+        values = op(values[:-step], values[step:])
+        width += step
+    return values
+
+
+def least_in_window(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Which words have the least hash, or an equal one, of some ``window`` words in a row.
+
+    Each window holds one at least, and windows of equal words have the same ones.
+    """
+    if len(hashes) < window:
+        return np.zeros(len(hashes), bool)
+    edge = np.zeros(window - 1, hashes.dtype)
+    return _slide(np.maximum, np.r_[edge, _slide(np.minimum, hashes, window), edge], window) == hashes
+
+
 def sentence_starts(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, longest: int, one_in: int
-) -> np.ndarray:
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, longest: int, one_in: int = 1,
+    chosen: np.ndarray | None = None,
+) -> np.ndarray:
     """Index of the first word of each sentence.
 
     A sentence ends with a word that ends in ``.``, ``!`` or ``?``, or at a line end. One
-    of more than ``longest`` words is also cut after words whose hash is a multiple of
-    ``one_in``: where the cuts are does not depend on where the sentence began.
+    of more than ``longest`` words is also cut after the words ``chosen``, by default those
+    whose hash is a multiple of ``one_in``: where the cuts are does not depend on where the
+    sentence began.
     """
     n = len(starts)
     if not n:
         return np.zeros(0, np.int64)
+    if chosen is None:
+        chosen = hashes % np.uint64(one_in) == 0
     lines = np.r_[0, np.cumsum(data == 10)]
     closes = _END_MARK[data[ends[:-1] - 1]] | (lines[starts[1:]] > lines[ends[:-1]])
     sentence = np.r_[0, np.cumsum(closes)]
     long = (np.bincount(sentence) > longest)[sentence]
-    return np.flatnonzero(np.r_[True, closes | (long[:-1] & (hashes[:-1] % np.uint64(one_in) == 0))])
+    return np.flatnonzero(np.r_[True, closes | (long[:-1] & chosen[:-1])])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

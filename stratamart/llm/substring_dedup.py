@@ -10,6 +10,11 @@ A run is the shortest that begins (or ends) at a sentence and has at least
 ``SENTENCES`` sentences and ``WORDS`` words. Runs depend on their own words alone, so
 a shared passage has the same runs wherever it stands; runs that end at a sentence as
 well as those that begin at one are taken, so both ends of a passage are covered.
+
+Sentences of more than ``LONGEST`` words are cut where their own words say, with at most
+``WINDOW`` words between two cuts. What stands around a passage moves the cuts in its
+first and last ``WINDOW`` words only, so one of 50 words or more holds a run that all its
+copies have, wherever they stand and however they are punctuated around.
 """
 
 from __future__ import annotations
@@ -19,19 +24,19 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import Columns, map_columns, mix, range_hashes, sentence_starts, small_batches, text_words
+from stratamart.llm.common import Columns, least_in_window, map_columns, mix, range_hashes, sentence_starts, small_batches, text_words
 from stratamart.operators.lookups import pin
 
 SENTENCES = 2
 WORDS = 20
-LONGEST = 16  # words; a longer sentence is cut after about one word in
-ONE_IN = 8
+LONGEST = 10  # words; a longer sentence is cut after the word of least hash of each
+WINDOW = 10  # words
 
 
 def sentences(text: str) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """UTF-8 bytes, first byte of each sentence, first word of each, and hashes of the words."""
     data, starts, ends, hashes = text_words(text)
-    first = sentence_starts(data, starts, ends, hashes, LONGEST, ONE_IN)
+    first = sentence_starts(data, starts, ends, hashes, LONGEST, chosen=least_in_window(hashes, WINDOW))
     at = starts[first] if len(first) else np.zeros(0, np.int64)
     if len(at):
         at = at.copy()

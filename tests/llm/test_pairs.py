@@ -106,3 +106,34 @@ def test_substring_dedup_edge_cases(spark):
     got = sorted(((r.doc_id, r.text) for r in sd.deduplicate(df, keep=("doc_id", "h")).collect()), key=str)
     want = [(3, docs[0][1]), (9, "Own start here.\nOwn end."), (1, None), (2, ""), (4, "Short. Text."), (7, ""), (7, ""), (None, ""), (8, "")]
     assert got == sorted(want, key=str)
+
+
+def odd_passages(n, lengths=range(50, 81)):
+    """Passages without a fixed form, and texts that hold each between different words."""
+    rng = random.Random(5)
+    word = lambda ends: "".join(rng.choices("abcdefghij", k=5)) + "." * (rng.random() < ends)
+    for k in range(n):
+        passage = [word(rng.choice([0, 0, 0.05, 0.2])) for _ in range(lengths[k % len(lengths)])]
+        around = [[word(rng.choice([0, 0.1, 0.5])) for _ in range(rng.randint(0, 40))] for _ in range(4)]
+        yield passage, [around[0] + passage + around[1], around[2] + passage + around[3]], [len(around[0]), len(around[2])]
+
+
+def test_every_passage_holds_a_run_of_all_its_copies():
+    for passage, texts, at in odd_passages(3000):
+        inside = []
+        for words, start in zip(texts, at):
+            _, _, first, hashes = sd.sentences(" ".join(words))
+            spans = np.r_[first, len(hashes)][sd.runs(first, len(hashes))] - start
+            inside.append({(int(b), int(e)) for b, e in spans if b >= 0 and e <= len(passage)})
+        assert inside[0] & inside[1]
+
+
+def test_passages_between_random_words_are_cut(spark):
+    found = list(odd_passages(310))
+    docs = [(2 * k + c, " ".join(texts[c])) for k, (_, texts, _) in enumerate(found) for c in (0, 1)]
+    got = {r.doc_id: r.text for r in sd.deduplicate(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k, (passage, texts, _) in enumerate(found):
+        assert got[2 * k] == " ".join(texts[0])
+        assert len(brute.words(got[2 * k + 1])) <= len(texts[1]) - sd.WORDS
+        kept = set(brute.words(got[2 * k + 1]))
+        assert kept >= set(texts[1]) - set(passage)
