@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.llm import (
     chat_formatting, html_text, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules,
-    substring_dedup, topk_search,
+    simhash, substring_dedup, topk_search,
 )
 from stratamart.llm.common import fold, table
 
@@ -69,11 +69,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_quality_classifier, op3_best_fit_packing, op4_source_mixing, op5_ngram_jaccard_join,
-        op6_topk_search, op7_html_extraction, op8_language_id, op9_chat_formatting, op10_quality_rules,
+        op6_topk_search, op7_html_extraction, op8_language_id, op9_chat_formatting, op10_quality_rules, op12_simhash_dedup,
     )
 }
 
