@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.llm import (
-    chat_formatting, html_text, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules,
+    chat_formatting, hard_negatives, html_text, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules,
     simhash, substring_dedup, topk_search,
 )
 from stratamart.llm.common import fold, table
@@ -69,6 +69,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
@@ -77,7 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_quality_classifier, op3_best_fit_packing, op4_source_mixing, op5_ngram_jaccard_join,
-        op6_topk_search, op7_html_extraction, op8_language_id, op9_chat_formatting, op10_quality_rules, op12_simhash_dedup,
+        op6_topk_search, op7_html_extraction, op8_language_id, op9_chat_formatting, op10_quality_rules, op11_hard_negatives,
+        op12_simhash_dedup,
     )
 }
 
@@ -104,4 +110,19 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM t, k GROUP BY conv_id
 """,
     "op10_quality_rules": quality_rules.oracle(),
+    "op11_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+    list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id))::INTEGER AS "rank",
+  s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 100 * s.score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY "rank" <= 10
+""",
 }
