@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratamart.llm import (
-    chat_formatting, hard_negatives, html_text, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules,
+    chat_formatting, conversation_repair, hard_negatives, html_text, jaccard_join, language_id, mixing, packing, quality_classifier, quality_rules,
     simhash, substring_dedup, topk_search,
 )
 from stratamart.llm.common import fold, table
@@ -78,12 +78,16 @@ def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_quality_classifier, op3_best_fit_packing, op4_source_mixing, op5_ngram_jaccard_join,
         op6_topk_search, op7_html_extraction, op8_language_id, op9_chat_formatting, op10_quality_rules, op11_hard_negatives,
-        op12_simhash_dedup,
+        op12_simhash_dedup, op13_conversation_repair,
     )
 }
 
@@ -125,4 +129,5 @@ SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, posit
 FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 100 * s.score BETWEEN 30 * positive_score AND 90 * positive_score
 QUALIFY "rank" <= 10
 """,
+    "op13_conversation_repair": conversation_repair.oracle(),
 }
