@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 Columns = dict[str, list]
 
 WORD_CHARS = r"[^\x20\x09-\x0D]+"
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -78,7 +78,7 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _blocks(data: np.ndarray):
-    """Cut a text at white space into blocks of about a megabyte."""
+    """Cut a text at white space into blocks of about 256 kilobytes."""
     start = 0
     while len(data) - start > _BLOCK:
         end = start + _BLOCK

@@ -15,7 +15,7 @@ pigeonhole principle two similar sets agree on some segment if there are more th
   order. Of two similar sets, the one that needs fewer steps finds the other, which
   has taken those steps too. So the allocation follows cost and loses no pair.
 
-Sets that meet in a bucket are linked to the bucket's least class, not to each other.
+Sets that meet in a bucket are linked to one of its classes, not to each other.
 The components of those candidate links are looked at in blocks of bounded size, twice.
 First by parity sketches of about one bit a shingle, which two similar sets can differ
 in by at most H bits: that parts what only shared passages held together. Then the
@@ -43,10 +43,11 @@ SIMILAR = (3, 4)  # 0.75, as a fraction
 # frequent so many. Only costs depend on them.
 COMMON_DOCS = 4
 COMMON_MOST = 262_144
-STRETCH_SHINGLES = 4_000_000
+STRETCH_SHINGLES = 2_000_000
 SMALL_BAND = 63
-FLUSH_KEYS = 1_000_000
+FLUSH_KEYS = 500_000
 KEYS_PER_TASK = 1_500_000
+SETTLE_KEYS = 500_000
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 2_000_000
 _CELL_RATIO = 1.15
@@ -161,9 +162,9 @@ def _common_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
             if len(s) and (c := _class_of(s)) not in sets:
                 sets[c] = s
                 held += len(s)
-        if held >= STRETCH_SHINGLES:
-            yield counted(list(sets.values()))
-            sets, held = {}, 0
+            if held >= STRETCH_SHINGLES:
+                yield counted(list(sets.values()))
+                sets, held = {}, 0
     yield counted(list(sets.values()))
 
 
@@ -171,7 +172,8 @@ def _key_rows(common: np.ndarray, parts: int):
     """Index keys with their classes, packed for each of ``parts`` ranges of keys.
 
     A key is cut to 6 bytes, which with its range tells keys apart well enough: keys that
-    coincide only add a candidate. Classes are numbers into a list that goes along.
+    coincide only add a candidate. Classes are numbers into a list that goes along, or
+    stand beside their keys where that is shorter.
     """
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
@@ -190,9 +192,11 @@ def _key_rows(common: np.ndarray, parts: int):
             rows: Columns = {"p": part[cut].astype(np.int64), "keys": [], "numbers": [], "classes": []}
             for i, j in zip(cut, ends):
                 own, numbers = np.unique(c[i:j], return_inverse=True)
+                numbers = numbers.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
+                shorter = own.nbytes + numbers.nbytes < 8 * (j - i)  # than the class of each key
                 rows["keys"].append(k[i:j].view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES].tobytes())
-                rows["numbers"].append(numbers.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32).tobytes())
-                rows["classes"].append(own.tobytes())
+                rows["numbers"].append(numbers.tobytes() if shorter else None)
+                rows["classes"].append((own if shorter else c[i:j]).tobytes())
             return rows
 
         for b in batches:
@@ -204,9 +208,9 @@ def _key_rows(common: np.ndarray, parts: int):
                     keys.append(k)
                     classes.append(np.full(len(k), c, np.int64))
                     held += len(k)
-            if held >= FLUSH_KEYS:
-                yield out()
-                keys, classes, seen, held = [], [], set(), 0
+                if held >= FLUSH_KEYS:
+                    yield out()
+                    keys, classes, seen, held = [], [], set(), 0
         if held:
             yield out()
 
@@ -214,22 +218,31 @@ def _key_rows(common: np.ndarray, parts: int):
 
 
 def _bucket_links(batches: Iterator[Columns]) -> Iterator[Columns]:
-    """Links from the classes of a bucket to its least one; holds one class per key seen."""
+    """Links from the classes of a bucket to one of them; holds one class per key seen.
+
+    Keys are settled some at a time: only those are sorted, and new ones go to their
+    places among the known.
+    """
     known = np.zeros(0, _U)
-    least = np.zeros(0, np.int64)
+    one = np.zeros(0, np.int64)
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
     held = 0
 
     def settle() -> Columns:
-        nonlocal known, least
-        k = np.concatenate([known, *(w[0] for w in waiting)])
-        c = np.concatenate([least, *(w[1] for w in waiting)])
+        nonlocal known, one
+        k, c = (np.concatenate(w) for w in zip(*waiting))
         order = np.lexsort((c, k))
         k, c = k[order], c[order]
-        new = np.r_[True, k[1:] != k[:-1]] if len(k) else np.zeros(0, bool)
-        first = c[np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))]
-        known, least = k[new], c[new]
-        links = np.unique(np.stack([c, first], 1)[c != first], axis=0)
+        new = np.r_[True, k[1:] != k[:-1]]
+        keys, first = k[new], c[new]
+        at = np.searchsorted(known, keys)
+        seen = at < len(known)
+        seen[seen] = known[at[seen]] == keys[seen]
+        first[seen] = one[at[seen]]
+        to = first[np.cumsum(new) - 1]
+        links = np.unique(np.stack([c, to], 1)[c != to], axis=0)
+        known = np.insert(known, at[~seen], keys[~seen])
+        one = np.insert(one, at[~seen], first[~seen])
         return {"a": links[:, 0], "b": links[:, 1]}
 
     for b in batches:
@@ -237,13 +250,16 @@ def _bucket_links(batches: Iterator[Columns]) -> Iterator[Columns]:
             n = len(keys) // _KEY_BYTES
             k = np.zeros((n, 8), np.uint8)
             k[:, :_KEY_BYTES] = np.frombuffer(keys, np.uint8).reshape(n, _KEY_BYTES)
-            number = np.frombuffer(numbers, np.uint16 if len(numbers) == 2 * n else np.uint32)
-            waiting.append((k.view(_U)[:, 0], np.frombuffer(classes, np.int64)[number]))
+            own = np.frombuffer(classes, np.int64)
+            if numbers is not None:
+                own = own[np.frombuffer(numbers, np.uint16 if len(numbers) == 2 * n else np.uint32)]
+            waiting.append((k.view(_U)[:, 0], own))
             held += n
-        if held >= 2 * KEYS_PER_TASK:
-            yield settle()
-            waiting, held = [], 0
-    yield settle()
+            if held >= SETTLE_KEYS:
+                yield settle()
+                waiting, held = [], 0
+    if waiting:
+        yield settle()
 
 
 def _sketch(shingles: np.ndarray) -> np.ndarray:
@@ -381,6 +397,26 @@ def _maybe_in(wanted: DataFrame, column: str) -> Callable[[Column], Column]:
     return lambda c: F.pandas_udf(test, "boolean")(_hashed_bit(c))
 
 
+def _common_shingles(docs: DataFrame) -> np.ndarray:
+    """Sorted hashes of the most frequent shingles, at most ``COMMON_MOST``.
+
+    A histogram of their counts, of some hundred rows, gives the count from which on they
+    are few enough, so no more than are wanted reach the driver.
+    """
+    counts = map_columns(docs, _common_rows, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    counts, _ = pin(counts.withColumn("size", F.floor(8 * F.log2("n")).cast("int")), "jaccard-common")
+    total, least, share = 0, 0, 1.0
+    for size, n in sorted(counts.groupBy("size").count().collect(), reverse=True):
+        if total + n > COMMON_MOST:
+            share = (COMMON_MOST - total) / n  # of this size, by hash
+            least = size
+            break
+        total += n
+    by_hash = F.pmod(F.xxhash64("s"), F.lit(1 << 30)) < int(share * (1 << 30))
+    usual = counts.where((F.col("size") > least) | ((F.col("size") == least) & by_hash)).select("s").collect()
+    return np.sort(np.array([r["s"] for r in usual], np.int64).view(_U))
+
+
 def similarity_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id``, and ``text_key, first``.
 
@@ -398,31 +434,32 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
     members, _ = pin(map_columns(keyed, _class_rows, "doc_id long, text_key long, n long, c long, sketch binary"), "jaccard-classes")
-    counts = map_columns(docs, _common_rows, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
-    usual = [r["s"] for r in counts.orderBy(F.desc("n"), "s").limit(COMMON_MOST).collect()]
-    common = np.sort(np.array(usual, np.int64).view(_U))
+    common = _common_shingles(docs)
 
     shingles = members.agg(F.sum("n")).first()[0] or 0
-    parts = max(8, -(-shingles * 6 // 10 // KEYS_PER_TASK))
+    parts = max(8, -(-shingles // KEYS_PER_TASK))  # a set has about as many keys as shingles
     keys = map_columns(docs, _key_rows(common, parts), "p long, keys binary, numbers binary, classes binary")
-    candidates = map_columns(keys.repartition(parts, "p"), _bucket_links, "a long, b long")
+    # By the number itself: hashing it would put several parts into one task.
+    candidates = map_columns(keys.repartitionById(parts, F.col("p").cast("int")), _bucket_links, "a long, b long")
     held, _ = pin(connected_components(candidates), "jaccard-candidates")
-    classes = members.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # The least (id, text) of a class; null ids last.
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    classes = members.where("n > 0").groupBy("c").agg(F.min(place).alias("place"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     sketched, _ = pin(held.select(F.col("node").alias("c"), "root").join(classes, "c"), "jaccard-sketches")
-    dealt, _ = pin(_blocks(sketched.drop("doc")), "jaccard-sieve")
+    dealt, _ = pin(_blocks(sketched.drop("place")), "jaccard-sieve")
     sieved = map_groups(dealt.groupBy("block"), _sieve, "a long, b long")
     clusters = connected_components(sieved).select(F.col("node").alias("c"), "root")
 
     blocks = _blocks(clusters.join(sketched.drop("root", "sketch"), "c"))
-    blocks, _ = pin(blocks.select("c", "block", "side", _id("doc").alias("_doc")), "jaccard-blocks")
+    row = [_id("doc_id").alias("_doc"), "text_key"]
+    blocks, _ = pin(blocks.select("c", "block", "side", "place.*").select("c", "block", "side", *row), "jaccard-blocks")
     # Most documents are in no component; their texts need not be moved to find that out.
-    wanted = _maybe_in(blocks, "_doc")(_id("doc_id"))
-    texts = docs.where(wanted).select(_id("doc_id").alias("_doc"), "text").join(blocks, "_doc")
+    wanted = _maybe_in(blocks, "text_key")(F.col("text_key"))
+    texts = keyed.where(wanted).select(*row, "text").dropDuplicates(["_doc", "text_key"]).join(blocks, ["_doc", "text_key"])
     links = map_groups(texts.select("block", "c", "side", "text").groupBy("block"), _verify, "a long, b long")
     joined = connected_components(links)
 
-    # The least (id, text) of a class, then of its component; null ids last.
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    # The least place of a class, then of its component.
     own = members.where("n > 0").groupBy("c").agg(F.min(place).alias("place"))
     linked = own.join(joined.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     least = linked.groupBy("root").agg(F.min("place").alias("first"))
