@@ -10,6 +10,7 @@ import binascii
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -18,6 +19,7 @@ Columns = dict[str, list]
 
 WORD_CHARS = r"[^\x20\x09-\x0D]+"
 _BLOCK = 1 << 18
+BITMAP_WORDS = 1 << 18  # 64-bit words of a bitmap of wanted values, whatever the corpus
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -136,21 +138,17 @@ def least_in_window(hashes: np.ndarray, window: int) -> np.ndarray:
 
 
 def sentence_starts(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, longest: int, one_in: int = 1,
-    chosen: np.ndarray | None = None,
-) -> np.ndarray:
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chosen: np.ndarray, longest: int
+) -> np.ndarray:
     """Index of the first word of each sentence.
 
     A sentence ends with a word that ends in ``.``, ``!`` or ``?``, or at a line end. One
-    of more than ``longest`` words is also cut after the words ``chosen``, by default those
-    whose hash is a multiple of ``one_in``: where the cuts are does not depend on where the
-    sentence began.
+    of more than ``longest`` words is also cut after the words ``chosen``: where the cuts
+    are does not depend on where the sentence began.
     """
     n = len(starts)
     if not n:
         return np.zeros(0, np.int64)
-    if chosen is None:
-        chosen = hashes % np.uint64(one_in) == 0
     lines = np.r_[0, np.cumsum(data == 10)]
     closes = _END_MARK[data[ends[:-1] - 1]] | (lines[starts[1:]] > lines[ends[:-1]])
     sentence = np.r_[0, np.cumsum(closes)]
@@ -190,6 +188,30 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def _hashed_bit(column: Column) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(64 * BITMAP_WORDS))
+
+
+def maybe_in(wanted: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A test that all values of a column pass and most others do not, by a bitmap of fixed size.
+
+    The words of the bitmap are aggregates; at most ``BITMAP_WORDS`` rows reach the driver.
+    Once it is full of bits the test passes everything, which is right but saves nothing.
+    """
+    bit = _hashed_bit(F.col(column))
+    one = F.expr("shiftleft(1L, CAST(bit % 64 AS INT))")
+    words = wanted.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("word")).agg(F.bit_or(one).alias("bits"))
+    bitmap = np.zeros(BITMAP_WORDS, np.int64)
+    for word, bits in words.collect():
+        bitmap[word] = bits
+
+    def test(bits: pd.Series) -> pd.Series:
+        b = bits.to_numpy(np.int64)
+        return pd.Series(bitmap[b >> 6] >> (b & 63) & 1 == 1)
+
+    return lambda c: F.pandas_udf(test, "boolean")(_hashed_bit(c))
+
+
 def fold(id_column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % folds

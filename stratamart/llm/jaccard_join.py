@@ -27,13 +27,12 @@ of their own.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import Columns, map_columns, map_groups, mix, shingle_set, small_batches
+from stratamart.llm.common import Columns, map_columns, map_groups, maybe_in, mix, shingle_set, small_batches
 from stratamart.llm.components import connected_components
 from stratamart.operators.lookups import pin
 
@@ -52,7 +51,6 @@ BLOCK_SETS = 1024
 BLOCK_SHINGLES = 2_000_000
 _CELL_RATIO = 1.15
 _KEY_BYTES = 6
-ID_WORDS = 1 << 18  # 64-bit words of the bitmap of wanted ids, whatever the corpus
 
 _U = np.uint64
 
@@ -373,30 +371,6 @@ def _id(name: str):
     return F.coalesce(F.col(name), F.lit(-(1 << 63)).cast("long"))
 
 
-def _hashed_bit(column: Column) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(64 * ID_WORDS))
-
-
-def _maybe_in(wanted: DataFrame, column: str) -> Callable[[Column], Column]:
-    """A test that all values of a column pass and most others do not, by a bitmap of fixed size.
-
-    The words of the bitmap are aggregates; at most ``ID_WORDS`` rows reach the driver.
-    Once it is full of bits the test passes everything, which is right but saves nothing.
-    """
-    bit = _hashed_bit(F.col(column))
-    one = F.expr("shiftleft(1L, CAST(bit % 64 AS INT))")
-    words = wanted.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("word")).agg(F.bit_or(one).alias("bits"))
-    bitmap = np.zeros(ID_WORDS, np.int64)
-    for word, bits in words.collect():
-        bitmap[word] = bits
-
-    def test(bits: pd.Series) -> pd.Series:
-        b = bits.to_numpy(np.int64)
-        return pd.Series(bitmap[b >> 6] >> (b & 63) & 1 == 1)
-
-    return lambda c: F.pandas_udf(test, "boolean")(_hashed_bit(c))
-
-
 def _common_shingles(docs: DataFrame) -> np.ndarray:
     """Sorted hashes of the most frequent shingles, at most ``COMMON_MOST``.
 
@@ -454,7 +428,7 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     row = [_id("doc_id").alias("_doc"), "text_key"]
     blocks, _ = pin(blocks.select("c", "block", "side", "place.*").select("c", "block", "side", *row), "jaccard-blocks")
     # Most documents are in no component; their texts need not be moved to find that out.
-    wanted = _maybe_in(blocks, "text_key")(F.col("text_key"))
+    wanted = maybe_in(blocks, "text_key")(F.col("text_key"))
     texts = keyed.where(wanted).select(*row, "text").dropDuplicates(["_doc", "text_key"]).join(blocks, ["_doc", "text_key"])
     links = map_groups(texts.select("block", "c", "side", "text").groupBy("block"), _verify, "a long, b long")
     joined = connected_components(links)

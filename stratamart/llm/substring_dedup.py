@@ -2,9 +2,11 @@
 
 Every run of several consecutive sentences is hashed. The first occurrence of a run,
 by document id and position over the whole corpus, stays; sentences covered by any
-other occurrence are removed. Two steps join globally: the first occurrence of each
-hash is an aggregate (combined before the shuffle, so a passage in a third of all
-documents sends one row per task), and occurrences meet it by hash.
+other occurrence are removed. Hashes meet in one shuffle, packed by ranges of hashes.
+Where two occurrences meet, in a task that reads texts or in the one of their range, the
+later one is settled: it is not the first, whatever else there may be. So a task sends
+one occurrence of a hash at most per so many runs, and a range keeps one per hash, however
+many documents share a passage. Only texts with something to remove are shuffled.
 
 A run is the shortest that begins (or ends) at a sentence and has at least
 ``SENTENCES`` sentences and ``WORDS`` words. Runs depend on their own words alone, so
@@ -24,19 +26,24 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import Columns, least_in_window, map_columns, mix, range_hashes, sentence_starts, small_batches, text_words
+from stratamart.llm.common import Columns, least_in_window, map_columns, maybe_in, mix, range_hashes, sentence_starts, small_batches, text_words
 from stratamart.operators.lookups import pin
 
 SENTENCES = 2
 WORDS = 20
 LONGEST = 10  # words; a longer sentence is cut after the word of least hash of each
 WINDOW = 10  # words
+FLUSH_RUNS = 1_000_000
+RUNS_PER_TASK = 1_000_000
+SETTLE_RUNS = 500_000
+_TEXT_BYTES = 12  # of text for a run, about; it only sets the number of tasks
+_U = np.uint64
 
 
 def sentences(text: str) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """UTF-8 bytes, first byte of each sentence, first word of each, and hashes of the words."""
     data, starts, ends, hashes = text_words(text)
-    first = sentence_starts(data, starts, ends, hashes, LONGEST, chosen=least_in_window(hashes, WINDOW))
+    first = sentence_starts(data, starts, ends, least_in_window(hashes, WINDOW), LONGEST)
     at = starts[first] if len(first) else np.zeros(0, np.int64)
     if len(at):
         at = at.copy()
@@ -59,37 +66,145 @@ def runs(first: np.ndarray, n_words: int) -> np.ndarray:
     return np.unique(np.vstack([forward, backward]), axis=0)
 
 
-def _key(hashes: np.ndarray) -> int:
-    """Tells rows of one doc_id with different words apart."""
-    return int(mix(hashes.sum(dtype=np.uint64)).view(np.int64)[0]) if len(hashes) else 0
+class Occurrences:
+    """Places of runs as columns: hashes ``h, g``, document (``last``: it has no id), sentences ``b`` to ``b + n``."""
 
+    NAMES = ("h", "g", "last", "doc", "key", "b", "n")
+    TYPES = (np.uint64, np.uint16, np.uint8, np.int64, np.int64, np.uint32, np.uint8)
 
-def _span_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
-    for b in batches:
-        high, low, ids, texts, begins, ends = [], [], [], [], [], []
-        for doc_id, text in zip(b["doc_id"], b["text"]):
-            _, _, first, hashes = sentences(text or "")
-            spans = runs(first, len(hashes))
-            if not len(spans):
+    def __init__(self, columns: list[np.ndarray]) -> None:
+        self.columns = columns
+
+    @classmethod
+    def joined(cls, parts: list[Occurrences]) -> Occurrences:
+        return cls([np.concatenate(c) for c in zip(*(p.columns for p in parts))])
+
+    def __len__(self) -> int:
+        return len(self.columns[0])
+
+    def __getitem__(self, at) -> Occurrences:
+        return Occurrences([c[at] for c in self.columns])
+
+    def settled(self) -> tuple[Occurrences, Occurrences]:
+        """The first occurrence of each hash, in order of the hash, and all others."""
+        own = self[np.argsort(self.columns[0], kind="stable")]
+        h = own.columns[0]
+        same = h[1:] == h[:-1]
+        shared = np.r_[same, False] | np.r_[False, same]
+        h, g, last, doc, key, b, _ = met = own[shared].columns
+        order = np.lexsort((b, key, doc, last, g, h))
+        h, g, last, doc, key, b, _ = met = [c[order] for c in met]
+        new = np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])][: len(h)]
+        first = Occurrences(met)[new]
+        back = np.cumsum(new) - 1
+        # Equal rows of a document are one occurrence.
+        other = np.zeros(len(h), bool)
+        for c, f in zip(met[2:6], first.columns[2:6]):
+            other |= c != f[back]
+        kept = Occurrences.joined([own[~shared], first])
+        return kept[np.argsort(kept.columns[0], kind="stable")], Occurrences(met)[other]
+
+
+def _text_spans(text: str) -> list[np.ndarray]:
+    """Hashes, first sentence and number of sentences of each run of a text."""
+    _, _, first, hashes = sentences(text)
+    spans = runs(first, len(hashes))
+    edge = np.r_[first, len(hashes)]
+    start, end = edge[spans[:, 0]], edge[spans[:, 1]]
+    # 16 more bits from another function of the same words
+    more = (range_hashes(mix(hashes), start, end) >> _U(48)).astype(np.uint16)
+    return [range_hashes(hashes, start, end), more, spans[:, 0].astype(np.uint32), (spans[:, 1] - spans[:, 0]).astype(np.uint8)]
+
+
+_PACKED = "p int, settled boolean, h binary, g binary, docs binary, number binary, b binary, n binary"
+
+
+def _packed(found: Occurrences, p: int, settled: bool) -> Columns:
+    """One row: documents are numbers into a list that goes along."""
+    h, g, last, doc, key, b, n = found.columns
+    docs, number = np.unique(np.stack([last.astype(np.int64), doc, key], 1), axis=0, return_inverse=True)
+    number = number.ravel().astype(np.uint16 if len(docs) <= 1 << 16 else np.uint32)
+    return {
+        "p": [p], "settled": [settled], "h": [h.tobytes()], "g": [g.tobytes()], "docs": [docs.tobytes()],
+        "number": [number.tobytes()], "b": [b.tobytes()], "n": [n.tobytes()],
+    }
+
+
+def _unpacked(h: bytes, g: bytes, docs: bytes, number: bytes, b: bytes, n: bytes) -> Occurrences:
+    own = np.frombuffer(docs, np.int64).reshape(-1, 3)
+    count = len(n)
+    place = own[np.frombuffer(number, np.uint16 if len(number) == 2 * count else np.uint32)]
+    return Occurrences([
+        np.frombuffer(h, np.uint64), np.frombuffer(g, np.uint16), place[:, 0].astype(np.uint8), place[:, 1], place[:, 2],
+        np.frombuffer(b, np.uint32), np.frombuffer(n, np.uint8),
+    ])
+
+
+def _span_rows(parts: int):
+    """First occurrences by range of hashes, and what is settled already as it is."""
+
+    def run(batches: Iterator[Columns]) -> Iterator[Columns]:
+        held: list[Occurrences] = []
+        count = turn = 0
+
+        def out() -> Iterator[Columns]:
+            first, others = Occurrences.joined(held).settled()
+            if len(others):
+                yield _packed(others, turn % parts, True)
+            # Sorted by hash, so a range is a stretch.
+            part = ((first.columns[0] >> _U(32)) * _U(parts)) >> _U(32)
+            cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            for i, j in zip(cut, np.r_[cut[1:], len(part)]):
+                yield _packed(first[i:j], int(part[i]), False)
+
+        for b in batches:
+            for doc_id, key, text in zip(b["doc_id"], b["key"], b["text"]):
+                h, g, begin, n = _text_spans(text or "")
+                if not len(h):
+                    continue
+                same = np.ones(len(h), np.int64)
+                held.append(Occurrences([h, g, (same * (doc_id is None)).astype(np.uint8), same * (doc_id or 0), same * key, begin, n]))
+                count += len(h)
+                if count >= FLUSH_RUNS:
+                    yield from out()
+                    held, count, turn = [], 0, turn + 1
+        if held:
+            yield from out()
+
+    return run
+
+
+def _settle_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
+    """All occurrences that are not the first; holds the first one of each hash seen."""
+    known: list[Occurrences] = []
+    waiting: list[Occurrences] = []
+    count = 0
+
+    def out(others: Occurrences) -> Columns:
+        _, _, last, doc, key, b, n = others.columns
+        ids = [None if x else int(d) for x, d in zip(last, doc)]
+        return {"doc_id": ids, "key": key, "b": b.astype(np.int32), "e": b.astype(np.int32) + n}
+
+    for batch in batches:
+        for settled, *row in zip(*(batch[c] for c in ("settled", "h", "g", "docs", "number", "b", "n"))):
+            found = _unpacked(*row)
+            if settled:
+                yield out(found)
                 continue
-            edge = np.r_[first, len(hashes)]
-            h = range_hashes(hashes, edge[spans[:, 0]], edge[spans[:, 1]])
-            high.append(h.view(np.int64))
-            # 32 more bits from another function of the same words
-            low.append((range_hashes(mix(hashes), edge[spans[:, 0]], edge[spans[:, 1]]) >> np.uint64(33)).astype(np.int32))
-            ids += [doc_id] * len(spans)
-            texts.append(np.full(len(spans), _key(hashes), np.int64))
-            begins.append(spans[:, 0].astype(np.int32))
-            ends.append(spans[:, 1].astype(np.int32))
-        if ids:
-            join = np.concatenate
-            yield {"h": join(high), "g": join(low), "doc_id": ids, "k": join(texts), "b": join(begins), "e": join(ends)}
+            waiting.append(found)
+            count += len(found)
+            if count >= SETTLE_RUNS:
+                first, others = Occurrences.joined(known + waiting).settled()
+                known, waiting, count = [first], [], 0
+                yield out(others)
+    if waiting:
+        yield out(Occurrences.joined(known + waiting).settled()[1])
 
 
 def _remove_rows(keep: dict[str, str]):
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         for b in batches:
-            out: Columns = {"text": [], "n_sentences": [], "n_removed": []}
+            out: Columns = {"text": [], "n_removed": []}
             for text, spans in zip(b["_text"], b["_spans"]):
                 data, at, first, _ = sentences(text or "")
                 gone = np.zeros(len(first) + 1, np.int64)
@@ -101,50 +216,43 @@ def _remove_rows(keep: dict[str, str]):
                     edge = np.r_[at, len(data)]
                     text = b"".join(data[edge[i] : edge[i + 1]] for i in np.flatnonzero(~gone)).decode("utf-8", "replace")
                 out["text"].append(text)
-                out["n_sentences"].append(len(first))
                 out["n_removed"].append(int(gone.sum()))
             yield {v: b[v] for v in keep.values()} | out
 
     return run
 
 
-def _text_keys(batches: Iterator[Columns]) -> Iterator[Columns]:
-    for b in batches:
-        out = {name: values for name, values in b.items()}
-        out["_key"] = [_key(text_words(t or "")[3]) for t in b["_text"]]
-        yield out
-
-
 def deduplicate(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` with the remaining ``text``, ``n_sentences`` before and ``n_removed``.
+    """The columns ``keep`` with the remaining ``text`` and ``n_removed``, the sentences removed.
 
     One row per row of ``docs``; a text without repeated runs is returned unchanged.
     Null stays null and empty stays empty; a document all of whose sentences are
     repeats is left with an empty text. The first occurrence is the one with the
-    smallest doc_id (null last), then the earliest. Rows with equal doc_id and words
+    smallest doc_id (null last), then the earliest. Rows with equal doc_id and text
     count as one document, so they keep the same text. Within a document the
     same rule holds. An empty table gives no rows. Columns other than ``keep`` and
-    ``text`` are not read.
+    ``text`` are not read, whatever their names; columns ``text`` and ``n_removed`` of the
+    result are always its own.
     """
     small_batches(docs.sparkSession)
-    spans = map_columns(docs.select("doc_id", "text"), _span_rows, "h long, g int, doc_id long, k long, b int, e int")
-    # Smallest place wins: a null id is written as a larger one than any other.
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k", "b", "e")
-    first = spans.groupBy("h", "g").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Written, so that both sides of the join are shuffles of their own and AQE can split a hot hash.
-    first, _ = pin(first.select("h", "g", "first"), "substring-first")
-    repeated = spans.join(first, ["h", "g"]).where(place != F.col("first"))
-    removed = repeated.groupBy("doc_id", "k").agg(F.collect_set(F.struct("b", "e")).alias("_spans"))
+    key = F.xxhash64("text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(8, -(-size // (_TEXT_BYTES * RUNS_PER_TASK)))
+    packed = map_columns(docs.select("doc_id", key.alias("key"), "text"), _span_rows(parts), _PACKED)
+    dealt = packed.repartitionById(parts, F.col("p"))
+    places = map_columns(dealt.drop("p"), _settle_rows, "doc_id long, key long, b int, e int")
+    removed = places.groupBy("doc_id", "key").agg(F.collect_set(F.struct("b", "e")).alias("_spans"))
+    removed, _ = pin(removed.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_k"), "_spans"), "substring-removed")
 
     names = {c: f"_keep{i}" for i, c in enumerate(keep)}
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
     kept_schema = ", ".join(f"`{v}` {fields[c]}" for c, v in names.items())
-    chosen = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), *[F.col(c).alias(v) for c, v in names.items()])
-    keyed = map_columns(chosen, _text_keys, f"_id long, _text string, {kept_schema}, _key long")
-    matched = keyed.join(
-        removed.select(F.col("doc_id").alias("_doc"), F.col("k").alias("_k"), "_spans"),
-        F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_k")),
-        "left",
-    ).select("_text", "_spans", *names.values())
-    cleaned = map_columns(matched, _remove_rows(names), f"{kept_schema}, text string, n_sentences int, n_removed int")
-    return cleaned.select(*[F.col(v).alias(c) for c, v in names.items()], "text", "n_sentences", "n_removed")
+    chosen = docs.select(
+        F.col("doc_id").alias("_id"), F.col("text").alias("_text"), key.alias("_key"), *[F.col(c).alias(v) for c, v in names.items()]
+    )
+    # Most texts stay as they are and need not be moved to find that out.
+    touched = maybe_in(removed, "_k")(F.col("_key"))
+    matched = chosen.where(touched).join(removed, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_k")), "left")
+    cleaned = map_columns(matched.select("_text", "_spans", *names.values()), _remove_rows(names), f"{kept_schema}, text string, n_removed int")
+    whole = chosen.where(~touched).select(*names.values(), F.col("_text").alias("text"), F.lit(0).alias("n_removed"))
+    return whole.unionByName(cleaned).select(*[F.col(v).alias(c) for c, v in names.items()], "text", "n_removed")

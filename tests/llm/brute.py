@@ -42,11 +42,17 @@ def jaccard_components(docs):
     return [(doc, len(sets[i]), least.get(find(i))) for i, (doc, _) in enumerate(docs)]
 
 
-def sentence_words(text, longest, one_in):
+def sentence_words(text, longest, window):
+    """Words of each sentence; one of more than ``longest`` is cut after the word of least hash of each ``window`` in a row."""
     found = list(WORD.finditer(text or ""))
+    hashes = [int(text_words(m.group())[3][0]) for m in found]
+    least = set()
+    for i in range(len(found) - window + 1):
+        m = min(hashes[i : i + window])
+        least.update(j for j in range(i, i + window) if hashes[j] == m)
     sentences, current = [], []
     for k, m in enumerate(found):
-        current.append(m)
+        current.append(k)
         newline = k + 1 < len(found) and "\n" in text[m.end() : found[k + 1].start()]
         if m.group()[-1] in ".!?" or newline:
             sentences.append(current)
@@ -54,9 +60,9 @@ def sentence_words(text, longest, one_in):
     out = []
     for s in [*sentences, current]:
         piece = []
-        for m in s:
-            piece.append(m)
-            if len(s) > longest and int(text_words(m.group())[3][0]) % one_in == 0:
+        for k in s:
+            piece.append(found[k])
+            if len(s) > longest and k in least:
                 out.append(piece)
                 piece = []
         out += [piece] if piece else []
@@ -64,19 +70,25 @@ def sentence_words(text, longest, one_in):
 
 
 def runs(lengths, sentences, least_words):
+    """Shortest runs from each sentence on, and up to each sentence."""
     n, out = len(lengths), set()
-    for i in range(n):
-        out.update([(i, j) for j in range(i + sentences, n + 1) if sum(lengths[i:j]) >= least_words][:1])
-    for j in range(1, n + 1):
-        out.update([(i, j) for i in range(j - sentences, -1, -1) if sum(lengths[i:j]) >= least_words][:1])
+    for step, start in ((1, 0), (-1, n - 1)):
+        end, held = start, 0  # sentences from i up to but not including end, in this direction
+        for i in range(start, n if step > 0 else -1, step):
+            while 0 <= end < n and (abs(end - i) < sentences or held < least_words):
+                held += lengths[end]
+                end += step
+            if abs(end - i) >= sentences and held >= least_words:
+                out.add((i, end) if step > 0 else (end + 1, i + 1))
+            held -= lengths[i]
     return sorted(out)
 
 
-def substring_dedup(docs, sentences=2, least_words=20, longest=16, one_in=8):
+def substring_dedup(docs, sentences=2, least_words=20, longest=10, window=10):
     """{doc_id: text} with the sentences of repeated runs removed."""
     first, places, cut = {}, [], {}
     for doc, text in sorted(docs.items()):
-        cut[doc] = sentence_words(text, longest, one_in)
+        cut[doc] = sentence_words(text, longest, window)
         for i, j in runs([len(s) for s in cut[doc]], sentences, least_words):
             key = " ".join(m.group().translate(LOWER) for s in cut[doc][i:j] for m in s)
             places.append((key, (doc, i, j)))

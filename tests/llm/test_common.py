@@ -33,10 +33,10 @@ def test_shingles_count_as_plain_sets(text, k):
 
 @given(TEXT, st.integers(1, 5), st.integers(1, 4))
 @settings(max_examples=300, deadline=None)
-def test_sentences(text, longest, one_in):
+def test_sentences(text, longest, window):
     data, starts, ends, hashes = common.text_words(text)
-    firsts = common.sentence_starts(data, starts, ends, hashes, longest, one_in)
-    plain = brute.sentence_words(text, longest, one_in)
+    firsts = common.sentence_starts(data, starts, ends, common.least_in_window(hashes, window), longest)
+    plain = brute.sentence_words(text, longest, window)
     assert list(firsts) == list(np.cumsum([0, *map(len, plain)])[:-1])
 
 
