@@ -5,23 +5,26 @@ Each stage takes what its predecessor kept, written as Parquet and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stratamart.llm import jaccard_join, mixing, packing, quality_classifier, substring_dedup
 from stratamart.llm.common import fold, table
 from stratamart.operators.lookups import pin
 
 
-def _row_key(docs: DataFrame) -> DataFrame:
-    """Adds what tells rows apart: the id, with a value for null, and a hash of the text."""
-    no_id = F.lit(-(1 << 63)).cast("long")
-    return docs.withColumn("_id", F.coalesce(F.col("doc_id"), no_id)).withColumn("_key", F.xxhash64("text"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Each row whole, as ``row``, with what tells rows apart: the id, with a value for null, and a hash of the text."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _id("doc_id"), F.xxhash64("text").alias("key"))
+
+
+def _id(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(-(1 << 63)).cast("long")).alias("id")
 
 
 def _without_repeats(keyed: DataFrame) -> DataFrame:
     """One of each set of rows with equal id and text. Texts are moved only if there are any."""
-    repeated = keyed.groupBy("_id", "_key").count().where("count > 1")
-    return keyed.dropDuplicates(["_id", "_key"]) if repeated.limit(1).count() else keyed
+    repeated = keyed.groupBy("id", "key").count().where("count > 1")
+    return keyed.dropDuplicates(["id", "key"]) if repeated.limit(1).count() else keyed
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,30 +34,29 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that of the smallest id."""
-    keyed = _without_repeats(_row_key(docs))
-    found = jaccard_join.similarity_components(keyed.select("doc_id", "text"))
-    gone = found.where("NOT first").select(
-        F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")).alias("_id"), F.col("text_key").alias("_key")
-    )
-    return keyed.join(gone, ["_id", "_key"], "left_anti").select(docs.columns)
+    keyed = _without_repeats(_keyed(docs))
+    found = jaccard_join.similarity_components(keyed.select("row.doc_id", "row.text"))
+    gone = found.where("NOT first").select(_id("doc_id"), F.col("text_key").alias("key"))
+    return keyed.join(gone, ["id", "key"], "left_anti").select("row.*")
 
 
 def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sentences in repeated spans go, except where a span stands first."""
-    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
-    cleaned = substring_dedup.deduplicate(docs, keep=others)
-    sizes = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
-    return cleaned.withColumns(sizes).select(docs.columns)
+    own = {c: f"kept{i}" for i, c in enumerate(docs.columns)}  # names that the operator's cannot clash with
+    kept = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(v) for c, v in own.items() if c != "text"])
+    cleaned = substring_dedup.deduplicate(kept, keep=tuple(v for c, v in own.items() if c != "text"))
+    new = {"text": F.col("text")}
+    if "n_chars" in own:
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return cleaned.select(*[new.get(c, F.col(v)).alias(c) for c, v in own.items()])
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, as rows of its own."""
     mixed = mixing.mix_sources(docs)
-    keyed = mixed.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")).alias("_id"), F.col("text_key").alias("_key"), "copies")
-    taken = keyed.groupBy("_id", "_key").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-    rows = _without_repeats(_row_key(docs)).join(taken, ["_id", "_key"])
-    copied = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return copied.select(docs.columns)
+    taken = mixed.select(_id("doc_id"), F.col("text_key").alias("key"), "copies").groupBy("id", "key").agg(F.sum("copies").alias("copies"))
+    rows = _without_repeats(_keyed(docs)).join(taken.where("copies > 0"), ["id", "key"])
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
