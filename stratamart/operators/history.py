@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratamart.functions.timestamps import to_epoch_micros
-from stratamart.operators.lookups import BROADCAST_ROWS, lookup_join, pin
+from stratamart.operators.lookups import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, pin, stored_bytes
 
 # Rows of one key that a task may sort; a key with more is cut along its time line.
 ROWS_PER_TASK = 5_000_000
@@ -72,6 +72,41 @@ def _across(
     )
 
 
+def _order(changed_at: str, tiebreak: Sequence[str]) -> list[Column]:
+    return [F.col(changed_at).isNull(), F.col(changed_at), *map(F.col, tiebreak)]
+
+
+def _compared(
+    df: DataFrame, keys: Sequence[str], changed_at: str, state: Sequence[str], tiebreak: Sequence[str], rows_per_task: int
+) -> tuple[DataFrame, bool]:
+    """Rows with a key and their previous row's state; whether keys were cut into stretches."""
+    rows = df.dropna(subset=list(keys)).withColumn("_state", F.struct(*state))
+    order = _order(changed_at, tiebreak)
+    cut = _stretches(rows, keys, changed_at, rows_per_task)
+    if cut is None:
+        return rows.withColumn("_before", F.lag("_state").over(Window.partitionBy(*keys).orderBy(*order))), False
+    return _across(cut, keys, order, F.col("_state"), F.lag, F.max_by, "_before"), True
+
+
+def _opens() -> Column:
+    return ~F.col("_before").eqNullSafe(F.col("_state"))
+
+
+def _spells(changes: DataFrame, keys: Sequence[str], changed_at: str, tiebreak: Sequence[str], cut: bool) -> DataFrame:
+    """Rows that open a spell, with its bounds."""
+    order, following = _order(changed_at, tiebreak), F.struct(F.col(changed_at).alias("at"))
+    if cut:
+        spells = _across(changes, keys, order, following, F.lead, F.min_by, "_next").drop("_stretch")
+    else:
+        spells = changes.withColumn("_next", F.lead(following).over(Window.partitionBy(*keys).orderBy(*order)))
+    return (
+        spells.withColumn("valid_from", F.col(changed_at))
+        .withColumn("valid_to", F.col("_next.at"))
+        .withColumn("is_current", F.col("_next").isNull())
+        .drop("_next")
+    )
+
+
 def scd2(
     df: DataFrame,
     keys: Sequence[str],
@@ -88,25 +123,56 @@ def scd2(
     into stretches of time that are worked on apart; rows of one moment stay together.
     Rows per key are counted when this is called.
     """
-    untimed = F.col(changed_at).isNull()
-    order = [untimed, F.col(changed_at), *map(F.col, tiebreak)]
-    rows = df.dropna(subset=list(keys)).withColumn("_state", F.struct(*state))
-    cut = _stretches(rows, keys, changed_at, rows_per_task)
-    if cut is None:
-        timeline = Window.partitionBy(*keys).orderBy(*order)
-        before = rows.withColumn("_before", F.lag("_state").over(timeline))
-    else:
-        before = _across(cut, keys, order, F.col("_state"), F.lag, F.max_by, "_before")
+    before, cut = _compared(df, keys, changed_at, state, tiebreak, rows_per_task)
+    return _spells(before.where(_opens()).drop("_before", "_state"), keys, changed_at, tiebreak, cut)
 
-    changes = before.where(~F.col("_before").eqNullSafe(F.col("_state"))).drop("_before", "_state")
-    if cut is None:
-        spells = changes.withColumn("_next", F.lead(F.struct(F.col(changed_at).alias("at"))).over(timeline))
-    else:
-        following = F.struct(F.col(changed_at).alias("at"))
-        spells = _across(changes, keys, order, following, F.lead, F.min_by, "_next").drop("_stretch")
-    return (
-        spells.withColumn("valid_from", F.col(changed_at))
-        .withColumn("valid_to", F.col("_next.at"))
-        .withColumn("is_current", F.col("_next").isNull())
-        .drop("_next")
+
+def observed(
+    df: DataFrame,
+    keys: Sequence[str],
+    changed_at: str,
+    state: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Like ``scd2``, but all distinct versions stay, marked by ``opens``.
+
+    A version that repeats the state before it opens no spell and has no bounds, but a
+    late version may come to stand before it; it then opens one.
+    """
+    versions = df.select(*dict.fromkeys([*keys, changed_at, *state, *tiebreak])).distinct()
+    before, cut = _compared(versions, keys, changed_at, state, tiebreak, rows_per_task)
+    before, _ = pin(before, "history-compared")
+    plain = before.drop("_before", "_state")
+    spells = _spells(before.where(_opens()).drop("_before", "_state"), keys, changed_at, tiebreak, cut)
+    repeats = before.where(~_opens()).select(*plain.drop("_stretch").columns)
+    return spells.withColumn("opens", F.lit(True)).unionByName(repeats.withColumn("opens", F.lit(False)), allowMissingColumns=True).fillna(
+        False, ["is_current"]
     )
+
+
+def merge_history(
+    stored: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    changed_at: str,
+    state: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
+    max_keys: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Merge versions into a history kept by ``observed``, in whatever order they arrive.
+
+    A late version splits the spell it falls into, or shortens it where what follows
+    differs; a version seen before changes nothing. Only keys that have a change are
+    worked out again, the rest pass through. Merging any batches of versions, in any order,
+    gives the history of all of them. Changes without a key are left out.
+    """
+    own = list(dict.fromkeys([*keys, changed_at, *state, *tiebreak]))
+    changes = changes.select(*own).dropna(subset=list(keys))
+    changed_keys, count = pin(changes.select(*keys).distinct(), "changed-keys")
+    small = count <= max_keys and stored_bytes(changed_keys) <= BROADCAST_BYTES
+    changed_keys = F.broadcast(changed_keys) if small else changed_keys
+    met = stored.join(changed_keys, list(keys), "left_semi").select(*own).unionByName(changes)
+    again = observed(met, keys, changed_at, state, tiebreak, rows_per_task)
+    return stored.join(changed_keys, list(keys), "left_anti").unionByName(again.select(*stored.columns))

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from stratamart import schemas
 from stratamart.constants import CALENDAR_END, CALENDAR_START, RATING_BUCKETS, RATING_REST
 from stratamart.functions.calendar import calendar_columns
 from stratamart.functions.keys import date_key, surrogate_key
 from stratamart.functions.money import to_usd
 from stratamart.functions.text import full_name
 from stratamart.operators.currency import with_fx_as_of, with_latest_fx
-from stratamart.operators.history import ROWS_PER_TASK, scd2
-from stratamart.operators.lookups import BROADCAST_ROWS
+from stratamart.operators.history import ROWS_PER_TASK, merge_history, scd2
+from stratamart.operators.in_force import join_in_force
+from stratamart.operators.lookups import BROADCAST_ROWS, pin
+from stratamart.sources.cells import CellTable
 
 
 def dim_customer(stg_customers: DataFrame, as_of=None) -> DataFrame:
@@ -84,7 +87,40 @@ def dim_customer_history(raw_customers: DataFrame, rows_per_task: int = ROWS_PER
     Versions without a modification time are the newest, as in the staging table.
     """
     tiebreak = ["_load_ts", *CUSTOMER_STATE]
-    spells = scd2(raw_customers, ["customer_id"], "modified_at", CUSTOMER_STATE, tiebreak, rows_per_task)
+    return _customer_dimension(scd2(raw_customers, ["customer_id"], "modified_at", CUSTOMER_STATE, tiebreak, rows_per_task))
+
+
+_VERSION = ["customer_id", "modified_at", "_load_ts", *CUSTOMER_STATE]
+
+
+def customer_versions(spark: SparkSession, root: str, width: int = 1_000_000) -> CellTable:
+    """Where every customer version is kept with the spell it opens, in cells of ``width`` customers."""
+    kinds = schemas.raw_table("customers")
+    fields = [kinds[c] for c in ("customer_id", "modified_at", *CUSTOMER_STATE, "_load_ts")]
+    moment = T.TimestampNTZType()
+    bounds = [T.StructField("valid_from", moment), T.StructField("valid_to", moment)]
+    flags = [T.StructField(c, T.BooleanType()) for c in ("is_current", "opens")]
+    return CellTable(spark, root, T.StructType([*fields, *bounds, *flags]), "customer_id", width)
+
+
+def merge_customer_versions(table: CellTable, raw_customers: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> None:
+    """Merge raw versions into the kept ones; only cells that hold one of their customers are rewritten."""
+    changes, rows = pin(raw_customers.select(*_VERSION).dropna(subset=["customer_id"]), "customer-changes")
+    if not rows:
+        return
+    cells = table.touched(changes)
+    tiebreak = ["_load_ts", *CUSTOMER_STATE]
+    stored = table.read(cells=cells)
+    merged = merge_history(stored, changes, ["customer_id"], "modified_at", CUSTOMER_STATE, tiebreak, rows_per_task)
+    table.replace(cells, merged)
+
+
+def customer_spells(table: CellTable) -> DataFrame:
+    """The type 2 dimension that the kept versions give: the same as ``dim_customer_history`` of all of them."""
+    return _customer_dimension(table.read().where("opens"))
+
+
+def _customer_dimension(spells: DataFrame) -> DataFrame:
     return spells.select(
         F.col("customer_id").alias("customer_nk"),
         surrogate_key("customer_id").alias("customer_sk"),
@@ -95,6 +131,13 @@ def dim_customer_history(raw_customers: DataFrame, rows_per_task: int = ROWS_PER
     )
 
 
+def with_customer_in_force(facts: DataFrame, spells: DataFrame, at: str = "order_date", slot_days: float = 90) -> DataFrame:
+    """Facts with the customer's attributes as they were on the fact's day, prefixed ``customer_``."""
+    named = {c: c if c.startswith("customer_") else f"customer_{c}" for c in CUSTOMER_STATE}
+    state = spells.withColumnsRenamed(named)
+    return join_in_force(facts, state, ["customer_sk"], at, list(named.values()), slot_days=slot_days)
+
+
 def fct_orders(
     stg_orders: DataFrame,
     stg_fx: DataFrame,

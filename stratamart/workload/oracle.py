@@ -227,6 +227,14 @@ FROM (SELECT customer_segment, customer_nk, count(order_nk) AS lifetime_orders,
 GROUP BY customer_segment
 """
 
+_CTE["customer_spells"] = """
+SELECT customer_id AS customer_nk, email, first_name, last_name, customer_segment, country, modified_at AS valid_from,
+  lead(modified_at) OVER w AS valid_to, lead(1) OVER w IS NULL AS is_current
+FROM (SELECT *, lag(ROW(email, first_name, last_name, customer_segment, country)) OVER w AS previous FROM raw_customers
+  WINDOW w AS (PARTITION BY customer_id ORDER BY modified_at NULLS LAST, email, first_name, last_name, customer_segment, country))
+WHERE previous IS DISTINCT FROM ROW(email, first_name, last_name, customer_segment, country)
+WINDOW w AS (PARTITION BY customer_id ORDER BY modified_at NULLS LAST, email, first_name, last_name, customer_segment, country)"""
+
 _LAYER_TABLES = {
     "raw": ("customers", "orders", "order_items", "products", "fx_rates"),
     "staging": ("stg_orders", "stg_customers", "stg_products", "stg_fx_rates", "stg_order_items"),
@@ -377,13 +385,18 @@ SELECT user_id, event_id, event_type, ts AS valid_from,
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
 FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events)
 WHERE previous IS DISTINCT FROM event_type""",
-    "scd2_dim_customer": """
-SELECT customer_id AS customer_nk, email, first_name, last_name, customer_segment, country, modified_at AS valid_from,
-  lead(modified_at) OVER w AS valid_to, lead(1) OVER w IS NULL AS is_current
-FROM (SELECT *, lag(ROW(email, first_name, last_name, customer_segment, country)) OVER w AS previous FROM raw_customers
-  WINDOW w AS (PARTITION BY customer_id ORDER BY modified_at NULLS LAST, email, first_name, last_name, customer_segment, country))
-WHERE previous IS DISTINCT FROM ROW(email, first_name, last_name, customer_segment, country)
-WINDOW w AS (PARTITION BY customer_id ORDER BY modified_at NULLS LAST, email, first_name, last_name, customer_segment, country)""",
+    "scd2_dim_customer": "SELECT * FROM customer_spells",
+    "scd2_customer_merged": "SELECT * FROM customer_spells",
+    "fct_orders_customer_in_force": """
+SELECT order_nk, order_date, total_amount_usd, c.email AS customer_email, c.customer_segment, c.country AS customer_country
+FROM fct_orders o LEFT JOIN customer_spells c ON o.customer_id = c.customer_nk AND o.order_date >= c.valid_from
+  AND (c.valid_to IS NULL OR o.order_date < c.valid_to)""",
+    "asof_event_rates": """
+SELECT e.event_id, e.ts, e.currency, r.rate
+FROM (SELECT event_id, ts, CASE user_id % 5 WHEN 0 THEN 'EUR' WHEN 1 THEN 'GBP' WHEN 2 THEN 'INR' WHEN 3 THEN 'JPY' ELSE 'CHF' END AS currency FROM events) e
+ASOF LEFT JOIN (SELECT upper(currency) AS code, load_ts, rate FROM fx_quotes WHERE event_id % 3 = 0
+  QUALIFY row_number() OVER (PARTITION BY upper(currency), load_ts ORDER BY event_id DESC) = 1) r
+ON e.currency = r.code AND e.ts >= r.load_ts""",
     "incremental_extract": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'""",
     "merge_upsert": """
@@ -420,6 +433,7 @@ ORACLE: dict[str, str] = {name: _statement(name) for name in _FINAL}
 # Queries that reach the same result by a branch for large inputs.
 ORACLE |= {
     "merge_upsert_many_keys": ORACLE["merge_upsert"],
+    "merge_upsert_cells": ORACLE["merge_upsert"],
     "fct_orders_salted": ORACLE["fct_orders"],
     "scd2_user_state_cut": ORACLE["scd2_user_state"],
     "stream_append_log_files": ORACLE["stream_append_log"],

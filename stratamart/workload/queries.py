@@ -19,11 +19,13 @@ from stratamart.functions.timestamps import from_epoch_micros, to_epoch_micros,
 from stratamart.functions.variants import has_path, integer_field
 from stratamart.operators import currency, quality
 from stratamart.operators.history import scd2
+from stratamart.operators.in_force import join_as_of
 from stratamart.operators.lookups import pin
 from stratamart.operators.merge import changed_since, upsert
 from stratamart.plans import build, curated, marts, staging
 from stratamart.session import configure, shared_dir, side_by_side
 from stratamart.sources import retail_feeds as feeds
+from stratamart.sources.cells import CellTable
 from stratamart.sources.landing import land_parquet, read_json_rows, read_landed_parquet
 from stratamart.sources.store import LayerStore
 from stratamart.streaming import ingest
@@ -32,6 +34,8 @@ RUN_TS = "2002-01-02 00:00:00"
 AS_OF = date(2002, 1, 2)
 HIGH_WATER_MARK = datetime(2000, 1, 1)
 REQUIRED_QUOTE = "USDEUR"
+CUSTOMERS_PER_CELL = 100_000
+ORDERS_PER_CELL = 250_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -531,3 +535,49 @@ def scd2_user_state_cut(spark, d):
 def scd2_dim_customer(spark, d):
     """History of every customer over all raw versions."""
     return curated.dim_customer_history(feeds.raw_customers(spark, d)).drop("customer_sk")
+
+
+@query
+def scd2_customer_merged(spark, d):
+    """The same history, merged from batches: all changes first, then the sign-up records that came late."""
+    raw = feeds.raw_customers(spark, d)
+    late = F.col("modified_at").isNull() | (F.col("modified_at") <= F.col("created_at"))
+    odd = F.col("customer_id") % 2 == 1
+    versions = curated.customer_versions(spark, shared_dir(spark, "customers"), CUSTOMERS_PER_CELL)
+    for batch in (raw.where(~late), raw.where(late & odd), raw.where(late & ~odd)):
+        curated.merge_customer_versions(versions, batch)
+    return curated.customer_spells(versions).drop("customer_sk")
+
+
+@query
+def fct_orders_customer_in_force(spark, d):
+    """Order facts with the customer's attributes of the order's day."""
+    spells, _ = pin(curated.dim_customer_history(feeds.raw_customers(spark, d)), "spells")
+    facts, _ = pin(_fct_orders(spark, d), "facts")
+    joined = curated.with_customer_in_force(facts, spells)
+    return joined.select("order_nk", "order_date", "total_amount_usd", "customer_email", "customer_segment", "customer_country")
+
+
+@query
+def asof_event_rates(spark, d):
+    """Every event with the last rate of its currency published by then, to the microsecond."""
+    published = currency.flatten_fx_payload(
+        feeds.fx_payloads(spark, d).where(F.col("event_id") % 3 == 0), "payload", keep=("event_id", "_load_ts")
+    ).withColumn("currency", F.upper("currency"))
+    codes = F.array(*map(F.lit, ("EUR", "GBP", "INR", "JPY", "CHF")))
+    events = feeds.table(spark, d, "events").select("event_id", "ts", F.get(codes, (F.col("user_id") % 5).cast("int")).alias("currency"))
+    return join_as_of(events, published, ["currency"], "ts", "_load_ts", ["rate"], ["event_id"])
+
+
+@query
+def merge_upsert_cells(spark, d):
+    """``merge_upsert`` into a table in cells, in two batches of changes that overlap."""
+    raw = feeds.raw_orders(spark, d).select("order_id", "customer_id", "status", "total_amount", "modified_at")
+    placed = F.col("status") == "placed"
+    mark = F.lit(HIGH_WATER_MARK).cast("timestamp_ntz")
+    table = CellTable(spark, shared_dir(spark, "orders"), raw.schema, "order_id", ORDERS_PER_CELL)
+    table.write(raw.where(placed & (F.col("modified_at") <= mark)))
+    for batch in (raw.where(~placed), raw.where(F.col("modified_at") > mark)):
+        changes, _ = pin(batch, "changes")
+        table.upsert(changes, ["order_id"], ["modified_at"], ["status", "customer_id", "total_amount"])
+    return table.read()
