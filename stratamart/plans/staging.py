@@ -62,13 +62,17 @@ def stg_customers(raw: DataFrame, run_ts=None) -> DataFrame:
     return _audited(cleaned, run_ts)
 
 
+ORDER_TIEBREAK = ("status", "customer_id", "order_date", "shipping_country", "currency_code", "total_amount", "created_at")
+ITEM_TIEBREAK = ("created_at", "order_id", "product_id", "quantity", "unit_price")
+
+
 def stg_orders(raw: DataFrame, run_ts=None) -> DataFrame:
     """Newest version of each order, unless that version is cancelled or has no status."""
     newest = latest_by_key(
         raw.where(F.col("order_id").isNotNull()),
         ["order_id"],
         ["modified_at", "_load_ts"],
-        ["status", "customer_id", "order_date", "shipping_country", "currency_code", "total_amount", "created_at"],
+        ORDER_TIEBREAK,
     )
     kept = newest.withColumn("status", F.upper("status")).where(F.col("status") != EXCLUDED_ORDER_STATUS)
     return _audited(
@@ -83,7 +87,7 @@ def clean_order_items(raw: DataFrame) -> DataFrame:
         valid,
         ["order_item_id"],
         ["_load_ts"],
-        ["created_at", "order_id", "product_id", "quantity", "unit_price"],
+        ITEM_TIEBREAK,
     )
     return newest.withColumn("line_total", line_total("quantity", "unit_price"))
 

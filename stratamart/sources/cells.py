@@ -44,6 +44,11 @@ class CellTable:
             return self.spark.createDataFrame([], _MANIFEST)
         return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/run_id={version or found[-1]}")
 
+    def read_before(self, version: str, cells: DataFrame) -> DataFrame:
+        """What the cells held before a version was written."""
+        base = self.before(version)
+        return self.spark.createDataFrame([], self.schema) if base is None else self.read(base, cells)
+
     def read(self, version: str | None = None, cells: DataFrame | None = None) -> DataFrame:
         """The table, or only the cells named in the column ``cell`` of a frame."""
         chosen = self.manifest(version)
@@ -55,13 +60,22 @@ class CellTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
 
-    def write(self, df: DataFrame) -> None:
+    def before(self, version: str) -> str | None:
+        """The newest version older than ``version``, whether that exists or not."""
+        return max((v for v in self.versions() if v < version), default=None)
+
+    def write(self, df: DataFrame, version: str | None = None) -> None:
         """Replace the whole table."""
-        self._publish(self._store(df), None)
+        self._publish(self._store(df), None, version)
 
-    def replace(self, cells: DataFrame, df: DataFrame) -> None:
-        """Give the cells named in ``cells`` the rows of ``df``; all others keep their files."""
-        self._publish(self._store(df), cells.select("cell").distinct())
+    def replace(self, cells: DataFrame, df: DataFrame, version: str | None = None) -> None:
+        """Give the cells named in ``cells`` the rows of ``df``; all others keep their files.
+
+        ``version`` names the result, which must sort after all others; a version that
+        exists is left as it is, so a run that is repeated changes nothing twice.
+        """
+        if version is None or version not in self.versions():
+            self._publish(self._store(df), cells.select("cell").distinct(), version)
 
     def touched(self, changes: DataFrame) -> DataFrame:
         """The cells that hold, or would hold, the keys of ``changes``: a row per cell."""
@@ -73,7 +87,7 @@ class CellTable:
         ``changes`` is read several times; pass a stored frame.
         """
         changes = changes.dropna(subset=list(keys))
-        cells = self._named(self.touched(changes))
+        cells = self.named(self.touched(changes))
         self.replace(cells, upsert(self.read(cells=cells), changes, keys, order, tiebreak))
 
     def expire(self, keep: int = 1) -> list[str]:
@@ -91,7 +105,7 @@ class CellTable:
             at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
         return gone
 
-    def _named(self, cells: DataFrame) -> DataFrame:
+    def named(self, cells: DataFrame) -> DataFrame:
         """Cell numbers as a local frame: they are few, and are used several times."""
         return self.spark.createDataFrame([(row["cell"],) for row in cells.collect()], "cell bigint")
 
@@ -107,12 +121,12 @@ class CellTable:
             F.min(self.key).cast("bigint").alias("least"), F.max(self.key).cast("bigint").alias("greatest"), F.count(F.lit(1)).alias("row_count")
         ).select(F.col("_cell").alias("cell"), folder.alias("folder"), "least", "greatest", "row_count")
 
-    def _publish(self, new: DataFrame, replaced: DataFrame | None) -> None:
+    def _publish(self, new: DataFrame, replaced: DataFrame | None, version: str | None) -> None:
         found = self.versions()
         manifest = new
         if replaced is not None:
             same = F.col("cell").eqNullSafe(F.col("_gone"))
             kept = self.manifest().join(F.broadcast(replaced.select(F.col("cell").alias("_gone"))), same, "left_anti")
             manifest = kept.unionByName(new)
-        version = f"{int(found[-1]) + 1 if found else 0:010d}"
+        version = version or f"{int(found[-1]) + 1 if found else 0:010d}"
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/run_id={version}")

@@ -434,6 +434,9 @@ ORACLE: dict[str, str] = {name: _statement(name) for name in _FINAL}
 ORACLE |= {
     "merge_upsert_many_keys": ORACLE["merge_upsert"],
     "merge_upsert_cells": ORACLE["merge_upsert"],
+    "revenue_by_country_by_changes": ORACLE["revenue_by_country"],
+    "revenue_by_category_by_changes": ORACLE["revenue_by_category"],
+    "customer_segment_kpis_by_changes": ORACLE["customer_segment_kpis"],
     "fct_orders_salted": ORACLE["fct_orders"],
     "scd2_user_state_cut": ORACLE["scd2_user_state"],
     "stream_append_log_files": ORACLE["stream_append_log"],

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stratamart import schemas
 from stratamart.functions.keys import surrogate_key
@@ -23,6 +23,7 @@ from stratamart.operators.in_force import join_as_of
 from stratamart.operators.lookups import pin
 from stratamart.operators.merge import changed_since, upsert
 from stratamart.plans import build, curated, marts, staging
+from stratamart.plans.mart_deltas import OrderMarts
 from stratamart.session import configure, shared_dir, side_by_side
 from stratamart.sources import retail_feeds as feeds
 from stratamart.sources.cells import CellTable
@@ -581,3 +582,36 @@ def merge_upsert_cells(spark, d):
         changes, _ = pin(batch, "changes")
         table.upsert(changes, ["order_id"], ["modified_at"], ["status", "customer_id", "total_amount"])
     return table.read()
+
+
+def _kept_marts(spark, d, *kept: str) -> OrderMarts:
+    """Marts after three batches of changed orders and items; late orders meet items that came before them."""
+    products, fx, days = _stored(spark, d, _dim_product, _fx, _dim_date)
+    kept_marts = OrderMarts(spark, shared_dir(spark, "marts"), days, products, fx, kept=kept)
+    orders, items = feeds.raw_orders(spark, d), feeds.raw_order_items(spark, d)
+    since, later = (F.lit(f"{year}-01-01").cast("timestamp_ntz") for year in (1998, 2000))
+    for version, (low, high) in enumerate(((None, since), (since, later), (later, None))):
+        def batch(moment: str) -> Column:
+            old = F.col(moment) < high if high is not None else F.lit(True)
+            return F.coalesce(old & (F.col(moment) >= low) if low is not None else old, F.lit(low is None))
+
+        kept_marts.apply(orders.where(batch("modified_at")), items.where(batch("created_at")), f"{version:010d}")
+    return kept_marts
+
+
+@query
+def revenue_by_country_by_changes(spark, d):
+    """``revenue_by_country`` kept up to date by three batches of changes."""
+    return _without_audit(_kept_marts(spark, d, "country").revenue_by_country(RUN_TS))
+
+
+@query
+def revenue_by_category_by_changes(spark, d):
+    """``revenue_by_category`` kept up to date by three batches of changes."""
+    return _without_audit(_kept_marts(spark, d, "category").revenue_by_category(RUN_TS))
+
+
+@query
+def customer_segment_kpis_by_changes(spark, d):
+    """``customer_segment_kpis`` from customer totals kept up to date by three batches of changes."""
+    return _without_audit(_kept_marts(spark, d, "customer").customer_segment_kpis(_dim_customer(spark, d), RUN_TS))
