@@ -12,7 +12,7 @@ from stratamart.operators.lookups import pin
 FOREST_NODES = 500_000
 
 
-def _forest(batches: Iterator[Columns]) -> Iterator[Columns]:
+def spanning(batches: Iterator[Columns]) -> Iterator[Columns]:
     """Replace a partition's edges by edges to the least node of each of its components.
 
     Starts anew when many nodes have been seen, so memory is bounded.
@@ -49,7 +49,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Rounds grow with the logarithm of the longest path; each is written to the shared
     folder, and the last leaves the edges as the one before.
     """
-    local = map_columns(edges.where("a != b").select("a", "b"), _forest, "a long, b long")
+    local = map_columns(edges.where("a != b").select("a", "b"), spanning, "a long, b long")
     current, rows = pin(local.distinct(), "components")
     mark = None
     while rows:

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from stratamart.llm.common import Columns, map_columns, map_groups, maybe_in, mix, shingle_set, small_batches
-from stratamart.llm.components import connected_components
+from stratamart.llm.components import connected_components, spanning
 from stratamart.operators.lookups import pin
 
 SHINGLE = 5
@@ -45,7 +45,8 @@ COMMON_MOST = 262_144
 STRETCH_SHINGLES = 2_000_000
 SMALL_BAND = 63
 FLUSH_KEYS = 500_000
-KEYS_PER_TASK = 1_500_000
+KEYS_PER_PART = 1_500_000
+PARTS_PER_TASK = 8
 SETTLE_KEYS = 500_000
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 2_000_000
@@ -216,7 +217,7 @@ def _key_rows(common: np.ndarray, parts: int):
 
 
 def _bucket_links(batches: Iterator[Columns]) -> Iterator[Columns]:
-    """Links from the classes of a bucket to one of them; holds one class per key seen.
+    """Links from the classes of a bucket to one of them; part after part, holding one class per key of a part.
 
     Keys are settled some at a time: only those are sorted, and new ones go to their
     places among the known.
@@ -224,10 +225,10 @@ def _bucket_links(batches: Iterator[Columns]) -> Iterator[Columns]:
     known = np.zeros(0, _U)
     one = np.zeros(0, np.int64)
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    held = 0
+    held, part = 0, None
 
     def settle() -> Columns:
-        nonlocal known, one
+        nonlocal known, one, waiting, held
         k, c = (np.concatenate(w) for w in zip(*waiting))
         order = np.lexsort((c, k))
         k, c = k[order], c[order]
@@ -241,10 +242,15 @@ def _bucket_links(batches: Iterator[Columns]) -> Iterator[Columns]:
         links = np.unique(np.stack([c, to], 1)[c != to], axis=0)
         known = np.insert(known, at[~seen], keys[~seen])
         one = np.insert(one, at[~seen], first[~seen])
-        return {"a": links[:, 0], "b": links[:, 1]}
+        waiting, held = [], 0
+        return {"a": links[:, 0].tolist(), "b": links[:, 1].tolist()}
 
     for b in batches:
-        for keys, numbers, classes in zip(b["keys"], b["numbers"], b["classes"]):
+        for p, keys, numbers, classes in zip(b["p"], b["keys"], b["numbers"], b["classes"]):
+            if p != part:
+                if waiting:
+                    yield settle()
+                known, one, part = known[:0], one[:0], p
             n = len(keys) // _KEY_BYTES
             k = np.zeros((n, 8), np.uint8)
             k[:, :_KEY_BYTES] = np.frombuffer(keys, np.uint8).reshape(n, _KEY_BYTES)
@@ -255,7 +261,6 @@ def _bucket_links(batches: Iterator[Columns]) -> Iterator[Columns]:
             held += n
             if held >= SETTLE_KEYS:
                 yield settle()
-                waiting, held = [], 0
     if waiting:
         yield settle()
 
@@ -411,10 +416,13 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     common = _common_shingles(docs)
 
     shingles = members.agg(F.sum("n")).first()[0] or 0
-    parts = max(8, -(-shingles // KEYS_PER_TASK))  # a set has about as many keys as shingles
+    parts = max(8, -(-shingles // KEYS_PER_PART))  # a set has about as many keys as shingles
+    tasks = max(8, -(-parts // PARTS_PER_TASK))
     keys = map_columns(docs, _key_rows(common, parts), "p long, keys binary, numbers binary, classes binary")
-    # By the number itself: hashing it would put several parts into one task.
-    candidates = map_columns(keys.repartitionById(parts, F.col("p").cast("int")), _bucket_links, "a long, b long")
+    # By the number itself, so tasks are even. Sets that share many keys meet in many parts; a task keeps
+    # a link that connects, and drops those that repeat it.
+    dealt = keys.repartitionById(tasks, (F.col("p") % tasks).cast("int")).sortWithinPartitions("p")
+    candidates = map_columns(dealt, lambda batches: spanning(_bucket_links(batches)), "a long, b long")
     held, _ = pin(connected_components(candidates), "jaccard-candidates")
     # The least (id, text) of a class; null ids last.
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")

@@ -52,7 +52,8 @@ def test_small_blocks_and_cells_give_the_same(spark, monkeypatch):
     docs = near_copies(8)
     monkeypatch.setattr(jj, "BLOCK_SETS", 3)
     monkeypatch.setattr(jj, "FLUSH_KEYS", 50)
-    monkeypatch.setattr(jj, "KEYS_PER_TASK", 40)
+    monkeypatch.setattr(jj, "KEYS_PER_PART", 40)
+    monkeypatch.setattr(jj, "SETTLE_KEYS", 15)
     monkeypatch.setattr(jj, "COMMON_DOCS", 2)
     assert joined(spark, docs) == sorted(brute.jaccard_components(docs), key=str)
 
