@@ -1,10 +1,11 @@
 """Marts kept up to date by changes: signed facts instead of a rebuild.
 
-A changed order gives its old facts with sign -1 and its new ones with sign +1. Sums
-add up with their signs. A distinct count cannot be added, so each member of a group
-(a customer in a country's month, say) has a count of its facts: it is counted when that
-leaves zero and taken back when it returns there. Old facts come from the newest stored
-version of the changed orders, so neither unchanged facts nor raw history are read.
+A changed order gives what it has counted for so far with sign -1 and its new facts with
+sign +1. Sums add up with their signs. A distinct count cannot be added, so each member
+of a group (a customer in a country's month, say) has a count of its facts: it is counted
+when that leaves zero and taken back when it returns there. What an order has counted
+for is stored as it was, so a rate or category that has changed since is taken back as
+it was added. Neither unchanged facts nor raw history are read.
 """
 
 from __future__ import annotations
@@ -55,29 +56,38 @@ class Shape:
 class DeltaMart:
     """Totals per group, and per group and member, kept by signed changes.
 
-    ``cells`` is the number of cells of a period. Each change is a named version of both
-    tables. A change that is repeated after a failure finds what it has written, and works
-    out the rest from the version before it.
+    ``cells`` is the number of cells of a period. Each change is a named version of all
+    tables, the totals last. A change that is repeated after a failure finds what it has
+    written, and works out the rest from the version before it.
     """
 
-    def __init__(self, spark: SparkSession, root: str, shape: Shape, cells: int = 16):
+    def __init__(self, spark: SparkSession, root: str, shape: Shape, orders_per_cell: int, cells: int = 16):
         self.shape, width = shape, _SPREAD // cells
         own = [shape.member] if shape.member else []
+        counted = T.StructType([T.StructField("order_id", T.LongType()), *shape.fields(*own).fields[:-1]])
+        self.counted = CellTable(spark, f"{root}/counted", counted, "order_id", orders_per_cell)
         self.members = CellTable(spark, f"{root}/members", shape.fields(*own), "_key", width)
         self.totals = CellTable(spark, f"{root}/totals", shape.fields(*[f"members_{c}" for c in shape.counts]), "_key", width)
 
     def _key(self, columns: Sequence[str]) -> Column:
         return (F.expr(self.shape.period).cast("bigint") * _SPREAD + F.pmod(F.xxhash64(*columns), F.lit(_SPREAD))).alias("_key")
 
-    def apply(self, delta: DataFrame, version: str) -> None:
-        """Add signed rows: the groups, the member, and counts and sums with their signs."""
+    def apply(self, rows: DataFrame, changed: DataFrame, cells: DataFrame, version: str) -> None:
+        """Count ``rows`` (order, groups, member, counts and sums) for the orders in ``changed``, and no longer what they
+        counted for before. ``cells`` are those of the changed orders."""
         if version in self.totals.versions():
             return
         shape = self.shape
         measures = [*shape.counts, *shape.sums]
+        per_order = rows.groupBy("order_id", *shape.ids()).agg(*[F.sum(m).alias(m) for m in measures])
+        new, _ = pin(_typed(per_order, self.counted.schema), "mart-rows")
+        before = self.counted.read_before(version, cells)
+        old = before.join(changed, "order_id", "left_semi").withColumns({m: -F.col(m) for m in measures})
+        delta = new.unionByName(old)
+        self.counted.replace(cells, before.join(changed, "order_id", "left_anti").unionByName(new), version)
         grouped = delta.groupBy(*shape.ids()).agg(*[F.sum(m).alias(m) for m in measures])
-        changed = reduce(lambda a, b: a | b, [F.col(m) != 0 for m in measures])
-        change, _ = pin(grouped.where(changed).withColumn("_key", self._key(shape.ids())), "mart-change")
+        moved = reduce(lambda a, b: a | b, [F.col(m) != 0 for m in measures])
+        change, _ = pin(grouped.where(moved).withColumn("_key", self._key(shape.ids())), "mart-change")
         if shape.member:
             change = self._members(change, version)
         gained = [f"members_{c}" for c in shape.counts]
@@ -85,10 +95,10 @@ class DeltaMart:
         if not shape.member:
             per_group = per_group.withColumns({g: F.lit(0).cast("bigint") for g in gained})
         per_group, _ = pin(per_group.withColumn("_key", self._key(list(shape.groups))).select(*self.totals.schema.names), "mart-totals")
-        cells = self.totals.named(self.totals.touched(per_group))
-        both = self.totals.read_before(version, cells).unionByName(per_group)
+        touched = self.totals.named(self.totals.touched(per_group))
+        both = self.totals.read_before(version, touched).unionByName(per_group)
         merged = both.groupBy("_key", *shape.groups).agg(*[F.sum(m).alias(m) for m in [*gained, *measures]])
-        self.totals.replace(cells, _typed(merged.where(F.col(shape.counts[0]) != 0), self.totals.schema), version)
+        self.totals.replace(touched, _typed(merged.where(F.col(shape.counts[0]) != 0), self.totals.schema), version)
 
     def _members(self, change: DataFrame, version: str) -> DataFrame:
         """Update the members; the change with how many members each row adds or takes back."""
@@ -137,8 +147,8 @@ class OrderMarts:
     """The three marts over orders and items, kept up to date by changed records.
 
     The newest version of every order, whatever its status, and of every valid item are kept
-    in cells by order. The calendar, the products and the rates are those of the first
-    run: a rate or a category that changes for facts already counted needs a new start.
+    in cells by order. An order is priced by the rates, and a line takes the category, of
+    the run in which the order or one of its items last changed.
     """
 
     def __init__(
@@ -149,7 +159,7 @@ class OrderMarts:
         self.as_of_order_date = as_of_order_date
         self.orders = CellTable(spark, f"{root}/orders", schemas.raw_table("orders"), "order_id", orders_per_cell)
         self.items = CellTable(spark, f"{root}/items", schemas.raw_table("order_items"), "order_id", orders_per_cell)
-        self.kept = {name: DeltaMart(spark, f"{root}/{name}", MARTS[name]) for name in kept}
+        self.kept = {name: DeltaMart(spark, f"{root}/{name}", MARTS[name], orders_per_cell) for name in kept}
 
     def apply(self, raw_orders: DataFrame, raw_items: DataFrame, version: str) -> None:
         """Take in changed order and item records, in any order. ``version`` sorts after those before it."""
@@ -158,46 +168,40 @@ class OrderMarts:
         items, _ = pin(valid.select(*self.items.schema.names).where("order_id IS NOT NULL"), "changed-items")
         changed, _ = pin(orders.select("order_id").unionByName(items.select("order_id")).distinct(), "changed-ids")
         cells = self.orders.named(self.orders.touched(changed))
-
-        def of_changed(df: DataFrame) -> DataFrame:
-            return pin(df.join(changed, "order_id", "left_semi"), "changed-rows")[0]
-
         old_orders, old_items = self.orders.read_before(version, cells), self.items.read_before(version, cells)
-        new_orders = upsert(old_orders, orders, ["order_id"], ["modified_at", "_load_ts"], staging.ORDER_TIEBREAK)
-        new_items = upsert(old_items, items, ["order_item_id"], ["_load_ts"], staging.ITEM_TIEBREAK)
-        new_orders, new_items = pin(new_orders, "new-orders")[0], pin(new_items, "new-items")[0]
-        sides = [(1, of_changed(new_orders), of_changed(new_items)), (-1, of_changed(old_orders), of_changed(old_items))]
-        self._add(sides, version)
+        new_orders, _ = pin(upsert(old_orders, orders, ["order_id"], ["modified_at", "_load_ts"], staging.ORDER_TIEBREAK), "new-orders")
+        new_items, _ = pin(upsert(old_items, items, ["order_item_id"], ["_load_ts"], staging.ITEM_TIEBREAK), "new-items")
+        self._count(*[df.join(changed, "order_id", "left_semi") for df in (new_orders, new_items)], changed, cells, version)
         self.items.replace(cells, new_items, version)
         self.orders.replace(cells, new_orders, version)
 
-    def _add(self, sides: list[tuple[int, DataFrame, DataFrame]], version: str) -> None:
-        """Facts of both sides, with their signs, into the marts."""
-        orders, items = [], []
-        for sign, raw_orders, raw_items in sides:
-            staged, _ = pin(staging.stg_orders(raw_orders), "changed-staged")
-            orders.append(curated.fct_orders(staged, self.stg_fx, as_of_order_date=self.as_of_order_date).withColumn("sign", F.lit(sign)))
-            if "category" in self.kept:
-                lines = staging.stg_order_items(raw_items, staged)
-                items.append(curated.fct_order_items(lines, staged, self.stg_fx, as_of_order_date=self.as_of_order_date).withColumn("sign", F.lit(sign)))
-
-        def signed(column: str) -> list[Column]:
-            priced = F.when(F.col(column).isNotNull(), F.col("sign")).otherwise(0)
-            return [priced.cast("bigint").alias("priced"), (F.col("sign") * F.coalesce(column, F.lit(0))).cast(TOTAL).alias("revenue")]
-
-        one = F.col("sign").cast("bigint")
-        facts, _ = pin(orders[0].unionByName(orders[1]), "signed-orders")
-        measures = [one.alias("orders"), *signed("total_amount_usd")]
-        if "country" in self.kept:
-            dated = _on_calendar(facts, self.dim_date, "year", "month", "month_name")
-            self.kept["country"].apply(dated.select(*_COUNTRY.ids(), *measures), version)
-        if "customer" in self.kept:
-            self.kept["customer"].apply(facts.select("customer_sk", *measures), version)
-        if items:
-            dated = _on_calendar(items[0].unionByName(items[1]), self.dim_date, "year", "month", "week_of_year")
-            units = (F.col("sign") * F.col("quantity")).cast("bigint").alias("units")
-            lines = _by_category(dated, self.dim_product).select(*_CATEGORY.ids(), one.alias("lines"), units, *signed("line_total_usd"))
-            self.kept["category"].apply(lines, version)
+    def _count(self, orders: DataFrame, items: DataFrame, changed: DataFrame, cells: DataFrame, version: str) -> None:
+        """The facts of changed orders into the marts."""
+        staged, _ = pin(staging.stg_orders(orders), "changed-staged")
+
+        def priced(column: str) -> list[Column]:
+            return [F.col(column).isNotNull().cast("bigint").alias("priced"), F.coalesce(F.col(column).cast(TOTAL), F.lit(0).cast(TOTAL)).alias("revenue")]
+
+        one = F.lit(1).cast("bigint")
+        if "country" in self.kept or "customer" in self.kept:
+            made = curated.fct_orders(staged, self.stg_fx, as_of_order_date=self.as_of_order_date)
+            facts, _ = pin(made.withColumn("order_id", F.col("order_nk")), "changed-facts")
+            measures = [one.alias("orders"), *priced("total_amount_usd")]
+            if "country" in self.kept:
+                dated = _on_calendar(facts, self.dim_date, "year", "month", "month_name")
+                self.kept["country"].apply(dated.select("order_id", *_COUNTRY.ids(), *measures), changed, cells, version)
+            if "customer" in self.kept:
+                self.kept["customer"].apply(facts.select("order_id", "customer_sk", *measures), changed, cells, version)
+        if "category" in self.kept:
+            lines = staging.stg_order_items(items, staged)
+            facts = curated.fct_order_items(lines, staged, self.stg_fx, as_of_order_date=self.as_of_order_date)
+            ids = lines.select(F.col("order_item_id").alias("order_item_nk"), "order_id")
+            dated = _on_calendar(facts.join(ids, "order_item_nk"), self.dim_date, "year", "month", "week_of_year")
+            rows = _by_category(dated, self.dim_product)
+            units = F.col("quantity").cast("bigint").alias("units")
+            self.kept["category"].apply(
+                rows.select("order_id", *_CATEGORY.ids(), one.alias("lines"), units, *priced("line_total_usd")), changed, cells, version
+            )
 
     def revenue_by_country(self, run_ts=None) -> DataFrame:
         return self.kept["country"].totals.read().select(

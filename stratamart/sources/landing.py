@@ -53,6 +53,12 @@ def latest_run(spark: SparkSession, landing: str, dataset: str) -> str:
     return max(finished)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def finished_runs(spark: SparkSession, landing: str, dataset: str) -> set[str]:
     """Names of a dataset's runs whose writing has ended well."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/{dataset}")

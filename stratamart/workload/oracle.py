@@ -405,6 +405,7 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY modified_at DESC NULLS
     "stream_landing_upsert": """
 SELECT user_id, event_id, ts, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) = 1""",
+    "stream_dedupe_late": "SELECT * FROM events",
     "stream_append_log": """
 SELECT event_type, count(DISTINCT event_id) AS events, count(DISTINCT user_id) AS users FROM events GROUP BY event_type""",
 }

@@ -30,6 +30,7 @@ from stratamart.sources.cells import CellTable
 from stratamart.sources.landing import land_parquet, read_json_rows, read_landed_parquet
 from stratamart.sources.store import LayerStore
 from stratamart.streaming import ingest
+from stratamart.streaming.dedupe import Deduplicated
 
 RUN_TS = "2002-01-02 00:00:00"
 AS_OF = date(2002, 1, 2)
@@ -615,3 +616,21 @@ def revenue_by_category_by_changes(spark, d):
 def customer_segment_kpis_by_changes(spark, d):
     """``customer_segment_kpis`` from customer totals kept up to date by three batches of changes."""
     return _without_audit(_kept_marts(spark, d, "customer").customer_segment_kpis(_dim_customer(spark, d), RUN_TS))
+
+
+@query
+def stream_dedupe_late(spark, d):
+    """Events that arrive in several files, each with all times and repeats of the others: the log and the late rows."""
+    events = feeds.table(spark, d, "events")
+    files = shared_dir(spark, "events")
+    part = F.col("event_id") % 3
+    # Every file has a third of the events, and a fifth of the events of the file before.
+    copies = F.when(F.col("event_id") % 5 == 0, F.array(part, (part + 1) % 3)).otherwise(F.array(part))
+    parted = events.withColumn("file", F.explode(copies))
+    for k in range(3):
+        parted.where(F.col("file") == k).drop("file").write.mode("append").parquet(files)
+    a_third = max(1, len(spark.read.schema(events.schema).parquet(files).inputFiles()) // 3)
+    root = shared_dir(spark, "stream")
+    table = Deduplicated(spark, f"{root}/out", events.schema, ("event_id",), "ts", "2 hours")
+    table.run(ingest.landed_stream(spark, files, events.schema, files_per_batch=a_third), f"{root}/progress").awaitTermination()
+    return table.rows().drop("late")
