@@ -145,12 +145,12 @@ def _span_rows(parts: int):
 
     def run(batches: Iterator[Columns]) -> Iterator[Columns]:
         held: list[Occurrences] = []
-        count = turn = 0
+        count = 0
 
         def out() -> Iterator[Columns]:
             first, others = Occurrences.joined(held).settled()
             if len(others):
-                yield _packed(others, turn % parts, True)
+                yield _packed(others, int(others.columns[0][0] % _U(parts)), True)  # to any part
             # Sorted by hash, so a range is a stretch.
             part = ((first.columns[0] >> _U(32)) * _U(parts)) >> _U(32)
             cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
@@ -167,7 +167,7 @@ def _span_rows(parts: int):
                 count += len(h)
                 if count >= FLUSH_RUNS:
                     yield from out()
-                    held, count, turn = [], 0, turn + 1
+                    held, count = [], 0
         if held:
             yield from out()
 
