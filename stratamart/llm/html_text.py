@@ -8,8 +8,10 @@ around paragraphs, marks and indents for lists, and aligned table cells.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html import unescape
+from textwrap import wrap
 
 from pyspark.sql import DataFrame
 
@@ -19,8 +21,8 @@ from stratamart.llm.common import Columns, map_columns, small_batches
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _HIDDEN = frozenset(
-    "head title script style template noscript iframe noembed noframes object audio video canvas svg math datalist "
-    "meta link base param source track map area col colgroup".split()
+    "head title script style template noscript iframe noembed noframes object audio video canvas datalist "
+    "meta link base param source track map area col colgroup defs symbol metadata desc annotation annotation-xml".split()
 )
 _SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dl table blockquote pre figure form fieldset hr xmp".split())
 _BLOCK = _SPACED | frozenset(
@@ -48,17 +50,19 @@ _CLOSES = {
     "body": (frozenset(("head",)), frozenset()),
 }
 _BODY_ONLY = _BLOCK - {"html", "body"}
+_DRAWN = frozenset("path rect circle ellipse line polyline polygon use stop image g text tspan mspace".split())  # may end in />
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.DOTALL
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
-_VISIBILITY = re.compile(r"visibility\s*:\s*(\w+)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_DEEPEST = 150  # elements below stay children of the last one at this depth
-_WIDEST = 60  # cells up to this width are aligned
+_SHOWN_BY = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
+_BRACE = re.compile(r"([^{}]*)([{}])")
+_PART = re.compile(r"([.#]?)([\w-]+|\*)")
+_WIDTH = re.compile(r"\((min|max)-width\s*:\s*([\d.]+)(px|em|rem)\)")
+_CELL = 60  # characters; longer lines of a table cell are wrapped
+_SCREEN = 1280  # pixels, of the screen that media queries ask about
 
 Node = list  # [tag, attributes, children]; text is a plain string
 
@@ -72,19 +76,17 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
-def parse(html: str) -> tuple[Node, list[str]]:
-    """The tree of a page, and the texts of its style sheets."""
+def parse(html: str) -> tuple[Node, list[str], int]:
+    """The tree of a page, the texts of its style sheets, and its depth."""
     root: Node = ["html", {}, []]
-    stack, sheets, at = [root], [], 0
+    stack, sheets, at, deepest = [root], [], 0, 1
 
     def close(kinds: frozenset, until: frozenset) -> None:
+        # Further ones of these kinds may be open around the first, as a row around a cell.
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in kinds:
-                # Further ones of these kinds may be open around it, as a row around a cell.
                 del stack[i:]
-                close(kinds, until)
-                return
-            if stack[i][0] in until:
+            elif stack[i][0] in until:
                 return
 
     def text(piece: str) -> None:
@@ -136,41 +138,139 @@ def parse(html: str) -> tuple[Node, list[str]]:
             if tag == "style":
                 sheets.append(body)
             node[2].append(unescape(body) if tag in ("textarea", "title") else body)
-        elif tag not in _VOID and len(stack) < _DEEPEST:
+        elif tag not in _VOID and not (rest.endswith("/") and tag in _DRAWN):
             stack.append(node)
-    return root, sheets
+            deepest = max(deepest, len(stack))
+    return root, sheets, deepest
+
+
+def _on_screen(query: str) -> bool:
+    """Whether a list of media queries holds on a wide screen."""
+
+    def holds(part: str) -> bool:
+        words = re.sub(r"\([^)]*\)", " ", part).split()
+        negated = words[:1] == ["not"]
+        kind = next((w for w in words if w not in ("not", "only", "and")), "all")
+        true = kind in ("all", "screen") and "portrait" not in part
+        for side, number, unit in _WIDTH.findall(part.replace(" :", ":").replace(": ", ":")):
+            pixels = float(number) * (1 if unit == "px" else 16)
+            true = true and (pixels <= _SCREEN if side == "min" else pixels >= _SCREEN)
+        return true != negated
+
+    return any(holds(part) for part in query.lower().split(",") if part.strip()) or not query.strip()
+
+
+def style_rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """Selectors and declarations of the rules of a sheet that hold on a screen."""
+    within: list[bool | None] = []  # of each open at-rule, whether what it holds counts
+    selector = None
+    for before, brace in _BRACE.findall(re.sub(r"/\*.*?(?:\*/|$)", "", sheet, flags=re.DOTALL) + "}"):
+        head = before.rsplit(";", 1)[-1].strip() if brace == "{" else before
+        if selector is not None:
+            if brace == "}":
+                if all(within):
+                    yield selector, before
+                selector = None
+        elif brace == "}":
+            del within[-1:]
+        elif head.startswith("@"):
+            name, _, query = head[1:].partition(" ")
+            within.append(_on_screen(query) if name.lower() == "media" else name.lower() in ("supports", "layer", "container", "scope"))
+        else:
+            selector = head
+
+
+def _compounds(selector: str) -> list[tuple[str, str, frozenset, frozenset]] | None:
+    """Combinator, tag, ids and classes of each compound of a selector; None if it holds more than these."""
+    out, combinator = [], " "
+    for word in selector.replace(">", " > ").split():
+        if word == ">":
+            combinator = ">"
+            continue
+        parts = _PART.findall(word)
+        if "".join(a + b for a, b in parts) != word:
+            return None
+        named = lambda mark: frozenset(b.lower() for a, b in parts if a == mark)
+        tags = named("") - {"*"}
+        if len(tags) > 1:
+            return None
+        out.append((combinator, next(iter(tags), ""), named("#"), named(".")))
+        combinator = " "
+    return out or None
 
 
 class Visibility:
-    """What is shown: element kinds, the hidden attribute, and display and visibility from
-    style attributes and from style rules whose selector is one tag, class or id."""
+    """What is shown: element kinds, the hidden attribute, and the properties display and
+    visibility, as style rules and style attributes set them. Of several, importance, then
+    how specific the selector is, then order decides. Selectors of tags, classes and ids
+    are known, with descendants and children; rules with any other are left out.
+    """
 
     def __init__(self, sheets: list[str]) -> None:
-        self.rules: dict[str, str] = {}
+        self.rules: dict[str, list[tuple]] = {}  # by tag, class or id of the last compound
+        order = 0
         for sheet in sheets:
-            for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.DOTALL)):
-                if _NO_DISPLAY.search(body) or _VISIBILITY.search(body):
-                    for s in selectors.split(","):
-                        s = s.strip().lower()
-                        self.rules[s] = self.rules.get(s, "") + ";" + body
-
-    def style(self, tag: str, attributes: dict) -> str:
-        out = ""
+            for selectors, body in style_rules(sheet):
+                found = _SHOWN_BY.findall(body)
+                for selector in selectors.split(",") if found else ():
+                    order += 1
+                    parts = _compounds(selector)
+                    if parts:
+                        _, tag, ids, classes = parts[-1]
+                        last = "#" + min(ids) if ids else "." + min(classes) if classes else tag
+                        weight = (sum(len(p[2]) for p in parts), sum(len(p[3]) for p in parts), sum(bool(p[1]) for p in parts), order)
+                        self.rules.setdefault(last, []).append((parts, weight, found))
+        self.path: list[tuple[str, dict]] = []  # open elements
+
+    @staticmethod
+    def _fits(part: tuple, tag: str, attributes: dict) -> bool:
+        _, own, ids, classes = part
+        return (not own or own == tag) and ids <= {attributes.get("id", "").lower()} and classes <= set(attributes.get("class", "").lower().split())
+
+    def _matches(self, parts: list[tuple], tag: str, attributes: dict) -> bool:
+        if not self._fits(parts[-1], tag, attributes):
+            return False
+        at = len(self.path)
+        for part, follows in zip(reversed(parts[:-1]), reversed([p[0] for p in parts])):
+            at -= 1
+            while at >= 0 and not self._fits(part, *self.path[at]):
+                if follows == ">":
+                    return False
+                at -= 1
+            if at < 0:
+                return False
+        return True
+
+    def style(self, tag: str, attributes: dict) -> dict[str, str]:
+        """The values of display and visibility that win."""
+        best: dict[str, tuple] = {}
+
+        def offer(found: list[tuple], weight: tuple) -> None:
+            for k, (name, value, important) in enumerate(found):
+                rank = (bool(important), *weight, k)
+                if name.lower() not in best or rank > best[name.lower()][0]:
+                    best[name.lower()] = rank, value.lower()
+
         if self.rules:
-            names = [tag, *("." + c for c in attributes.get("class", "").lower().split()), "#" + attributes.get("id", "").lower()]
-            out = ";".join(self.rules[n] for n in names if n in self.rules)
-        return out + ";" + attributes["style"] if "style" in attributes else out
+            for name in ("", tag, *("." + c for c in attributes.get("class", "").lower().split()), "#" + attributes.get("id", "").lower()):
+                for parts, weight, found in self.rules.get(name, ()):
+                    if self._matches(parts, tag, attributes):
+                        offer(found, (0, *weight))
+        if "style" in attributes:
+            offer(_SHOWN_BY.findall(attributes["style"]), (1, 0, 0, 0, 0))
+        return {name: value for name, (_, value) in best.items()}
 
     def gone(self, tag: str, attributes: dict) -> bool:
-        if tag in _HIDDEN or "hidden" in attributes or (tag == "dialog" and "open" not in attributes):
+        if tag in _HIDDEN or (tag == "dialog" and "open" not in attributes):
             return True
-        return (tag != "html" or bool(attributes)) and bool(_NO_DISPLAY.search(self.style(tag, attributes)))
+        display = self.style(tag, attributes).get("display") if self.rules or "style" in attributes else None
+        return display == "none" if display not in (None, "inherit", "initial", "unset", "revert") else "hidden" in attributes
 
     def shows(self, tag: str, attributes: dict, inherited: bool) -> bool:
         if not attributes and not self.rules:
             return inherited
-        found = _VISIBILITY.findall(self.style(tag, attributes))
-        return found[-1].lower() == "visible" if found and found[-1].lower() != "inherit" else inherited
+        value = self.style(tag, attributes).get("visibility", "inherit")
+        return value == "visible" if value in ("visible", "hidden", "collapse") else inherited
 
 
 class Writer:
@@ -236,6 +336,19 @@ class Writer:
         return "\n".join(self.lines).replace("\xa0", " ").strip("\n")
 
 
+def _wrapped(text: str) -> list[str]:
+    """Lines of a cell, wrapped at spaces."""
+    out: list[str] = []
+    for line in text.split("\n"):
+        out += wrap(line, _CELL, break_long_words=False, break_on_hyphens=False) if len(line) > _CELL else [line]
+    return out
+
+
+def _cell_width(lines: list[str]) -> int:
+    """Width a cell asks for; a word too long to be wrapped sticks out of its column."""
+    return max((len(line) for line in lines if len(line) <= _CELL), default=0)
+
+
 def _int(value: str | None, default: int) -> int:
     try:
         return int(value) if value is not None else default
@@ -253,12 +366,14 @@ class Renderer:
         return out.result()
 
     def children(self, node: Node, out: Writer, shown: bool, pre: bool) -> None:
+        self.visibility.path.append((node[0], node[1]))
         for child in node[2]:
             if isinstance(child, str):
                 if shown:
                     (out.plain if pre else out.text)(child)
             else:
                 self.element(child, out, shown, pre)
+        self.visibility.path.pop()
 
     def element(self, node: Node, out: Writer, shown: bool, pre: bool) -> None:
         tag, attributes, _ = node
@@ -279,11 +394,13 @@ class Renderer:
             self.listing(node, out, shown, pre)
         elif tag == "details" and "open" not in attributes:
             out.block(1)
-            for child in node[2]:
-                if isinstance(child, list) and child[0] == "summary":
-                    self.element(child, out, shown, pre)
-                    break
+            summary = next((c for c in node[2] if isinstance(c, list) and c[0] == "summary"), None)
+            self.children([tag, attributes, [summary] if summary else []], out, shown, pre)
             out.block(1)
+        elif tag == "text":  # a label of a drawing
+            out.text(" ")
+            self.children(node, out, shown, pre)
+            out.text(" ")
         elif tag in _BLOCK:
             gap = 2 if tag in _SPACED else 1
             before = out.prefix
@@ -307,6 +424,7 @@ class Renderer:
         out.block(gap)
         before = out.prefix
         number = _int(node[1].get("start"), 1)
+        self.visibility.path.append((node[0], node[1]))
         for child in node[2]:
             if isinstance(child, list) and child[0] == "li":
                 if self.visibility.gone("li", child[1]):
@@ -326,11 +444,14 @@ class Renderer:
                 self.element(child, out, shown, pre)
             elif shown:
                 out.text(child)
+        self.visibility.path.pop()
         out.block(gap)
         out.prefix = before
 
     def rows(self, node: Node, shown: bool, found: list, loose: Writer) -> None:
-        """Rows of a table, cells as (node, shown); anything misplaced goes before the table."""
+        """Rows of a table, cells as (node, shown, path); anything misplaced goes before the table."""
+        path = self.visibility.path
+        path.append((node[0], node[1]))
         for child in node[2]:
             if isinstance(child, str):
                 if shown and not child.isspace():
@@ -344,19 +465,22 @@ class Renderer:
                 self.rows(child, now, found, loose)
             elif tag == "tr":
                 cells = []
+                path.append((tag, attributes))
                 for c in child[2]:
                     if isinstance(c, list) and c[0] in ("td", "th"):
                         if not self.visibility.gone(c[0], c[1]):
-                            cells.append((c, self.visibility.shows(c[0], c[1], now)))
+                            cells.append((c, self.visibility.shows(c[0], c[1], now), path[:]))
                     elif isinstance(c, list):
                         self.element(c, loose, now, False)
                     elif now and not c.isspace():
                         loose.text(c)
+                path.pop()
                 found.append(cells)
             elif tag in ("td", "th"):
-                found.append([(child, now)])
+                found.append([(child, now, path[:])])
             else:
                 self.element(child, loose, now, False)
+        path.pop()
 
     def table(self, node: Node, out: Writer, shown: bool) -> None:
         found: list[list] = []
@@ -367,14 +491,16 @@ class Renderer:
         for cells in found:
             row, column = [], 0
             covered, taken = taken, {k: v - 1 for k, v in taken.items() if v > 1}
-            for cell, now in cells:
+            for cell, now, path in cells:
                 while column in covered:
                     column += 1
                 span = min(100, max(1, _int(cell[1].get("colspan"), 1)))
                 deep = min(1000, max(1, _int(cell[1].get("rowspan"), 1)))
-                inner = Writer()
+                inner, before = Writer(), self.visibility.path
+                self.visibility.path = path
                 self.children(cell, inner, now, False)
-                row.append((column, span, inner.result().split("\n")))
+                self.visibility.path = before
+                row.append((column, span, _wrapped(inner.result())))
                 if deep > 1:
                     for c in range(column, column + span):
                         taken[c] = max(taken.get(c, 0), deep - 1)
@@ -383,13 +509,13 @@ class Renderer:
         widths: dict[int, int] = {}
         for row in grid:
             for column, span, lines in row:
-                if span == 1 and (w := max(map(len, lines))) <= _WIDEST:
-                    widths[column] = max(widths.get(column, 0), w)
+                if span == 1:
+                    widths[column] = max(widths.get(column, 0), _cell_width(lines))
         for row in grid:  # a wide cell over several columns widens the last of them
             for column, span, lines in row:
                 own = range(column, column + span)
-                more = max(map(len, lines)) - sum(widths.get(c, 0) for c in own) - 2 * (span - 1)
-                if span > 1 and more > 0 and max(map(len, lines)) <= _WIDEST:
+                more = _cell_width(lines) - sum(widths.get(c, 0) for c in own) - 2 * (span - 1)
+                if span > 1 and more > 0:
                     widths[own[-1]] = widths.get(own[-1], 0) + more
         before = loose.result()
         if before:
@@ -415,15 +541,18 @@ def page_text(html: str | None) -> str:
     """Visible text of a page; null and empty pages give an empty text."""
     if not html:
         return ""
-    root, sheets = parse(html.replace("\r\n", "\n").replace("\r", "\n").replace("\x00", "�"))
+    root, sheets, deepest = parse(html.replace("\r\n", "\n").replace("\r", "\n").replace("\x00", "�"))
     visibility = Visibility(sheets)
+    # Elements are written by calls within calls, three or four a level, which take heap and no stack.
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 5 * deepest + 1000))
     return "" if visibility.gone("html", root[1]) else Renderer(visibility).render(root)
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """Adds ``text`` and its length ``n_chars`` to the columns ``keep``, one row per page.
 
-    Whole pages are read and all their visible text is kept. Null and empty pages give
+    Whole pages are read, however long or deep, and all their visible text is kept. Cells of
+    tables are wrapped at 60 characters and aligned; a longer word sticks out. Null and empty pages give
     an empty text. Equal pages give equal texts, an empty table no rows. Columns other
     than ``keep`` and ``html`` are not read.
     """

@@ -41,6 +41,22 @@ PAGES = [
     ("<head><title>T</title></head><body>b", "b"),
     ("<dl><dt>T<dd>D<dt>U<dd>E</dl>", "T\n  D\nU\n  E"),
     ("<div>" * 5000 + "deep", "deep"),
+    *[("<div>" * n + "<p style='display:none'>no</p><table><tr><td>a<td>b</table>", "a  b") for n in (148, 149, 150, 151, 20_000)],
+    *[(f"<table><tr><td>{'x' * n} y<td>B<tr><td>c<td>D</table>", f"{'x' * n} y  B\nc{' ' * (n + 3)}D") for n in (57, 58)],
+    (f"<table><tr><td>{'x' * 58} yy<td>B<tr><td>c<td>D</table>", f"{'x' * 58}  B\nyy\nc{' ' * 59}D"),
+    (f"<table><tr><td>{'x' * 61}<td>B<tr><td>c<td>D</table>", f"{'x' * 61}  B\nc  D"),
+    ("<style>@media print{.a{display:none}} @media screen{.b{display:none}}</style><p class=a>a<p class=b>b", "a"),
+    ("<style>@media (max-width:600px){.a{display:none}} @media (min-width: 600px){.b{display:none}} @font-face{x:y}.c{display:none}</style>"
+     "<p class=a>a<p class=b>b<p class=c>c", "a"),
+    ("<style>.a{display:none}.a{display:block}</style><p class=a>a", "a"),
+    ("<style>.a{display:none}</style><p class=a style='display:block'>a<p class=a>b", "a"),
+    ("<style>.a{display:none!important}</style><p class=a style='display:block'>a<p>b", "b"),
+    ("<style>#i{display:block}p.a{display:none}</style><p class=a id=i>a<p class=a>b<div class=a>c</div>", "a\n\nc"),
+    ("<style>div .a{display:none}ul>.b{visibility:hidden}p:hover{display:none}</style><p class=a>a<div><b class=a>no</b>c</div><ul><li class=b>no<li>d</ul>", "a\n\nc\n\n- d"),
+    ("<style>tr .n, table.x > p{display:none}</style><table><tr><td>a<td class=n>no</table>", "a"),
+    ("<p hidden style='display:block'>shown", "shown"),
+    ("a<svg><defs><text>no</text></defs><path d=''/><text x=1>label</text><text>two</text></svg>b", "a label two b"),
+    ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>", "x=2"),
     ("</p></div>text</b>", "text"),
     ("", ""), (None, ""), ("<p>", ""), ("<table></table>", ""),
 ]
@@ -98,11 +114,27 @@ def test_conversations_read_back(spark, chars, members):
         assert "".join(p.text for p in packs).count("hi<|end|>") <= len(packs)
 
 
+def test_rows_without_a_conversation_stand_alone(spark):
+    rows = [(None, t % 3, "user", f"text {t % 5}") for t in range(60)] + [(1, 0, "user", "hi"), (1, 1, "assistant", "yes")]
+    df = spark.createDataFrame([(*r, 1, "n") for r in rows], "conv_id long, turn long, role string, text string, turns int, nodes string")
+    found = chat.digests(chat.format_conversations(df)).collect()
+    assert sorted(r.n_turns for r in found if r.conv_id is None) == [1] * 60 and len(found) == 61
+
+
 def test_no_conversations(spark):
     _, df = conversations(spark)
     assert chat.digests(chat.format_conversations(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("n", [99, 100, 255, 256, 257, 999, 1000, 1001, 20_000])
+def test_word_salad_is_accused_at_every_length(spark, n):
+    """Few different words are accused, many are not, whatever the number of words."""
+    few, many = [f"w{k % 5}" for k in range(n)], [f"w{k * 7919 % max(1, n // 2)}" for k in range(n)]
+    bad = qr.RULES["variety"][0]
+    df = spark.createDataFrame([(len(set(t)), len(t)) for t in (few, many)], "n_distinct int, n_words long")
+    assert [r[0] for r in df.selectExpr(bad).collect()] == [True, False]
+
+
 def test_quality_rules_edge_cases(spark):
     line = "one two three four five six seven eight nine ten"
     texts = [None, "", " \t\n", line, f"{line}\n{line}\n\n\n x \n x ", "#$%&*|<> a", "a b " * 40, "x" * 200_000 + " " + line]
