@@ -36,7 +36,7 @@ MAX_FALSE_ALARM = 0.02
 # which says nothing: having no odd symbols, say, is no merit.
 RULES = {
     "word_length": ("word_chars > 14 * n_words OR 2 * word_chars < 5 * n_words", "word_chars BETWEEN 3 * n_words AND 10 * n_words"),
-    "variety": ("4 * n_distinct < n_words AND n_words < 1000", "2 * n_distinct >= n_words"),
+    "variety": ("4 * n_distinct < n_words AND n_distinct < 4 * sqrt(n_words)", "2 * n_distinct >= n_words"),
     "symbols": ("10 * n_symbols > n_words", "FALSE"),
     "repeated_lines": ("2 * n_dup_lines > n_lines", "FALSE"),
     "repeated_words": ("4 * n_repeat_words > n_words", "FALSE"),
