@@ -128,8 +128,14 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def _sample(measured: DataFrame, rows: int, seed: int) -> np.ndarray:
-    """A bounded number of feature rows, the first by hash of the id."""
-    kept = measured.orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(rows).select("_features").collect()
+    """About ``rows`` feature rows, or all if there are fewer: those whose hash is low enough for their number.
+
+    The bound comes from a count, so no more than these rows leave the tasks. Rows are
+    hashed with their features, so that those without an id are chosen one by one.
+    """
+    share = int(min(1.0, rows / max(1, measured.count())) * (1 << 40))
+    low = F.pmod(F.xxhash64("_id", "_features", F.lit(seed)), F.lit(1 << 40)) < share
+    kept = measured.where(low).select("_features").limit(2 * rows).collect()  # twice, if many rows are equal
     return np.array([r[0] for r in kept], np.float64).reshape(-1, len(FEATURES))
 
 
