@@ -130,13 +130,13 @@ def balanced_sample(df: DataFrame, rows: int, seed: int = 0, rows_per_task: int
     """Decide ``probability`` of each row (``doc_id, source, size, probability, key``) to 0 or 1,
     balanced per source on documents and tokens.
 
-    Rows are dealt by their own hash and streamed, so a hot source or a row repeated
-    any number of times costs no memory. The deal depends on the number of rows, not
+    Rows are dealt by id and text and streamed, so rows without an id are spread, and a hot
+    source or a row repeated any number of times costs no memory. The deal depends on the number of rows, not
     on the cluster or the files, so reruns agree.
     """
     luck = (F.shiftrightunsigned(F.xxhash64("doc_id", "size", F.lit(seed)), 11) / F.lit(float(1 << 53))).alias("luck")
     df = df.select("doc_id", "source", "size", luck, "probability", "key")
-    first, _ = pin(_passed(df, max(1, -(-rows // rows_per_task)), False, "doc_id"), "mix-first")
+    first, _ = pin(_passed(df, max(1, -(-rows // rows_per_task)), False, "doc_id", "key"), "mix-first")
     open_rows = F.col("probability").between(_EDGE, 1 - _EDGE)
     return first.where(~open_rows).unionByName(_passed(first.where(open_rows), 8, True, "source"))
 
