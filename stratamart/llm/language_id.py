@@ -216,16 +216,20 @@ def predict(m: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
 
 
 def training_sample(docs: DataFrame, per_language: int, seed: int) -> list[tuple[str, str]]:
-    """At most ``per_language`` whole texts of each language, chosen by hash of the id.
+    """At most ``per_language`` different texts of each language, whole, chosen by hash of id and text.
 
-    Ids are chosen first; their number is bounded by the parameter and the languages,
-    so they are broadcast to fetch the texts.
+    Ids and hashes of texts are chosen first; their number is bounded by the parameter and
+    the languages, so they are broadcast to fetch the texts. Repeated rows count once, and
+    rows without an id are learnt from like others.
     """
-    luck = F.xxhash64("doc_id", F.lit(seed))
-    usable = docs.where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").select("doc_id", "lang", luck.alias("_luck"))
-    first = Window.partitionBy("lang").orderBy("_luck", "doc_id")
-    ids = usable.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= per_language).select("doc_id").distinct()
-    return [tuple(r) for r in docs.where("lang IS NOT NULL AND text IS NOT NULL").join(F.broadcast(ids), "doc_id").select("text", "lang").collect()]
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.xxhash64("text").alias("_key"), "lang", "text")
+    usable = keyed.where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
+    own = ["_id", "_key", "lang"]
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("_id", "_key", F.lit(seed)), "_id", "_key")
+    ranked = usable.select(*own).withColumn("_k", F.dense_rank().over(first)).where(F.col("_k") <= per_language)
+    chosen = ranked.select(*own).distinct()
+    texts = usable.join(F.broadcast(chosen), own, "left_semi").dropDuplicates(own)
+    return [tuple(r) for r in texts.select("text", "lang").collect()]
 
 
 def identify(docs: DataFrame, learn_from: DataFrame, keep: tuple[str, ...] = ("doc_id",), seed: int = 1) -> DataFrame:
@@ -233,7 +237,9 @@ def identify(docs: DataFrame, learn_from: DataFrame, keep: tuple[str, ...] = ("d
 
     Learns from ``text`` and ``lang`` of ``learn_from`` only. A text that is null or
     has no letter gets ``und`` and score 0, as does every text if there is nothing to
-    learn from. Texts are read whole, in windows, so their length costs no memory.
+    learn from. Texts are read whole, in windows, so their length costs no memory. Equal texts
+    get equal results, rows that repeat are rows of the result, an empty table gives none.
+    Of two languages with equal sums the first in order is taken.
     """
     small_batches(docs.sparkSession, 256)
     sample = training_sample(learn_from, TRAIN_DOCS, seed)
