@@ -136,14 +136,16 @@ def format_conversations(
 
     A conversation is its rows by turn, ties by role and text, nulls first; rows that
     repeat are turns that repeat. Null roles and texts are empty; rows without a
-    conv_id form one conversation with a null id. A pack has at most ``pack_chars``
+    conv_id belong to no other row, so each is a conversation of one turn with a null id,
+    however many there are. A pack has at most ``pack_chars``
     characters, except where one conversation alone is longer. Equal conversations
     are written once per pack and are all members. Other columns are not read. An
     empty table gives no rows.
     """
     small_batches(rows.sparkSession)
     turn = F.struct("turn", "role", "text")
-    whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    whole = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    whole = whole.unionByName(rows.where("conv_id IS NULL").select("conv_id", F.array(turn).alias("turns")))
     hashes = F.transform("turns", lambda t: F.xxhash64(F.coalesce(t["role"], F.lit("")), F.coalesce(t["text"], F.lit(""))))
     ordered = whole.withColumn("_path", hashes)
     dealt = ordered.repartitionByRange("_path", "conv_id").sortWithinPartitions("_path", "conv_id")
