@@ -64,6 +64,11 @@ class CellTable:
         """The newest version older than ``version``, whether that exists or not."""
         return max((v for v in self.versions() if v < version), default=None)
 
+    def lookup(self, keys: Sequence[int], version: str | None = None) -> DataFrame:
+        """The rows of some keys. Only the folders of their cells are opened, and in them the row groups that may hold them."""
+        cells = self.spark.createDataFrame([(k // self.width,) for k in keys], "cell bigint")
+        return self.read(version, cells).where(F.col(self.key).isin(list(keys)))
+
     def write(self, df: DataFrame, version: str | None = None) -> None:
         """Replace the whole table."""
         self._publish(self._store(df), None, version)

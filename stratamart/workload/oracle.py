@@ -367,6 +367,18 @@ UNION ALL SELECT 'raw.order_items is not empty', CAST(count(*) = 0 AS BIGINT) FR
 UNION ALL SELECT 'raw.products is not empty', CAST(count(*) = 0 AS BIGINT) FROM raw_products
 UNION ALL SELECT 'raw.fx_rates is not empty', CAST(count(*) = 0 AS BIGINT) FROM fx_quotes""",
     "dq_days_without_orders": "SELECT date FROM dim_date EXCEPT SELECT order_date FROM stg_orders",
+    "quarantine_items": """
+WITH j AS (SELECT order_item_id % 11 = 0 AS price, order_item_id % 13 = 0 AS moment, coalesce(quantity <= 0, FALSE) AS amount FROM raw_order_items)
+SELECT 'unit_price is no decimal(12,2)' AS reason, count(*) AS row_count FROM j WHERE price
+UNION ALL SELECT 'created_at is no timestamp_ntz', count(*) FROM j WHERE moment
+UNION ALL SELECT 'quantity is not positive', count(*) FROM j WHERE amount
+UNION ALL SELECT 'bad', count(*) FROM j WHERE price OR moment OR amount
+UNION ALL SELECT 'good', count(*) FROM j WHERE NOT (price OR moment OR amount)""",
+    "reconcile_orders": """
+SELECT order_id, CASE order_id % 500 WHEN 1 THEN 'missing' WHEN 2 THEN 'changed' WHEN 3 THEN 'repeated' ELSE 'missing' END AS problem,
+       CAST(1 AS BIGINT) AS left_rows, CAST(CASE order_id % 500 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 0 END AS BIGINT) AS right_rows
+FROM stg_orders WHERE order_id % 500 BETWEEN 1 AND 4
+UNION ALL SELECT -order_id, 'unexpected', 0, 1 FROM stg_orders WHERE order_id % 500 = 4""",
     "lineage_trace": """
 SELECT 'RAW' AS layer, customer_id, email, modified_at FROM raw_customers
 WHERE customer_id = (SELECT min(customer_id) FROM raw_customers)
@@ -427,7 +439,9 @@ def _statement(name: str) -> str:
     tables = _needed(_FINAL[name])
     if not tables:
         return _FINAL[name]
-    return "WITH " + ",\n".join(f"{t} AS ({_CTE[t]})" for t in tables) + "\n" + _FINAL[name]
+    named = "WITH " + ",\n".join(f"{t} AS ({_CTE[t]})" for t in tables)
+    final = _FINAL[name].strip()
+    return f"{named},\n{final.removeprefix('WITH ')}" if final.startswith("WITH ") else f"{named}\n{final}"
 
 
 ORACLE: dict[str, str] = {name: _statement(name) for name in _FINAL}

@@ -22,11 +22,13 @@ from stratamart.operators.history import scd2
 from stratamart.operators.in_force import join_as_of
 from stratamart.operators.lookups import pin
 from stratamart.operators.merge import changed_since, upsert
+from stratamart.operators.reconcile import reconcile
 from stratamart.plans import build, curated, marts, staging
 from stratamart.plans.mart_deltas import OrderMarts
 from stratamart.session import configure, shared_dir, side_by_side
 from stratamart.sources import retail_feeds as feeds
 from stratamart.sources.cells import CellTable
+from stratamart.sources.checked import load_checked, reason_counts
 from stratamart.sources.landing import land_parquet, read_json_rows, read_landed_parquet
 from stratamart.sources.store import LayerStore
 from stratamart.streaming import ingest
@@ -634,3 +636,36 @@ def stream_dedupe_late(spark, d):
     table = Deduplicated(spark, f"{root}/out", events.schema, ("event_id",), "ts", "2 hours")
     table.run(ingest.landed_stream(spark, files, events.schema, files_per_batch=a_third), f"{root}/progress").awaitTermination()
     return table.rows().drop("late")
+
+
+@query
+def quarantine_items(spark, d):
+    """Item records as text, some of them unfit, loaded apart in one pass: rows of each side and of each reason."""
+    raw = feeds.raw_order_items(spark, d).select(*[F.col(c).cast("string").alias(c) for c in schemas.ORDER_ITEMS.names])
+    item = F.col("order_item_id").cast("bigint")
+    text = raw.withColumns(
+        {
+            "unit_price": F.when(item % 11 == 0, F.concat("unit_price", F.lit(" EUR"))).otherwise(F.col("unit_price")),
+            "created_at": F.when(item % 13 == 0, "soon").otherwise(F.col("created_at")),
+        }
+    )
+    load = load_checked(text, schemas.ORDER_ITEMS, {"quantity is not positive": F.col("quantity") <= 0}, max_bad_share=0.9)
+    sides = load.good.select(F.lit("good").alias("reason")).unionByName(load.bad.select(F.lit("bad").alias("reason")))
+    counted = sides.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    return reason_counts(load).unionByName(counted).withColumnRenamed("rows", "row_count")
+
+
+@query
+def reconcile_orders(spark, d):
+    """A copy of the staged orders that lost, changed, doubled and renumbered some, held against the original."""
+    (orders,) = _stored(spark, d, _orders)
+    left = orders.select("order_id", "status", "total_amount")
+    part = F.col("order_id") % 500
+    copied = left.where(part != 1).withColumns(
+        {
+            "total_amount": (F.col("total_amount") + F.when(part == 2, 1).otherwise(0)).cast(left.schema["total_amount"].dataType),
+            "order_id": F.when(part == 4, -F.col("order_id")).otherwise(F.col("order_id")),
+        }
+    )
+    right, _ = pin(copied.unionByName(left.where(part == 3)), "copy")
+    return reconcile(left, right, ["order_id"], ["status", "total_amount"])

@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F, types as T
 from stratamart.operators.merge import upsert
 from stratamart.sources.cells import CellTable
@@ -74,3 +74,10 @@ def test_before_the_first_write(spark, tmp_path):
     assert table.read().count() == 0 and table.versions() == []
     table.upsert(frame(spark, (1, "a", T0), (1, "b", T1)), ["id"], ["at"])
     assert rows(table.read().select("id", "status")) == [(1, "b")]
+
+
+def test_a_lookup_opens_the_cells_of_its_keys(spark, cells):
+    found = cells.lookup([5, 730])
+    assert rows(found.select("id"), "id") == [(5,), (730,)]
+    assert {f.split("_cell=")[1].split("/")[0] for f in found.inputFiles()} == {"0", "7"}
+    assert "PushedFilters: [In(id, [5,730])]" in plan(found)
