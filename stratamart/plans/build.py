@@ -14,7 +14,9 @@ from stratamart.constants import CALENDAR_END, CALENDAR_START
 from stratamart.functions.timestamps import run_timestamp
 from stratamart.operators import quality, watermarks
 from stratamart.plans import curated, marts, staging
+from stratamart.plans.mart_deltas import OrderMarts
 from stratamart.session import side_by_side
+from stratamart.sources.cells import CellTable
 from stratamart.sources.landing import land_all, latest_common_run, read_landed_feed, read_landed_parquet
 from stratamart.sources.store import LayerStore
 
@@ -156,8 +158,10 @@ def load_raw(store: LayerStore, landing: str, run: Run, run_id: str | None = Non
     return side_by_side([lambda d=dataset: load(d) for dataset in RAW_TABLES])
 
 
-def build_layers(store: LayerStore, run: Run, layers: tuple[str, ...] = ("staging", "curated", "marts")) -> list[tuple]:
-    """Rebuild the tables of the given layers in dependency order."""
+def build_layers(
+    store: LayerStore, run: Run, layers: tuple[str, ...] = ("staging", "curated", "marts"), tables: tuple[str, ...] | None = None
+) -> list[tuple]:
+    """Rebuild the tables of the given layers, or those named, in dependency order."""
 
     def build(table: Table) -> tuple:
         inputs = [store.read(*name.split(".")).drop("_run") for name in table.inputs]
@@ -168,7 +172,7 @@ def build_layers(store: LayerStore, run: Run, layers: tuple[str, ...] = ("stagin
 
     log = []
     for step in STEPS:
-        due = [table for table in step if table.layer in layers]
+        due = [table for table in step if table.layer in layers and (tables is None or table.name in tables)]
         if due:
             log += side_by_side([lambda t=table: build(t) for table in due])
     return log
@@ -221,6 +225,21 @@ def run_all(
     return record(store, load_raw(store, landing, run, run.run_id) + build_layers(store, run))
 
 
+def _load_changes(store: LayerStore, sources: Mapping[str, DataFrame], landing: str, run: Run) -> list[tuple]:
+    """Extract what changed since the last run, land it and add it to the raw history."""
+    store.create_layers()
+    due = {
+        dataset: watermarks.extract_changes(store, df, dataset, CHANGED_AT[dataset]) if dataset in CHANGED_AT else df
+        for dataset, df in sources.items()
+    }
+    land_all(due, schemas.FEEDS, landing, run.run_id)
+    log = load_raw(store, landing, run, run.run_id)
+    for dataset, column in CHANGED_AT.items():
+        loaded = store.read("raw", dataset).where(F.col("_run") == run.run_id)
+        watermarks.record_mark(store, dataset, loaded, column, run.run_ts)
+    return log
+
+
 def run_changes(
     store: LayerStore,
     sources: Mapping[str, DataFrame],
@@ -230,17 +249,63 @@ def run_changes(
     """Like ``run_all``, but extracts only rows changed since the last run and keeps raw history.
 
     The mark of a dataset moves after its rows are in the raw layer, so a run that
-    fails is extracted again; staging keeps the newest version of each key.
+    fails is extracted again; staging keeps the newest version of each key. The layers are
+    rebuilt from all raw history; ``run_deltas`` does not do that.
     """
     run = replace(run or Run(), keep_raw_history=True)
-    store.create_layers()
-    due = {
-        dataset: watermarks.extract_changes(store, df, dataset, CHANGED_AT[dataset]) if dataset in CHANGED_AT else df
-        for dataset, df in sources.items()
-    }
-    land_all(due, schemas.FEEDS, landing, run.run_id)
-    log = load_raw(store, landing, run, run.run_id)
-    for dataset, column in CHANGED_AT.items():
-        loaded = store.read("raw", dataset).where(F.col("_run") == run.run_id)
-        watermarks.record_mark(store, dataset, loaded, column, run.run_ts)
+    log = _load_changes(store, sources, landing, run)
     return record(store, log + build_layers(store, run))
+
+
+# What a run of changes rebuilds: tables of customers, products, rates and days, none of facts.
+_DIMENSIONS = ("stg_customers", "stg_products", "stg_fx_rates", "dim_customer", "dim_product", "dim_date")
+
+
+def order_marts(store: LayerStore, run: Run) -> OrderMarts:
+    """The marts that ``run_deltas`` keeps up to date."""
+    frames = [store.read(layer, name) for layer, name in (("curated", "dim_date"), ("curated", "dim_product"), ("staging", "stg_fx_rates"))]
+    return OrderMarts(store.spark, f"{store.root}/kept", *frames, as_of_order_date=run.fx_as_of_order_date)
+
+
+def customer_versions(store: LayerStore) -> CellTable:
+    """The customer history that ``run_deltas`` merges into; ``curated.customer_spells`` gives the dimension."""
+    return curated.customer_versions(store.spark, f"{store.root}/kept/customers")
+
+
+def run_deltas(
+    store: LayerStore,
+    sources: Mapping[str, DataFrame],
+    landing: str,
+    run: Run | None = None,
+) -> DataFrame:
+    """Like ``run_changes``, but neither facts nor marts are rebuilt: they take in the changed orders and items.
+
+    The first run takes in everything. Run ids must sort by time. Changed customers are
+    merged into the type 2 history. Dimensions, which are small beside the facts, are
+    rebuilt. A run that failed can be repeated under its id: what it had counted is not
+    counted again. An order is priced by the rates of the run in which it last changed.
+    """
+    run = replace(run or Run(), keep_raw_history=True)
+    log = _load_changes(store, sources, landing, run)
+    log += build_layers(store, run, tables=_DIMENSIONS)
+    new = {name: store.read("raw", name).where(F.col("_run") == run.run_id).drop("_run") for name in schemas.RELATIONAL}
+    kept, versions = order_marts(store, run), customer_versions(store)
+
+    def customers() -> int:
+        curated.merge_customer_versions(versions, new["customers"])
+        return versions.manifest().agg(F.sum("row_count")).first()[0] or 0
+
+    def orders() -> int:
+        kept.apply(new["orders"], new["order_items"], run.run_id)
+        return kept.orders.manifest().agg(F.sum("row_count")).first()[0] or 0
+
+    log.append(_timed(run, "curated", "customer_versions", customers))
+    log.append(_timed(run, "curated", "order_versions", orders))
+    marts_now = {
+        "revenue_by_category": kept.revenue_by_category(run.run_ts),
+        "revenue_by_country": kept.revenue_by_country(run.run_ts),
+        "customer_segment_kpis": kept.customer_segment_kpis(store.read("curated", "dim_customer"), run.run_ts),
+    }
+    for name, mart in marts_now.items():
+        log.append(_timed(run, "marts", name, lambda m=mart, n=name: store.write(m, "marts", n, run.run_id)))
+    return record(store, log)

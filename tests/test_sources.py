@@ -10,7 +10,7 @@ from conftest import rows
 from stratamart import schemas
 from stratamart.constants import LAYERS
 from stratamart.operators import quality, watermarks
-from stratamart.plans import build
+from stratamart.plans import build, curated
 from stratamart.session import shared_dir
 from stratamart.sources import jdbc, landing
 from stratamart.sources.store import LayerStore
@@ -233,7 +233,8 @@ def test_raw_history_is_added_once_per_run(spark, store):
         store.append(df, "raw", "q")
 
 
-def test_incremental_runs_end_like_a_full_run(spark, store, tmp_path):
+@pytest.mark.parametrize("runner", [build.run_changes, build.run_deltas])
+def test_incremental_runs_end_like_a_full_run(spark, store, tmp_path, runner):
     d = "/root/testdata/sf0.001"
     sources = queries.feed_sources(spark, d)
     mark = F.lit("1999-01-01").cast("timestamp_ntz")
@@ -243,8 +244,8 @@ def test_incremental_runs_end_like_a_full_run(spark, store, tmp_path):
         return build.Run(run_id=f"2024010{number}T000000", run_ts=f"2024-01-0{number} 00:00:00", as_of=date(2024, 1, 1),
                          calendar_start=date(1995, 1, 1), calendar_end=date(2001, 12, 31))
 
-    build.run_changes(store, early, f"{store.root}/landing", run(1))
-    log = build.run_changes(store, sources, f"{store.root}/landing", run(2))
+    runner(store, early, f"{store.root}/landing", run(1))
+    log = runner(store, sources, f"{store.root}/landing", run(2))
     added = {r.table_name: r.row_count for r in log.where("layer = 'raw'").collect()}
     assert 0 < added["orders"] < sources["orders"].count()
     reached = early["orders"].agg(F.max("modified_at")).first()[0]
@@ -256,6 +257,10 @@ def test_incremental_runs_end_like_a_full_run(spark, store, tmp_path):
         assert sorted(map(str, store.read("marts", table).drop("_last_built_at").collect())) == sorted(
             map(str, full.read("marts", table).drop("_last_built_at").collect())
         )
+    if runner is build.run_deltas:
+        assert not store.exists("curated", "fct_orders")
+        spells = curated.customer_spells(build.customer_versions(store))
+        assert rows(spells) and sorted(map(str, rows(spells))) == sorted(map(str, rows(curated.dim_customer_history(full.read("raw", "customers")))))
     full.reset()
 
 
