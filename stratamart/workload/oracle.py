@@ -411,6 +411,9 @@ ASOF LEFT JOIN (SELECT upper(currency) AS code, load_ts, rate FROM fx_quotes WHE
 ON e.currency = r.code AND e.ts >= r.load_ts""",
     "incremental_extract": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'""",
+    "clustered_orders": """
+SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+WHERE o_orderdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1997-03-31' AND o_custkey <= 1000""",
     "merge_upsert": """
 SELECT order_id, customer_id, status, total_amount, modified_at FROM raw_orders
 QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY modified_at DESC NULLS FIRST, status DESC NULLS FIRST) = 1""",

@@ -29,6 +29,7 @@ from stratamart.session import configure, shared_dir, side_by_side
 from stratamart.sources import retail_feeds as feeds
 from stratamart.sources.cells import CellTable
 from stratamart.sources.checked import load_checked, reason_counts
+from stratamart.sources.clustered import clustered
 from stratamart.sources.landing import land_parquet, read_json_rows, read_landed_parquet
 from stratamart.sources.store import LayerStore
 from stratamart.streaming import ingest
@@ -40,6 +41,7 @@ HIGH_WATER_MARK = datetime(2000, 1, 1)
 REQUIRED_QUOTE = "USDEUR"
 CUSTOMERS_PER_CELL = 100_000
 ORDERS_PER_CELL = 250_000
+CLUSTERED_FILES = 16
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -669,3 +671,12 @@ def reconcile_orders(spark, d):
     )
     right, _ = pin(copied.unionByName(left.where(part == 3)), "copy")
     return reconcile(left, right, ["order_id"], ["status", "total_amount"])
+
+
+@query
+def clustered_orders(spark, d):
+    """One month's orders of one part of the customers, from files clustered by customer and day."""
+    path = shared_dir(spark, "clustered")
+    clustered(feeds.table(spark, d, "orders"), ["o_custkey", "o_orderdate"], CLUSTERED_FILES).write.parquet(path)
+    month = F.col("o_orderdate").between(F.lit("1997-03-01").cast("timestamp_ntz"), F.lit("1997-03-31").cast("timestamp_ntz"))
+    return spark.read.parquet(path).where(month & (F.col("o_custkey") <= 1000)).select("o_orderkey", "o_custkey", "o_orderdate")
