@@ -55,7 +55,11 @@ class Deduplicated:
         return self.read("log").withColumn("late", F.lit(False)).unionByName(self.read("late").withColumn("late", F.lit(True))).drop("_batch", "_day")
 
     def run(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
-        """Take in what has arrived, then stop. ``stream`` has the columns of ``schema``."""
+        """Take in what has arrived, then stop. ``stream`` has the columns of ``schema``.
+
+        With very many keys within the delay, set ``spark.sql.streaming.stateStore.providerClass``
+        to Spark's RocksDB provider, which keeps them outside the heap.
+        """
         # A watermark needs a zoned timestamp; in the session's zone, UTC, it is the same moment.
         timed = stream.where(F.col(self.event_time).isNotNull()).withColumn("_event", F.col(self.event_time).cast("timestamp"))
         kept = timed.withWatermark("_event", self.delay).dropDuplicatesWithinWatermark(list(self.keys)).drop("_event")
