@@ -56,18 +56,18 @@ class Shape:
 class DeltaMart:
     """Totals per group, and per group and member, kept by signed changes.
 
-    ``cells`` is the number of cells of a period. Each change is a named version of all
-    tables, the totals last. A change that is repeated after a failure finds what it has
+    ``cells`` is the number of cells of a period in the table of members: choose it so that a
+    cell is some hundred megabytes. Each change is a named version of all tables, the totals last. A change that is repeated after a failure finds what it has
     written, and works out the rest from the version before it.
     """
 
-    def __init__(self, spark: SparkSession, root: str, shape: Shape, orders_per_cell: int, cells: int = 16):
-        self.shape, width = shape, _SPREAD // cells
+    def __init__(self, spark: SparkSession, root: str, shape: Shape, orders_per_cell: int, cells: int = 1):
+        self.shape = shape
         own = [shape.member] if shape.member else []
         counted = T.StructType([T.StructField("order_id", T.LongType()), *shape.fields(*own).fields[:-1]])
         self.counted = CellTable(spark, f"{root}/counted", counted, "order_id", orders_per_cell)
-        self.members = CellTable(spark, f"{root}/members", shape.fields(*own), "_key", width)
-        self.totals = CellTable(spark, f"{root}/totals", shape.fields(*[f"members_{c}" for c in shape.counts]), "_key", width)
+        self.members = CellTable(spark, f"{root}/members", shape.fields(*own), "_key", _SPREAD // cells)
+        self.totals = CellTable(spark, f"{root}/totals", shape.fields(*[f"members_{c}" for c in shape.counts]), "_key", _SPREAD // (1 if shape.member else cells))
 
     def _key(self, columns: Sequence[str]) -> Column:
         return (F.expr(self.shape.period).cast("bigint") * _SPREAD + F.pmod(F.xxhash64(*columns), F.lit(_SPREAD))).alias("_key")
@@ -127,11 +127,11 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 _COUNTRY = Shape(
     {"year": "int", "month": "int", "month_name": "string", "shipping_country": "string"},
-    "customer_sk", ("orders", "priced"), {"revenue": TOTAL}, "year * 12 + month",
+    "customer_sk", ("orders", "priced"), {"revenue": TOTAL}, "year",
 )
 _CATEGORY = Shape(
     {"year": "int", "month": "int", "week_of_year": "int", "category": "string"},
-    "order_sk", ("lines", "priced"), {"units": "bigint", "revenue": TOTAL}, "year * 12 + month",
+    "order_sk", ("lines", "priced"), {"units": "bigint", "revenue": TOTAL}, "year",
 )
 _CUSTOMER = Shape({"customer_sk": "bigint"}, None, ("orders", "priced"), {"revenue": TOTAL}, "0")
 
@@ -153,13 +153,13 @@ class OrderMarts:
 
     def __init__(
         self, spark: SparkSession, root: str, dim_date: DataFrame, dim_product: DataFrame, stg_fx: DataFrame,
-        as_of_order_date: bool = False, orders_per_cell: int = 250_000, kept: Sequence[str] = tuple(MARTS),
+        as_of_order_date: bool = False, orders_per_cell: int = 250_000, kept: Sequence[str] = tuple(MARTS), cells: int = 1,
     ):
         self.spark, self.dim_date, self.dim_product, self.stg_fx = spark, dim_date, dim_product, stg_fx
         self.as_of_order_date = as_of_order_date
         self.orders = CellTable(spark, f"{root}/orders", schemas.raw_table("orders"), "order_id", orders_per_cell)
         self.items = CellTable(spark, f"{root}/items", schemas.raw_table("order_items"), "order_id", orders_per_cell)
-        self.kept = {name: DeltaMart(spark, f"{root}/{name}", MARTS[name], orders_per_cell) for name in kept}
+        self.kept = {name: DeltaMart(spark, f"{root}/{name}", MARTS[name], orders_per_cell, cells) for name in kept}
 
     def apply(self, raw_orders: DataFrame, raw_items: DataFrame, version: str) -> None:
         """Take in changed order and item records, in any order. ``version`` sorts after those before it."""
