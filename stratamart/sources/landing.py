@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -9,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from stratamart.functions.timestamps import from_epoch_micros, run_timestamp, utc_naive
 from stratamart.session import side_by_side
 
+_COLUMNS = "_columns.json"  # readers of Parquet pass over names that begin so
+
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     counter = Observation()
@@ -16,12 +19,41 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def land_parquet(df: DataFrame, landing: str, dataset: str, run_id: str) -> int:
-    """Write a dataset of a run as Parquet; the rows are counted by the write."""
+    """Write a dataset of a run as Parquet, with a note of its columns; the rows are counted by the write."""
     df, counter = _observed(df)
-    df.write.mode("overwrite").parquet(f"{landing}/{dataset}/run_id={run_id}")
+    path = f"{landing}/{dataset}/run_id={run_id}"
+    df.write.mode("overwrite").parquet(path)  # takes an older note away
+    _note_columns(df.sparkSession, path, df.schema)
     return counter.get["rows"]
 
 
+def _note_columns(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep the columns of a folder's files, and how many files there are, beside them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path, _COLUMNS)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    note = {"files": len(files.listStatus(at.getParent())), "columns": schema.jsonValue()}
+    out = files.create(at, True)
+    try:
+        out.write(bytearray(json.dumps(note).encode()))
+    finally:
+        out.close()
+
+
+def _noted_columns(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns noted beside a folder's files, unless files were added since, perhaps with others."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path, _COLUMNS)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return None
+    stream = files.open(at)
+    try:
+        note = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    unchanged = len(files.listStatus(at.getParent())) == note["files"] + 1  # the note itself
+    return T.StructType.fromJson(note["columns"]) if unchanged else None
+
+
 def land_json(df: DataFrame, landing: str, dataset: str, run_id: str) -> int:
     """Write a feed of a run as JSON lines, which readers can split (gzipped ones are read too, one task a file).
 
@@ -117,8 +149,11 @@ def read_landed_parquet(
     fails the job. Integers declared as timestamps are microseconds of the epoch.
     """
     run_id = run_id or latest_run(spark, landing, dataset)
-    # Files of a run may differ in their columns; types that cannot be merged fail the job.
-    files = spark.read.option("mergeSchema", True).parquet(f"{landing}/{dataset}/run_id={run_id}")
+    path = f"{landing}/{dataset}/run_id={run_id}"
+    noted = _noted_columns(spark, path)
+    # Files that others wrote may differ in their columns, so all their footers are read; types
+    # that cannot be merged fail the job.
+    files = spark.read.option("mergeSchema", True).parquet(path) if noted is None else spark.read.schema(noted).parquet(path)
     columns = [_as_declared(field, files.schema) for field in schema.fields]
     return with_lineage(files.select(*columns, "_metadata"), run_ts).drop("_metadata")
 

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratamart.operators.latest import latest_by_key
+from stratamart.operators.lookups import pin
 from stratamart.operators.merge import upsert
+from stratamart.sources.cells import CellTable
 from stratamart.sources.store import LayerStore
 
 
@@ -92,3 +94,28 @@ def upsert_available(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def upsert_cells_available(
+    stream: DataFrame, table: CellTable, keys: Sequence[str], order: Sequence[str], checkpoint: str, tiebreak: Sequence[str] = ()
+) -> StreamingQuery:
+    """Merge what has arrived into a table in cells, then stop: the form of ``upsert_available`` for large tables.
+
+    Each micro-batch is reduced to one row per key and rewrites the cells that hold those
+    keys, as a version of the table; rows without a key are left out. A batch repeated after
+    a failure is merged again, which an upsert makes harmless. One stream at a time may
+    write a table.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        changes, rows = pin(latest_by_key(batch.dropna(subset=list(keys)), keys, order, tiebreak), "changes")
+        if rows:
+            cells = CellTable(batch.sparkSession, table.root, table.schema, table.key, table.width)
+            cells.upsert(changes, keys, order, tiebreak)
+
+    return (
+        stream.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

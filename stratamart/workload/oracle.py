@@ -421,6 +421,12 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY modified_at DESC NULLS
 SELECT user_id, event_id, ts, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) = 1""",
     "stream_dedupe_late": "SELECT * FROM events",
+    "raw_history_snapshots": """
+SELECT state, coalesce(strftime(order_date, '%Y'), '0000') AS run, count(*) AS orders,
+       CAST(sum(total_amount) AS DECIMAL(38, 2)) AS total, max(order_id) AS last_order
+FROM raw_orders CROSS JOIN (VALUES ('whole'), ('kept')) AS states(state)
+WHERE state = 'whole' OR coalesce(strftime(order_date, '%Y'), '0000') >= '1997'
+GROUP BY ALL""",
     "stream_append_log": """
 SELECT event_type, count(DISTINCT event_id) AS events, count(DISTINCT user_id) AS users FROM events GROUP BY event_type""",
 }
@@ -458,4 +464,5 @@ ORACLE |= {
     "fct_orders_salted": ORACLE["fct_orders"],
     "scd2_user_state_cut": ORACLE["scd2_user_state"],
     "stream_append_log_files": ORACLE["stream_append_log"],
+    "stream_upsert_cells": ORACLE["stream_landing_upsert"],
 }

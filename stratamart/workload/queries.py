@@ -31,6 +31,7 @@ from stratamart.sources.cells import CellTable
 from stratamart.sources.checked import load_checked, reason_counts
 from stratamart.sources.clustered import clustered
 from stratamart.sources.landing import land_parquet, read_json_rows, read_landed_parquet
+from stratamart.sources.snapshots import SnapshotLog
 from stratamart.sources.store import LayerStore
 from stratamart.streaming import ingest
 from stratamart.streaming.dedupe import Deduplicated
@@ -41,7 +42,9 @@ HIGH_WATER_MARK = datetime(2000, 1, 1)
 REQUIRED_QUOTE = "USDEUR"
 CUSTOMERS_PER_CELL = 100_000
 ORDERS_PER_CELL = 250_000
+USERS_PER_CELL = 100_000
 CLUSTERED_FILES = 16
+KEPT_SINCE = "1997"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -680,3 +683,35 @@ def clustered_orders(spark, d):
     clustered(feeds.table(spark, d, "orders"), ["o_custkey", "o_orderdate"], CLUSTERED_FILES).write.parquet(path)
     month = F.col("o_orderdate").between(F.lit("1997-03-01").cast("timestamp_ntz"), F.lit("1997-03-31").cast("timestamp_ntz"))
     return spark.read.parquet(path).where(month & (F.col("o_custkey") <= 1000)).select("o_orderkey", "o_custkey", "o_orderdate")
+
+
+@query
+def stream_upsert_cells(spark, d):
+    """``stream_landing_upsert`` over events in several files, one a batch, into a table in cells."""
+    events = feeds.table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
+    root = shared_dir(spark, "stream")
+    events.repartition(4, "event_id").write.parquet(f"{root}/arrived")
+    table = CellTable(spark, f"{root}/table", events.schema, "user_id", USERS_PER_CELL)
+    stream = ingest.landed_stream(spark, f"{root}/arrived", events.schema, files_per_batch=1)
+    ingest.upsert_cells_available(stream, table, ["user_id"], ["ts"], f"{root}/progress", ["event_id"]).awaitTermination()
+    return table.read()
+
+
+@query
+def raw_history_snapshots(spark, d):
+    """Raw orders kept as a run per year, their files joined, early years forgotten: every year before and after that."""
+    raw = feeds.raw_orders(spark, d)
+    year = F.coalesce(F.date_format("order_date", "yyyy"), F.lit("0000"))
+    log = SnapshotLog(spark, shared_dir(spark, "history"), raw.schema)
+    for row in raw.select(year.alias("year")).distinct().orderBy("year").collect():
+        log.append(raw.where(year == row["year"]), row["year"])
+    log.compact()
+    whole = log.snapshots()[-1]
+    log.forget(KEPT_SINCE)
+    log.expire(keep=2)  # the snapshots before and after forgetting
+    sides = log.read(whole).withColumn("state", F.lit("whole")).unionByName(log.read().withColumn("state", F.lit("kept")))
+    return sides.groupBy("state", F.col("_run").alias("run")).agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("total_amount").cast("decimal(38,2)").alias("total"),
+        F.max("order_id").alias("last_order"),
+    )

@@ -6,6 +6,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F, types as T
 from stratamart.operators.merge import upsert
 from stratamart.sources.cells import CellTable
+from stratamart.streaming.ingest import landed_stream, upsert_cells_available
 
 SCHEMA = T.StructType().add("id", T.LongType()).add("status", T.StringType()).add("at", T.TimestampNTZType())
 T0, T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
@@ -81,3 +82,20 @@ def test_a_lookup_opens_the_cells_of_its_keys(spark, cells):
     assert rows(found.select("id"), "id") == [(5,), (730,)]
     assert {f.split("_cell=")[1].split("/")[0] for f in found.inputFiles()} == {"0", "7"}
     assert "PushedFilters: [In(id, [5,730])]" in plan(found)
+
+
+def test_a_stream_rewrites_the_cells_of_its_batches(spark, cells, tmp_path):
+    def arrive(*records):
+        frame(spark, *records).coalesce(1).write.mode("append").parquet(str(tmp_path / "arrived"))
+        stream = landed_stream(spark, str(tmp_path / "arrived"), SCHEMA, files_per_batch=1)
+        upsert_cells_available(stream, cells, ["id"], ["at"], str(tmp_path / "progress")).awaitTermination()
+
+    start = folders(cells)
+    arrive((5, "paid", T2), (5, "late", T0), (None, "lost", T2))
+    first = folders(cells)
+    assert {c for c in first if first[c] != start[c]} == {0}
+    arrive((730, "paid", T2), (6, "older", T0))  # a restart takes only what is new
+    second = folders(cells)
+    assert {c for c in second if second[c] != first[c]} == {0, 7}
+    assert rows(cells.read().where("status != 'new'").select("id", "status"), "id") == [(5, "paid"), (730, "paid")]
+    assert cells.read().count() == 1000

@@ -39,6 +39,24 @@ def test_stored_types_are_cast_to_the_declared_ones(spark, tmp_path):
     assert tuple(found.first()) == (1, datetime(1970, 1, 1, 0, 0, 1, 1), "7", Decimal("1.01"), datetime(2024, 1, 1, 10))
 
 
+def test_noted_columns_spare_the_footers(spark, tmp_path):
+    """A run's files are not opened to learn its columns, unless others have added files to it."""
+    landing.land_parquet(spark.createDataFrame([(5, "x")], "id int, v string").coalesce(1), str(tmp_path), "t", "r1")
+    run = tmp_path / "t" / "run_id=r1"
+    (part,) = run.glob("part-*.parquet")
+    content = part.read_bytes()
+    part.write_bytes(bytes(len(content)))
+    found = landing.read_landed_parquet(spark, str(tmp_path), "t", SCHEMA).drop("_load_ts", "_source_file")
+    part.write_bytes(content)
+    (run / f".{part.name}.crc").unlink()
+    assert rows(found) == [(5, None, "x")]
+    spark.createDataFrame([(6, 1000000)], "id int, at bigint").write.mode("append").parquet(str(run))
+    both = landing.read_landed_parquet(spark, str(tmp_path), "t", SCHEMA).drop("_load_ts", "_source_file")
+    assert rows(both, "id") == [(5, None, "x"), (6, datetime(1970, 1, 1, 0, 0, 1), None)]
+    landing.land_parquet(spark.createDataFrame([("y", 7)], "v string, id bigint"), str(tmp_path), "t", "r1")
+    assert rows(landing.read_landed_parquet(spark, str(tmp_path), "t", SCHEMA).select("id", "v")) == [(7, "y")]
+
+
 def test_value_that_does_not_fit_fails(spark, tmp_path):
     landing.land_parquet(spark.sql("SELECT 'abc' AS id"), str(tmp_path), "t", "r1")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
