@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -174,10 +175,12 @@ def fct_order_items(
     stg_fx: DataFrame,
     exact: bool = True,
     as_of_order_date: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per order item, priced in USD with the currency of its order.
 
-    As for the staged items, pass the orders as a stored table.
+    As for the staged items, pass the orders as a stored table. Columns of the items named
+    in ``keep`` are passed on.
     """
     header = stg_orders.select("order_id", "customer_id", "order_date", "currency_code", "shipping_country")
     rate = F.col("usd_per_unit")
@@ -198,4 +201,5 @@ def fct_order_items(
         "order_date",
         "shipping_country",
         F.col("_stg_load_ts").alias("_last_updated_at"),
+        *keep,
     )

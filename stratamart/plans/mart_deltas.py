@@ -6,6 +6,11 @@ of a group (a customer in a country's month, say) has a count of its facts: it i
 when that leaves zero and taken back when it returns there. What an order has counted
 for is stored as it was, so a rate or category that has changed since is taken back as
 it was added. Neither unchanged facts nor raw history are read.
+
+Where each order is a member of its own, what it has counted for tells that already: it
+gives and takes back its place in a group like a sum. A large change is not looked up row
+by row: the touched cells are written anew, and the change of a sum is what they hold
+after less what they held before.
 """
 
 from __future__ import annotations
@@ -18,12 +23,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from stratamart import schemas
 from stratamart.constants import TOTAL
+from stratamart.functions.keys import surrogate_key
 from stratamart.functions.money import ratio
 from stratamart.functions.timestamps import run_timestamp
 from stratamart.operators.merge import upsert
-from stratamart.operators.lookups import pin
+from stratamart.operators.lookups import BROADCAST_BYTES, BROADCAST_ROWS, pin, stored_bytes
 from stratamart.plans import curated, staging
 from stratamart.plans.marts import _by_category, _on_calendar
+from stratamart.session import side_by_side
 from stratamart.sources.cells import CellTable
 
 _SPREAD = 1 << 20  # values of the hash within a period
@@ -34,8 +41,8 @@ _KIND = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(
 class Shape:
     """What a mart groups by, whose distinct number it counts, and what it adds up.
 
-    ``counts`` are added up too, and for each the members that have any are counted. Tables
-    are laid out by ``period`` (a SQL expression of the groups), so that changes of a few
+    ``counts`` are added up too, and for each the members that have any are counted. With
+    the member ``order_id`` no table of members is needed. Tables are laid out by ``period`` (a SQL expression of the groups), so that changes of a few
     periods touch few cells.
     """
 
@@ -45,8 +52,11 @@ class Shape:
     sums: dict[str, str]
     period: str
 
+    def stored_member(self) -> list[str]:
+        return [self.member] if self.member and self.member != "order_id" else []
+
     def ids(self) -> list[str]:
-        return [*self.groups, *([self.member] if self.member else [])]
+        return [*self.groups, *self.stored_member()]
 
     def fields(self, *more: str) -> T.StructType:
         kinds = self.groups | {c: "bigint" for c in more} | {c: "bigint" for c in self.counts} | self.sums | {"_key": "bigint"}
@@ -63,7 +73,7 @@ class DeltaMart:
 
     def __init__(self, spark: SparkSession, root: str, shape: Shape, orders_per_cell: int, cells: int = 1):
         self.shape = shape
-        own = [shape.member] if shape.member else []
+        own = shape.stored_member()
         counted = T.StructType([T.StructField("order_id", T.LongType()), *shape.fields(*own).fields[:-1]])
         self.counted = CellTable(spark, f"{root}/counted", counted, "order_id", orders_per_cell)
         self.members = CellTable(spark, f"{root}/members", shape.fields(*own), "_key", _SPREAD // cells)
@@ -72,32 +82,39 @@ class DeltaMart:
     def _key(self, columns: Sequence[str]) -> Column:
         return (F.expr(self.shape.period).cast("bigint") * _SPREAD + F.pmod(F.xxhash64(*columns), F.lit(_SPREAD))).alias("_key")
 
-    def apply(self, rows: DataFrame, changed: DataFrame, cells: DataFrame, version: str) -> None:
+    def apply(self, rows: DataFrame, changed: DataFrame, cells: DataFrame, version: str, few: bool) -> None:
         """Count ``rows`` (order, groups, member, counts and sums) for the orders in ``changed``, and no longer what they
-        counted for before. ``cells`` are those of the changed orders."""
+        counted for before. ``cells`` are those of the changed orders. ``few`` orders are looked up by broadcast."""
         if version in self.totals.versions():
             return
         shape = self.shape
         measures = [*shape.counts, *shape.sums]
-        per_order = rows.groupBy("order_id", *shape.ids()).agg(*[F.sum(m).alias(m) for m in measures])
-        new, _ = pin(_typed(per_order, self.counted.schema), "mart-rows")
+        new = _typed(rows, self.counted.schema)
         before = self.counted.read_before(version, cells)
-        old = before.join(changed, "order_id", "left_semi").withColumns({m: -F.col(m) for m in measures})
-        delta = new.unionByName(old)
-        self.counted.replace(cells, before.join(changed, "order_id", "left_anti").unionByName(new), version)
-        grouped = delta.groupBy(*shape.ids()).agg(*[F.sum(m).alias(m) for m in measures])
-        moved = reduce(lambda a, b: a | b, [F.col(m) != 0 for m in measures])
-        change, _ = pin(grouped.where(moved).withColumn("_key", self._key(shape.ids())), "mart-change")
-        if shape.member:
-            change = self._members(change, version)
+        if few:
+            new, _ = pin(new, "mart-rows")
+            ids = F.broadcast(changed)
+            old, other = before.join(ids, "order_id", "left_semi"), before.join(ids, "order_id", "left_anti")
+            self.counted.replace(cells, other.unionByName(new), version)
+        else:
+            other = before.join(changed, "order_id", "left_anti") if self.counted.before(version) else before
+            new, staged = self.counted.stage(other.unionByName(new))
+            self.counted.publish(cells, staged, version)
+            old = before  # what the cells still hold is taken back and given again
+        delta = new.unionByName(old.withColumns({m: -F.col(m) for m in measures}))
         gained = [f"members_{c}" for c in shape.counts]
-        per_group = change if not shape.member else change.groupBy(*shape.groups).agg(*[F.sum(m).alias(m) for m in [*gained, *measures]])
-        if not shape.member:
-            per_group = per_group.withColumns({g: F.lit(0).cast("bigint") for g in gained})
+        all_sums = [F.sum(m).alias(m) for m in [*gained, *measures]]
+        if shape.stored_member():
+            grouped = _moved(delta.groupBy(*shape.ids()).agg(*[F.sum(m).alias(m) for m in measures]), measures)
+            change, _ = pin(grouped.withColumn("_key", self._key(shape.ids())), "mart-change")
+            per_group = self._members(change, version).groupBy(*shape.groups).agg(*all_sums)
+        else:
+            own = [F.signum(c).cast("bigint") if shape.member else F.lit(0).cast("bigint") for c in shape.counts]
+            per_group = _moved(delta.withColumns(dict(zip(gained, own))).groupBy(*shape.groups).agg(*all_sums), [*gained, *measures])
         per_group, _ = pin(per_group.withColumn("_key", self._key(list(shape.groups))).select(*self.totals.schema.names), "mart-totals")
         touched = self.totals.named(self.totals.touched(per_group))
         both = self.totals.read_before(version, touched).unionByName(per_group)
-        merged = both.groupBy("_key", *shape.groups).agg(*[F.sum(m).alias(m) for m in [*gained, *measures]])
+        merged = both.groupBy("_key", *shape.groups).agg(*all_sums)
         self.totals.replace(touched, _typed(merged.where(F.col(shape.counts[0]) != 0), self.totals.schema), version)
 
     def _members(self, change: DataFrame, version: str) -> DataFrame:
@@ -117,8 +134,13 @@ class DeltaMart:
         def gained(c: str) -> Column:
             return ((F.col(c) + F.col(f"new_{c}") > 0).cast("bigint") - (F.col(c) > 0).cast("bigint")).alias(f"members_{c}")
 
-        changed = reduce(lambda a, b: a | b, [F.col(f"new_{m}") != 0 for m in measures])
-        return met.where(changed).select(*shape.groups, *[gained(c) for c in shape.counts], *[F.col(f"new_{m}").alias(m) for m in measures])
+        changed = _moved(met, [f"new_{m}" for m in measures])
+        return changed.select(*shape.groups, *[gained(c) for c in shape.counts], *[F.col(f"new_{m}").alias(m) for m in measures])
+
+
+def _moved(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Rows in which some measure is not zero."""
+    return df.where(reduce(lambda a, b: a | b, [F.col(m) != 0 for m in measures]))
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -131,7 +153,7 @@ _COUNTRY = Shape(
 )
 _CATEGORY = Shape(
     {"year": "int", "month": "int", "week_of_year": "int", "category": "string"},
-    "order_sk", ("lines", "priced"), {"units": "bigint", "revenue": TOTAL}, "year",
+    "order_id", ("lines", "priced"), {"units": "bigint", "revenue": TOTAL}, "year",
 )
 _CUSTOMER = Shape({"customer_sk": "bigint"}, None, ("orders", "priced"), {"revenue": TOTAL}, "0")
 
@@ -163,21 +185,36 @@ class OrderMarts:
 
     def apply(self, raw_orders: DataFrame, raw_items: DataFrame, version: str) -> None:
         """Take in changed order and item records, in any order. ``version`` sorts after those before it."""
-        orders, _ = pin(raw_orders.select(*self.orders.schema.names).where("order_id IS NOT NULL"), "changed-orders")
         valid = raw_items.where("order_item_id IS NOT NULL AND quantity > 0 AND unit_price >= 0")
-        items, _ = pin(valid.select(*self.items.schema.names).where("order_id IS NOT NULL"), "changed-items")
-        changed, _ = pin(orders.select("order_id").unionByName(items.select("order_id")).distinct(), "changed-ids")
+        (orders, _), (items, arrived) = side_by_side(
+            [
+                lambda: pin(raw_orders.select(*self.orders.schema.names).where("order_id IS NOT NULL"), "changed-orders"),
+                lambda: pin(valid.select(*self.items.schema.names).where("order_id IS NOT NULL"), "changed-items"),
+            ]
+        )
+        changed, count = pin(orders.select("order_id").unionByName(items.select("order_id")).distinct(), "changed-ids")
+        few = max(count, arrived) <= BROADCAST_ROWS and stored_bytes(changed) <= BROADCAST_BYTES
         cells = self.orders.named(self.orders.touched(changed))
         old_orders, old_items = self.orders.read_before(version, cells), self.items.read_before(version, cells)
-        new_orders, _ = pin(upsert(old_orders, orders, ["order_id"], ["modified_at", "_load_ts"], staging.ORDER_TIEBREAK), "new-orders")
-        new_items, _ = pin(upsert(old_items, items, ["order_item_id"], ["_load_ts"], staging.ITEM_TIEBREAK), "new-items")
-        self._count(*[df.join(changed, "order_id", "left_semi") for df in (new_orders, new_items)], changed, cells, version)
-        self.items.replace(cells, new_items, version)
-        self.orders.replace(cells, new_orders, version)
+        if few:
+            newest_orders = upsert(old_orders, orders, ["order_id"], ["modified_at", "_load_ts"], staging.ORDER_TIEBREAK)
+            newest_items = upsert(old_items, items, ["order_item_id"], ["_load_ts"], staging.ITEM_TIEBREAK)
+        else:  # most kept rows meet a change, so all of them go through one shuffle
+            newest_orders = staging.newest_orders(old_orders.unionByName(orders))
+            newest_items = staging.newest_items(old_items.unionByName(items))
+        (new_orders, staged_orders), (new_items, staged_items) = side_by_side(
+            [lambda: self.orders.stage(newest_orders), lambda: self.items.stage(newest_items)]
+        )
+        self._count(new_orders, new_items, changed, cells, version, few)
+        self.items.publish(cells, staged_items, version)
+        self.orders.publish(cells, staged_orders, version)
 
-    def _count(self, orders: DataFrame, items: DataFrame, changed: DataFrame, cells: DataFrame, version: str) -> None:
-        """The facts of changed orders into the marts."""
-        staged, _ = pin(staging.stg_orders(orders), "changed-staged")
+    def _count(self, orders: DataFrame, items: DataFrame, changed: DataFrame, cells: DataFrame, version: str, few: bool) -> None:
+        """The facts of changed orders into the marts. Orders and, unless ``few`` have changed, items come once each."""
+        ids = F.broadcast(changed) if few else changed
+        staged = staging.stg_orders(orders.join(ids, "order_id", "left_semi"), one_each=True)
+        if len(self.kept) > 1 or "category" in self.kept:
+            staged, _ = pin(staged, "changed-staged")
 
         def priced(column: str) -> list[Column]:
             return [F.col(column).isNotNull().cast("bigint").alias("priced"), F.coalesce(F.col(column).cast(TOTAL), F.lit(0).cast(TOTAL)).alias("revenue")]
@@ -185,23 +222,24 @@ class OrderMarts:
         one = F.lit(1).cast("bigint")
         if "country" in self.kept or "customer" in self.kept:
             made = curated.fct_orders(staged, self.stg_fx, as_of_order_date=self.as_of_order_date)
-            facts, _ = pin(made.withColumn("order_id", F.col("order_nk")), "changed-facts")
+            facts = made.withColumn("order_id", F.col("order_nk"))
+            if "country" in self.kept and "customer" in self.kept:
+                facts, _ = pin(facts, "changed-facts")
             measures = [one.alias("orders"), *priced("total_amount_usd")]
             if "country" in self.kept:
                 dated = _on_calendar(facts, self.dim_date, "year", "month", "month_name")
-                self.kept["country"].apply(dated.select("order_id", *_COUNTRY.ids(), *measures), changed, cells, version)
+                self.kept["country"].apply(dated.select("order_id", *_COUNTRY.ids(), *measures), changed, cells, version, few)
             if "customer" in self.kept:
-                self.kept["customer"].apply(facts.select("order_id", "customer_sk", *measures), changed, cells, version)
+                self.kept["customer"].apply(facts.select("order_id", "customer_sk", *measures), changed, cells, version, few)
         if "category" in self.kept:
-            lines = staging.stg_order_items(items, staged)
-            facts = curated.fct_order_items(lines, staged, self.stg_fx, as_of_order_date=self.as_of_order_date)
-            ids = lines.select(F.col("order_item_id").alias("order_item_nk"), "order_id")
-            dated = _on_calendar(facts.join(ids, "order_item_nk"), self.dim_date, "year", "month", "week_of_year")
-            rows = _by_category(dated, self.dim_product)
-            units = F.col("quantity").cast("bigint").alias("units")
-            self.kept["category"].apply(
-                rows.select("order_id", *_CATEGORY.ids(), one.alias("lines"), units, *priced("line_total_usd")), changed, cells, version
-            )
+            lines = staging.clean_order_items(items.join(ids, "order_id", "left_semi")) if few else staging.clean_order_items(items, one_each=True)
+            # By product first, while lines are narrow; then the join with their orders leaves those of an order together.
+            sorted_out = _by_category(lines.withColumns({"product_sk": surrogate_key("product_id"), "_stg_load_ts": run_timestamp(None)}), self.dim_product)
+            facts = curated.fct_order_items(sorted_out, staged, self.stg_fx, as_of_order_date=self.as_of_order_date, keep=("order_id", "category"))
+            dated = _on_calendar(facts, self.dim_date, "year", "month", "week_of_year")
+            each = dated.select("order_id", *_CATEGORY.ids(), one.alias("lines"), F.col("quantity").cast("bigint").alias("units"), *priced("line_total_usd"))
+            per_order = each.groupBy("order_id", *_CATEGORY.ids()).agg(*[F.sum(m).alias(m) for m in (*_CATEGORY.counts, *_CATEGORY.sums)])
+            self.kept["category"].apply(per_order, changed, cells, version, few)
 
     def revenue_by_country(self, run_ts=None) -> DataFrame:
         return self.kept["country"].totals.read().select(

@@ -66,29 +66,42 @@ ORDER_TIEBREAK = ("status", "customer_id", "order_date", "shipping_country", "cu
 ITEM_TIEBREAK = ("created_at", "order_id", "product_id", "quantity", "unit_price")
 
 
-def stg_orders(raw: DataFrame, run_ts=None) -> DataFrame:
-    """Newest version of each order, unless that version is cancelled or has no status."""
-    newest = latest_by_key(
+def newest_orders(raw: DataFrame) -> DataFrame:
+    """Newest version of each order, whatever its status."""
+    return latest_by_key(
         raw.where(F.col("order_id").isNotNull()),
         ["order_id"],
         ["modified_at", "_load_ts"],
         ORDER_TIEBREAK,
     )
+
+
+def stg_orders(raw: DataFrame, run_ts=None, one_each: bool = False) -> DataFrame:
+    """Newest version of each order, unless that version is cancelled or has no status.
+
+    With ``one_each`` the rows are the newest versions already.
+    """
+    newest = raw if one_each else newest_orders(raw)
     kept = newest.withColumn("status", F.upper("status")).where(F.col("status") != EXCLUDED_ORDER_STATUS)
     return _audited(
         kept.withColumns({c: F.upper(c) for c in ("shipping_country", "currency_code")}), run_ts
     )
 
 
-def clean_order_items(raw: DataFrame) -> DataFrame:
+def newest_items(raw: DataFrame) -> DataFrame:
     """Newest valid version of each item. Invalid versions go first, so an older valid one may win."""
     valid = raw.where(F.col("order_item_id").isNotNull() & (F.col("quantity") > 0) & (F.col("unit_price") >= 0))
-    newest = latest_by_key(
+    return latest_by_key(
         valid,
         ["order_item_id"],
         ["_load_ts"],
         ITEM_TIEBREAK,
     )
+
+
+def clean_order_items(raw: DataFrame, one_each: bool = False) -> DataFrame:
+    """Newest valid version of each item, with its line total; with ``one_each`` the rows are those already."""
+    newest = raw if one_each else newest_items(raw)
     return newest.withColumn("line_total", line_total("quantity", "unit_price"))
 
 

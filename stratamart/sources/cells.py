@@ -71,7 +71,7 @@ class CellTable:
 
     def write(self, df: DataFrame, version: str | None = None) -> None:
         """Replace the whole table."""
-        self._publish(self._store(df), None, version)
+        self._publish(self.stage(df)[1], None, version)
 
     def replace(self, cells: DataFrame, df: DataFrame, version: str | None = None) -> None:
         """Give the cells named in ``cells`` the rows of ``df``; all others keep their files.
@@ -80,7 +80,17 @@ class CellTable:
         exists is left as it is, so a run that is repeated changes nothing twice.
         """
         if version is None or version not in self.versions():
-            self._publish(self._store(df), cells.select("cell").distinct(), version)
+            self.publish(cells, self.stage(df)[1], version)
+
+    def stage(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Store rows that no version names yet: the stored rows, to go on from, and their cells for ``publish``."""
+        stored, path = self._files(df)
+        return stored.select(*self.schema.names), self._cells_of(stored, path)
+
+    def publish(self, cells: DataFrame, staged: DataFrame, version: str | None = None) -> None:
+        """``replace`` with rows that ``stage`` has stored."""
+        if version is None or version not in self.versions():
+            self._publish(staged, cells.select("cell").distinct(), version)
 
     def touched(self, changes: DataFrame) -> DataFrame:
         """The cells that hold, or would hold, the keys of ``changes``: a row per cell."""
@@ -114,13 +124,16 @@ class CellTable:
         """Cell numbers as a local frame: they are few, and are used several times."""
         return self.spark.createDataFrame([(row["cell"],) for row in cells.collect()], "cell bigint")
 
-    def _store(self, df: DataFrame) -> DataFrame:
-        """Write rows by cell; the manifest rows of what was written."""
+    def _files(self, df: DataFrame) -> tuple[DataFrame, str]:
+        """Write rows by cell; the written rows and their folder."""
         path = f"{self.root}/data/{uuid.uuid4().hex}"
         rows = df.select(*self.schema.names).withColumn("_cell", self.cell())
         # Rows of a cell come together, and a large cell is still split into several files.
         rows.hint("rebalance", "_cell").sortWithinPartitions("_cell", self.key).write.partitionBy("_cell").parquet(path)
-        stored = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("_cell", T.LongType())])).parquet(path)
+        return self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("_cell", T.LongType())])).parquet(path), path
+
+    def _cells_of(self, stored: DataFrame, path: str) -> DataFrame:
+        """The manifest rows of what was written."""
         folder = F.concat(F.lit(f"{path}/_cell="), F.coalesce(F.col("_cell").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
         return stored.groupBy("_cell").agg(
             F.min(self.key).cast("bigint").alias("least"), F.max(self.key).cast("bigint").alias("greatest"), F.count(F.lit(1)).alias("row_count")

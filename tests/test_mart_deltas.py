@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from stratamart.operators.lookups import pin
-from stratamart.plans import curated, marts, staging
+from stratamart.plans import curated, mart_deltas, marts, staging
 from stratamart.plans.mart_deltas import OrderMarts
 from test_layers import fx, raw_items, raw_orders, variants
 
@@ -55,6 +55,18 @@ def test_marts_after_each_change_equal_a_full_build(spark, world, tmp_path):
             assert found == full(spark, k + 1, *world)
 
 
+def test_large_changes_give_the_same_marts(spark, world, tmp_path, monkeypatch):
+    """Without broadcasts, as beyond a bound; and orders, which are members of their own, are in no table of members."""
+    monkeypatch.setattr(mart_deltas, "BROADCAST_ROWS", -1)
+    days, products, rates, customers = world
+    kept = OrderMarts(spark, str(tmp_path), days, products, rates, orders_per_cell=2)
+    for k, (orders, items) in enumerate(BATCHES[:3]):
+        kept.apply(raw_orders(spark, *orders), raw_items(spark, *items), f"{k:03d}")
+    found = [plain(kept.revenue_by_country()), plain(kept.revenue_by_category()), plain(kept.customer_segment_kpis(customers))]
+    assert found == full(spark, 3, *world)
+    assert not (tmp_path / "category" / "members").exists()
+
+
 def test_a_change_touches_the_cells_of_its_orders(spark, world, tmp_path):
     days, products, rates, _ = world
     kept = OrderMarts(spark, str(tmp_path), days, products, rates, orders_per_cell=1, kept=("country",))
