@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from stratamart.session import side_by_side
 from stratamart.sources.landing import finished_runs
 
 RUN = "_run"
@@ -77,8 +78,10 @@ class SnapshotLog:
     def compact(self, target_bytes: int = TARGET_BYTES) -> int:
         """Join files of less than half the target to files of about the target; returns how many files are fewer.
 
-        Rows are dealt by run and then by where they lay, so a file holds neighbouring runs
-        and a run of any size is cut into even parts. Larger files stay as they are.
+        Small files are taken by run, and as many neighbours as make up an even part are read
+        one after another into one file, so a file holds neighbouring runs and a run of any
+        size is cut into even parts. Rows are neither shuffled nor sorted: a task holds what
+        its writer buffers, whatever the target. Larger files stay as they are.
         """
         files = self.files()
         small = files.where(F.col("bytes") < target_bytes // 2)
@@ -86,9 +89,16 @@ class SnapshotLog:
         parts = -(-(size or 0) // target_bytes)
         if before <= parts:
             return 0
-        placed = self._open(small).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-        dealt = placed.repartitionByRange(parts, RUN, "_file", "_at").sortWithinPartitions(RUN, "_file", "_at")
-        new = self._store(dealt)
+        groups: dict[int, list[str]] = {}
+        passed = 0
+        for row in small.select("path", "bytes", "first_run", "last_run").orderBy("first_run", "last_run", "path").collect():
+            groups.setdefault((2 * passed + row["bytes"]) * parts // (2 * size), []).append(row["path"])
+            passed += row["bytes"]
+        joined, wave = [], max(self.spark.sparkContext.defaultParallelism, 1)
+        jobs = [lambda paths=paths: self._store(self._open_paths(paths).coalesce(1)) for paths in groups.values()]
+        for start in range(0, len(jobs), wave):
+            joined += [row for stored in side_by_side(jobs[start : start + wave]) for row in stored.collect()]
+        new = self.spark.createDataFrame(joined, _ENTRIES)
         self._replace(small, new, keeps_rows=True)
         return before - new.count()
 
@@ -130,10 +140,12 @@ class SnapshotLog:
         return gone
 
     def _open(self, files: DataFrame) -> DataFrame:
-        paths = [f"{self.root}/data/{row['path']}" for row in files.select("path").collect()]
+        return self._open_paths([row["path"] for row in files.select("path").collect()])
+
+    def _open_paths(self, paths: Sequence[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/data/{path}" for path in paths])
 
     def _store(self, rows: DataFrame) -> DataFrame:
         """Write rows to a folder of their own; the entries of its files."""

@@ -2,7 +2,7 @@ from pathlib import Path
 
 import pytest
 
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F, types as T
 from stratamart.sources.snapshots import SnapshotLog
 
@@ -82,6 +82,15 @@ def test_the_hot_run_lies_in_several_files(spark, tmp_path):
     assert len(held) == parts and sum(held) == 3000 and max(held) < 1500
 
 
+def test_compaction_neither_shuffles_nor_sorts_rows(spark, log, monkeypatch):
+    plans, store = [], SnapshotLog._store
+    monkeypatch.setattr(SnapshotLog, "_store", lambda self, rows: (plans.append(plan(rows)), store(self, rows))[1])
+    assert log.compact(bytes_of(log) // 2) > 0
+    assert plans and not [p for p in plans if "Exchange" in p or "Sort" in p]
+    first, last = zip(*rows(log.files().select("first_run", "last_run"), "first_run"))
+    assert list(last) == sorted(last) and counts(log.read()) == ALL
+
+
 def test_runs_are_read_from_their_files_only(log):
     found = log.read(since="r1", until="r2")
     assert counts(found) == {"r1": 100, "r2": 100}
