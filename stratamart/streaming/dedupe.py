@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -98,23 +99,28 @@ class Deduplicated:
         rows, count = pin(rows, "stream-rows")
         if not count:
             return rows
-        asked, n = pin(rows.select(*self.keys, self.event_time), "stream-asked")
+        asked = rows.select(*self.keys, self.event_time)
         reach = F.expr(f"INTERVAL '{self.delay}'")
         at = F.col(self.event_time)
         edges = asked.select(F.explode(F.array(self._day(at - reach), self._day(at), self._day(at + reach))).alias("day"))
         days = [row["day"] for row in edges.distinct().collect()]
-        around = asked.select(*self.keys, at.alias("_at"))
-        if n <= BROADCAST_ROWS and stored_bytes(asked) <= BROADCAST_BYTES:
-            around = F.broadcast(around)
-        for table in tables:
-            held = self.read(table, before=batch_id)
-            between = held.where(F.col("_day").between(min(days), max(days))) if len(days) > MOST_DAYS else held.where(F.col("_day").isin(days))
-            own = between.select(*[F.col(k).alias(f"_{k}") for k in self.keys], at.alias("_own"))
-            same = [F.col(f"_{k}") == F.col(k) for k in self.keys]
-            near = F.col("_own").eqNullSafe(F.col("_at")) | F.col("_own").between(F.col("_at") - reach, F.col("_at") + reach)
-            seen = own.join(around, [*same, near]).select(*[f"_{k}" for k in self.keys], F.col("_at").alias("_own")).distinct()
-            rows = rows.join(seen, [*same, F.col("_own").eqNullSafe(at)], "left_anti")
-        return rows
+        own = reduce(DataFrame.unionByName, [self._held(table, batch_id, days) for table in tables])
+        same = [F.col(f"_{k}") == F.col(k) for k in self.keys]
+
+        def near(moment: Column) -> Column:
+            return F.col("_own").eqNullSafe(moment) | F.col("_own").between(moment - reach, moment + reach)
+
+        if count > BROADCAST_ROWS or stored_bytes(asked) > BROADCAST_BYTES:
+            return rows.join(own, [*same, near(at)], "left_anti")  # rows and held keys meet in one shuffle
+        around = F.broadcast(asked.select(*self.keys, at.alias("_at")))
+        seen = own.join(around, [*same, near(F.col("_at"))]).select(*[f"_{k}" for k in self.keys], F.col("_at").alias("_own")).distinct()
+        return rows.join(seen, [*same, F.col("_own").eqNullSafe(at)], "left_anti")
+
+    def _held(self, table: str, batch_id: int, days: Sequence[date]) -> DataFrame:
+        """Keys and event times of a table's earlier batches, of some days."""
+        held = self.read(table, before=batch_id)
+        between = held.where(F.col("_day").between(min(days), max(days))) if len(days) > MOST_DAYS else held.where(F.col("_day").isin(days))
+        return between.select(*[F.col(k).alias(f"_{k}") for k in self.keys], F.col(self.event_time).alias("_own"))
 
     def _day(self, moment: Column) -> Column:
         """The folder of a moment; rows without one have a day of their own."""

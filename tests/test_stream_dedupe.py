@@ -6,6 +6,7 @@ import pytest
 
 from conftest import rows
 from pyspark.sql import types as T
+from stratamart.streaming import dedupe
 from stratamart.streaming.dedupe import Deduplicated
 from stratamart.streaming.ingest import landed_stream
 
@@ -60,6 +61,20 @@ def test_repeats_go_and_late_rows_are_kept_apart(spark, ingest):
     assert table.rows().count() == 7
 
 
+def test_many_rows_are_looked_up_in_one_join(ingest, monkeypatch):
+    """Beyond the bound of a broadcast, in the log and the late rows together; nothing more is written for it."""
+    written, pin = [], dedupe.pin
+    monkeypatch.setattr(dedupe, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(dedupe, "pin", lambda df, purpose: (written.append(purpose), pin(df, purpose))[1])
+    table, land, take = ingest
+    land((1, at(hours=0), "a"), (2, at(hours=9), "b"), (3, None, "c"))
+    land((4, at(hours=2), "d"), (1, at(hours=1), "repeat"), (3, None, "repeat"))
+    land((4, at(hours=3), "repeat"), (5, at(hours=1), "late"), (2, at(hours=9), "repeat"), (1, at(hours=4), "late, no repeat"))
+    take()
+    assert ids(table.read("log")) == [1, 2, 4] and ids(table.read("late")) == [1, 3, 5]
+    assert set(written) == {"stream-batch", "stream-rows"}
+
+
 def test_rows_without_key_or_time(ingest):
     table, land, take = ingest
     land((None, at(hours=0), "x"), (None, at(hours=0), "x"), (1, None, "y"), (2, at(hours=0), "z"))
