@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from stratamart.constants import LAYERS
 
 
+# Paths of files, long and few. Parquet compares every value of a column byte by byte with the least
+# and greatest one, which for these takes longer than all else of a row, and nothing filters by them.
+_PATHS = ("_source_file", "_raw_source_file")
+_OPTIONS = {f"parquet.column.statistics.enabled#{column}": "false" for column in _PATHS}
+
+
 def _quoted(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -52,7 +58,7 @@ class LayerStore:
     def write(self, df: DataFrame, layer: str, table: str, run_id: str) -> int:
         """Replace a table's content; returns its rows, counted by the write."""
         counter, path = Observation(), self.path(layer, table, run_id)
-        df.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        df.observe(counter, F.count(F.lit(1)).alias("rows")).write.options(**_OPTIONS).mode("overwrite").parquet(path)
         self._point(layer, table, path, df.schema)
         return counter.get["rows"]
 
@@ -77,8 +83,9 @@ class LayerStore:
         replaced = self.exists(layer, table) and not self._is_log(layer, table)
         path = self._new_log(layer, table) if replaced else self._log(layer, table)
         if replaced:
-            self.read(layer, table).write.parquet(f"{path}/_run=initial")
-        df.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{path}/_run={run_id}")
+            self.read(layer, table).write.options(**_OPTIONS).parquet(f"{path}/_run=initial")
+        counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
+        counted.write.options(**_OPTIONS).mode("overwrite").parquet(f"{path}/_run={run_id}")
         if replaced:
             self.spark.sql(f"DROP TABLE {self.name(layer, table)}")
         if not self.exists(layer, table):

@@ -2,7 +2,9 @@ import gzip
 import json
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -353,3 +355,26 @@ def test_log_drops_repeats_across_batches(spark, tmp_path):
 
 def test_shared_dir_needs_the_setting_on_a_cluster(spark, conf):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_paths_of_files_are_written_without_bounds(spark, store):
+    """Parquet keeps the least and greatest value of every column but the paths, which it would compare in full for each row."""
+    df = spark.range(3).select("id", F.concat(F.lit("file:/landing/part-"), "id").alias("_source_file"))
+    staged = df.withColumnRenamed("_source_file", "_raw_source_file")
+    store.write(df, "raw", "written", "r1")
+    store.write(staged, "staging", "written", "r1")
+    store.write(df, "raw", "added", "r1")
+    store.append_run(df, "raw", "added", "r2")
+    for layer, table, path, copies in (
+        ("raw", "written", "_source_file", 1), ("staging", "written", "_raw_source_file", 1), ("raw", "added", "_source_file", 2)
+    ):
+        assert sorted(rows(store.read(layer, table).select("id", path))) == sorted(rows(df) * copies)
+        folder = Path(store.location(layer, table).removeprefix("file:"))
+        bounds = set()
+        for file in folder.rglob("*.parquet"):
+            footer = pq.ParquetFile(file).metadata
+            for group in range(footer.num_row_groups):
+                for i in range(footer.num_columns):
+                    column = footer.row_group(group).column(i)
+                    bounds.add((column.path_in_schema, bool(column.statistics and column.statistics.has_min_max)))
+        assert bounds == {("id", True), (path, False)}
