@@ -28,16 +28,21 @@ def flatten_fx_payload(payloads: DataFrame, json_col: str, keep: tuple[str, ...]
     body = F.col("_body")
     base = F.coalesce(F.nullif(body["source"], F.lit("")), body["base"], F.lit(BASE_CURRENCY))
     day = F.coalesce(F.nullif(body["date"], F.lit("")).cast("date"), utc_date(body["timestamp"]))
-    published = F.when(F.size(body["quotes"]) > 0, body["quotes"]).when(F.size(body["rates"]) > 0, body["rates"])
-    if on_empty == "fail":
-        published = published.otherwise(F.raise_error(F.lit("fx payload has no rates")))
-    quotes = payloads.select(*keep, F.from_json(json_col, _PAYLOAD, {"mode": "FAILFAST"}).alias("_body")).select(
+    any_rates = (F.size(body["quotes"]) > 0) | (F.size(body["rates"]) > 0)
+    # What the quotes of a payload share is read before the explode, which then copies that to each, not the
+    # payload. The date of a payload without any quote is not looked at: it need not be one.
+    shared = payloads.select(*keep, F.from_json(json_col, _PAYLOAD, {"mode": "FAILFAST"}).alias("_body")).select(
         *keep,
         base.alias("base"),
-        day.alias("rate_date"),
+        F.when(any_rates, day).alias("rate_date"),
         (F.size(body["quotes"]) > 0).alias("_prefixed"),
-        F.explode(published).alias("_key", "rate"),
+        body["quotes"].alias("_quotes"),
+        body["rates"].alias("_rates"),
     )
+    published = F.when(F.size("_quotes") > 0, F.col("_quotes")).when(F.size("_rates") > 0, F.col("_rates"))
+    if on_empty == "fail":
+        published = published.otherwise(F.raise_error(F.lit("fx payload has no rates")))
+    quotes = shared.select(*keep, "base", "rate_date", "_prefixed", F.explode(published).alias("_key", "rate"))
     currency = F.when(F.col("_prefixed"), drop_prefix(F.col("_key"), F.col("base"))).otherwise(F.col("_key"))
     return quotes.select(*keep, "base", "rate_date", currency.alias("currency"), "rate")
 

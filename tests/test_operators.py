@@ -121,6 +121,21 @@ def test_malformed_fx_payload_fails(spark):
         flatten(spark, '{"source": ')
 
 
+def test_only_what_quotes_share_is_copied_to_them(spark):
+    """A payload holds all its quotes, so a copy of it for each grows by their square; it is parsed once."""
+    df = spark.createDataFrame([('{"source":"USD","date":"2024-05-01","quotes":{"USDEUR":0.9,"USDGBP":0.8}}',)], "j string")
+    steps = plan(flatten_fx_payload(df, "j"))
+    (exploded,) = [line for line in steps.splitlines() if "Generate explode" in line]
+    assert "_body" not in exploded and steps.count("from_json") == 1
+
+
+def test_date_of_a_payload_without_quotes_is_not_read(spark):
+    odd = '{"date":"soon","quotes":{},"rates":{}}'
+    assert flatten(spark, odd, '{"date":"2024-05-01","rates":{"EUR":1.0}}', on_empty="drop") == [("USD", date(2024, 5, 1), "EUR", 1.0)]
+    with pytest.raises(Exception, match="fx payload has no rates"):
+        flatten(spark, odd)
+
+
 RATES = [
     ("EUR", date(2024, 1, 1), 1.1), ("EUR", date(2024, 1, 10), 1.2), ("GBP", date(2024, 1, 5), 1.3), ("USD", None, 1.0),
 ]
