@@ -159,11 +159,12 @@ def fx_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(no_quotes, "USD").alias("base"),
         F.when(kind != "view", day.cast("string")).alias("date"),
         F.when(kind == "view", F.unix_date(day).cast("bigint") * 86_400 + 3_600).alias("timestamp"),
-        F.when(~no_quotes, quotes).when(kind == "click", F.map_filter(quotes, lambda k, v: F.lit(False))).alias("quotes"),
+        F.when(~no_quotes, quotes).when(kind == "click", F.create_map().cast("map<string,double>")).alias("quotes"),
         F.when(no_quotes, plain).alias("rates"),
     )
+    # Built inside an explode, so that it is compiled, which Spark does not do within the parsing of its text.
     return table(spark, sf_dir, "events").select(
-        F.to_json(payload).alias("payload"), F.col("ts").cast("timestamp_ntz").alias("_load_ts"), "event_id"
+        F.explode(F.array(F.to_json(payload))).alias("payload"), F.col("ts").cast("timestamp_ntz").alias("_load_ts"), "event_id"
     )
 
 

@@ -8,13 +8,14 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from conftest import rows
+from conftest import plan, rows
 from stratamart import schemas
 from stratamart.constants import LAYERS
 from stratamart.operators import quality, watermarks
+from stratamart.operators.currency import flatten_fx_payload
 from stratamart.plans import build, curated
 from stratamart.session import shared_dir
-from stratamart.sources import jdbc, landing
+from stratamart.sources import jdbc, landing, retail_feeds
 from stratamart.sources.store import LayerStore
 from stratamart.streaming import ingest
 from stratamart.workload import queries
@@ -378,3 +379,17 @@ def test_paths_of_files_are_written_without_bounds(spark, store):
                     column = footer.row_group(group).column(i)
                     bounds.add((column.path_in_schema, bool(column.statistics and column.statistics.has_min_max)))
         assert bounds == {("id", True), (path, False)}
+
+
+def test_payloads_are_built_by_compiled_code(spark, tmp_path):
+    kinds = ("view", "click", "error", "buy")
+    events = spark.createDataFrame([(n, n, kind) for n, kind in enumerate(kinds)], "event_id bigint, user_id bigint, event_type string")
+    events.withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")).write.parquet(str(tmp_path / "events.parquet"))
+    payloads = retail_feeds.fx_payloads(spark, str(tmp_path))
+    flat = plan(flatten_fx_payload(payloads, "payload"))
+    assert not [line for line in flat.splitlines() if "to_json" in line.lower() or "StructsToJson" in line if "*(" not in line]
+    read = {r.event_id: json.loads(r.payload) for r in payloads.collect()}
+    assert (read[0]["source"], read[0]["timestamp"], sorted(read[0]["quotes"])) == ("USD", 788922000, ["USDEUR", "USDGBP", "USDINR", "USDJPY"])
+    assert (read[1]["source"], read[1]["quotes"], sorted(read[1]["rates"])) == ("", {}, ["eur", "gbp", "inr", "jpy"])
+    assert "quotes" not in read[2] and read[2]["date"] == "1995-01-03"
+    assert "rates" not in read[3] and read[3]["quotes"]["USDEUR"] == 0.8114
