@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,32 +12,45 @@ from stratamart.operators.lookups import pin
 FOREST_NODES = 500_000
 
 
-def spanning(batches: Iterator[Columns]) -> Iterator[Columns]:
-    """Replace a partition's edges by edges to the least node of each of its components.
+class Forest:
+    """Links added so far as links to the least node of each component."""
 
-    Starts anew when many nodes have been seen, so memory is bounded.
-    """
-    parent: dict[int, int] = {}
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
 
-    def find(x: int) -> int:
+    def __len__(self) -> int:
+        return len(self.parent)
+
+    def _find(self, x: int) -> int:
+        parent = self.parent
         while (p := parent.setdefault(x, x)) != x:
             parent[x] = parent[p]
             x = parent[x]
         return x
 
-    def out() -> Columns:
-        pairs = [(x, r) for x in list(parent) if (r := find(x)) != x]
+    def add(self, ones: Iterable[int], others: Iterable[int]) -> None:
+        for a, b in zip(ones, others):
+            a, b = self._find(a), self._find(b)
+            if a != b:
+                self.parent[max(a, b)] = min(a, b)
+
+    def links(self) -> Columns:
+        pairs = [(x, r) for x in list(self.parent) if (r := self._find(x)) != x]
         return {"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]}
 
+
+def spanning(batches: Iterator[Columns]) -> Iterator[Columns]:
+    """Replace a partition's edges by edges to the least node of each of its components.
+
+    Starts anew when many nodes have been seen, so memory is bounded.
+    """
+    forest = Forest()
     for batch in batches:
-        for a, b in zip(batch["a"], batch["b"]):
-            a, b = find(a), find(b)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-        if len(parent) >= FOREST_NODES:
-            yield out()
-            parent = {}
-    yield out()
+        forest.add(batch["a"], batch["b"])
+        if len(forest) >= FOREST_NODES:
+            yield forest.links()
+            forest = Forest()
+    yield forest.links()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -5,7 +5,10 @@ can only reach similarity a/b if at most H = (b-a)(|x|+|y|)/(a+b) shingles diffe
 Sizes fall into bands. Within a band the universe is hashed into segments, and by the
 pigeonhole principle two similar sets agree on some segment if there are more than H:
 
-* Large bands index each segment's content (one unit per non-empty segment).
+* Large bands index each segment's content (one unit per non-empty segment). They have
+  more segments than need be, and a set leaves out as many keys as it has units to
+  spare, those of the fewest shingles first, of which chance makes the most meet. Of two
+  similar sets' common keys both keep the last one in that order.
 * Small bands, whose sets would leave many segments empty, use fewer segments and
   index each content and all contents with one shingle left out (two units for a
   segment of two shingles or more, since it then also finds one that differs by one).
@@ -15,11 +18,13 @@ pigeonhole principle two similar sets agree on some segment if there are more th
   order. Of two similar sets, the one that needs fewer steps finds the other, which
   has taken those steps too. So the allocation follows cost and loses no pair.
 
-Sets that meet in a bucket are linked to one of its classes, not to each other.
-The components of those candidate links are looked at in blocks of bounded size, twice.
-First by parity sketches of about one bit a shingle, which two similar sets can differ
-in by at most H bits: that parts what only shared passages held together. Then the
-components left are verified exactly from the texts. In both, pairs already connected
+Sets that meet in a small bucket are pairs, if their sizes allow it, and are compared by
+parity sketches of about one bit a shingle, which two similar sets can differ in by at
+most H bits. Sets that meet in a large bucket are linked to one of its classes, not to
+each other; the components of those links are looked at in blocks of bounded size by
+the same sketches. A few words that chance repeats thus cost pairs and join no components,
+which would grow together as the corpus does. What sketches leave possible is joined
+to components, which are verified exactly from the texts. In blocks, pairs already connected
 are skipped and only links that connect leave a task. A very large component is cut
 into cells by size and hash, and pairs of cells that may hold similar sizes are tasks
 of their own.
@@ -32,15 +37,16 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from stratamart.llm.common import Columns, map_columns, map_groups, maybe_in, mix, shingle_set, small_batches
-from stratamart.llm.components import connected_components, spanning
+from stratamart.llm.common import Columns, distinct, map_columns, map_groups, maybe_in, mix, shingle_set, small_batches
+from stratamart.llm.components import FOREST_NODES, Forest, connected_components
 from stratamart.operators.lookups import pin
 
 SHINGLE = 5
 SIMILAR = (3, 4)  # 0.75, as a fraction
-# Common shingles: in so many documents of one stretch of a task's input, the most
-# frequent so many. Only costs depend on them.
-COMMON_DOCS = 4
+# Common shingles: in so many documents of one stretch of a task's input, and in so many
+# of all stretches that have them so often; the most frequent so many. Only costs depend on them.
+COMMON_DOCS = 2
+COMMON_TOTAL = 16
 COMMON_MOST = 262_144
 STRETCH_SHINGLES = 2_000_000
 SMALL_BAND = 63
@@ -48,18 +54,23 @@ FLUSH_KEYS = 500_000
 KEYS_PER_PART = 1_500_000
 PARTS_PER_TASK = 8
 SETTLE_KEYS = 500_000
+BUCKET_PAIRED = 16  # classes of a bucket that are paired with each other
+PAIRS_HELD = 500_000
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 2_000_000
 _CELL_RATIO = 1.15
+_CODE_RATIO = 1.05
+_CODE_REACH = 7  # size codes further apart than this cannot be similar
 _KEY_BYTES = 6
 
 _U = np.uint64
 
 
 def _class_of(shingles: np.ndarray) -> int:
-    """64-bit hash of a whole set."""
-    content = int(mix(shingles ^ _U(0x51ED270B)).sum(dtype=_U)) + len(shingles) * 0x9E3779B97F4A7C15
-    return int(mix(_U(content % (1 << 64))).view(np.int64)[0])
+    """56-bit hash of a whole set, and a code of its size in the last byte."""
+    content = int(shingles.sum(dtype=_U)) + len(shingles) * 0x9E3779B97F4A7C15
+    code = min(255, int(np.log(max(len(shingles), 1)) / np.log(_CODE_RATIO)))
+    return int(mix(_U(content % (1 << 64))).view(np.int64)[0]) & ~255 | code
 
 
 def _least_distance(n: int, m: int) -> int:
@@ -67,32 +78,41 @@ def _least_distance(n: int, m: int) -> int:
     return (b - a) * (n + m) // (a + b)
 
 
-def _segments(tokens: np.ndarray, m: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of the non-empty segments, their content sums and sizes, and the segment of each token."""
+def _segments(tokens: np.ndarray, m: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the non-empty segments, their content sums and sizes, and of each token its segment and what it adds."""
     mixed = mix(tokens + _U(salt))
     segment = (mixed % _U(m)).astype(np.int64)
     sums = np.zeros(m, _U)
-    np.add.at(sums, segment, mix(mixed))
+    np.add.at(sums, segment, mixed)
     sizes = np.bincount(segment, minlength=m)
     held = np.flatnonzero(sizes)
-    return held, sums[held], sizes[held], segment
+    return held, sums[held], sizes[held], segment, mixed
 
 
 def _label(instance: int, step: int, segment: np.ndarray, sums: np.ndarray) -> np.ndarray:
     return mix(sums + mix(segment.astype(_U) + _U(instance << 40) + _U(step << 32)))
 
 
-def _keys_of(tokens: np.ndarray, m: int, instance: int, step: int, deletions: bool) -> tuple[list[np.ndarray], int]:
-    """Index keys of one hashing of some tokens into m segments, and the units they give."""
+def _keys_of(
+    tokens: np.ndarray, m: int, instance: int, step: int, deletions: bool, need: int | None = None
+) -> tuple[list[np.ndarray], int]:
+    """Index keys of one hashing of some tokens into m segments, and the units they give.
+
+    Of more units than ``need``, if given, the weakest keys are left out. The order is one
+    of keys, so that what two sets have in common comes in the same order in both.
+    """
     if not len(tokens):
         return [], 0
-    held, sums, sizes, segment = _segments(tokens, m, 1 + step)
+    held, sums, sizes, segment, added = _segments(tokens, m, 1 + step)
     keys = [_label(instance, step, held, sums)]
     if not deletions:
+        if need is not None and len(held) > need:
+            order = np.lexsort((keys[0], np.minimum(sizes, 3)))
+            return [keys[0][order[len(held) - need :]]], need
         return keys, len(held)
     of = np.searchsorted(held, segment)
     more = sizes[of] > 1  # what is left is not empty
-    left = sums[of] - mix(mix(tokens + _U(1 + step)))
+    left = sums[of] - added
     keys.append(_label(instance, step, segment[more], left[more]))
     return keys, int(np.minimum(sizes, 2).sum())
 
@@ -117,8 +137,9 @@ def index_keys(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
         need = _least_distance(n, min(top, largest)) + 1
         units_wanted = _least_distance(top, top) + 1
         small = top <= SMALL_BAND
-        m = -(-units_wanted * 3 // 5) if small else -(-units_wanted * 23 // 20)
-        keys, units = _keys_of(rare, m, instance, 0, small)
+        m = -(-units_wanted * 3 // 5) if small else -(-units_wanted * 29 // 20)
+        # Only a set that needs no further step leaves out keys; one that does is found by all of them.
+        keys, units = _keys_of(rare, m, instance, 0, small, need)
         found += keys
         if units < need:
             keys, more = _keys_of(usual, max(1, m // 4), instance, 1, small)
@@ -131,40 +152,41 @@ def index_keys(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
         if units < need:
             prefix = np.sort(mix(shingles))[: n - -(-n * a // b) + 1]
             found.append(_label(instance, 4, np.zeros(len(prefix), np.int64), prefix))
-    return np.unique(np.concatenate(found))
+    return distinct(np.concatenate(found))
 
 
 def _class_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
-    for b in batches:
-        out: Columns = {"doc_id": b["doc_id"], "text_key": b["text_key"], "n": [], "c": [], "sketch": []}
-        for text in b["text"]:
-            s = shingle_set(text, SHINGLE)
-            out["n"].append(len(s))
-            out["c"].append(_class_of(s) if len(s) else None)
-            out["sketch"].append(_sketch(s).tobytes() if len(s) else None)
-        yield out
-
+    """A row for each text, and rows of shingles that several sets of a stretch share, with their counts."""
+    sets: dict[int, np.ndarray] = {}
+    held = 0
 
-def _common_rows(batches: Iterator[Columns]) -> Iterator[Columns]:
-    """Shingles that several documents of a stretch share, with their counts."""
+    def blank(rows: int) -> list[None]:
+        return [None] * rows
 
-    def counted(sets: list[np.ndarray]) -> Columns:
-        values, counts = np.unique(np.concatenate([*sets, np.zeros(0, _U)]), return_counts=True)
+    def counted() -> Columns:
+        values, counts = np.unique(np.concatenate([*sets.values(), np.zeros(0, _U)]), return_counts=True)
         often = counts >= COMMON_DOCS
-        return {"s": values[often].view(np.int64), "n": counts[often]}
+        rows = int(often.sum())
+        own = {"s": values[often].view(np.int64), "often": counts[often]}
+        return {**{name: blank(rows) for name in ("doc_id", "text_key", "n", "c", "sketch")}, **own}
 
-    sets: dict[int, np.ndarray] = {}
-    held = 0
     for b in batches:
+        rows = len(b["text"])
+        out: Columns = {"doc_id": b["doc_id"], "text_key": b["text_key"], "n": [], "c": [], "sketch": [], "s": blank(rows), "often": blank(rows)}
         for text in b["text"]:
             s = shingle_set(text, SHINGLE)
-            if len(s) and (c := _class_of(s)) not in sets:
+            c = _class_of(s) if len(s) else None
+            out["n"].append(len(s))
+            out["c"].append(c)
+            out["sketch"].append(_sketch(s).tobytes() if len(s) else None)
+            if c is not None and c not in sets:
                 sets[c] = s
                 held += len(s)
             if held >= STRETCH_SHINGLES:
-                yield counted(list(sets.values()))
+                yield counted()
                 sets, held = {}, 0
-    yield counted(list(sets.values()))
+        yield out
+    yield counted()
 
 
 def _key_rows(common: np.ndarray, parts: int):
@@ -216,53 +238,90 @@ def _key_rows(common: np.ndarray, parts: int):
     return run
 
 
-def _bucket_links(batches: Iterator[Columns]) -> Iterator[Columns]:
-    """Links from the classes of a bucket to one of them; part after part, holding one class per key of a part.
+def _pairs_of(keys: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Pairs of different classes that stand under the same key, both sorted, and whose sizes may be similar."""
+    found = [np.zeros((0, 2), np.int64)]
+    code = classes & 255
+    for step in range(1, len(keys)):
+        same = keys[step:] == keys[:-step]
+        if not same.any():
+            break
+        near = np.flatnonzero(same & (np.abs(code[step:] - code[:-step]) <= _CODE_REACH))
+        found.append(np.stack([classes[near + step], classes[near]], 1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _candidates(batches: Iterator[Columns]) -> Iterator[Columns]:
+    """Pairs of the classes of small buckets, and links (``large``) of those of large ones that connect.
 
-    Keys are settled some at a time: only those are sorted, and new ones go to their
-    places among the known.
+    Goes through part after part. Keys are settled some at a time: a large bucket's classes are linked
+    to its least, and a few are kept to tell that it is large.
     """
-    known = np.zeros(0, _U)
-    one = np.zeros(0, np.int64)
+    keys, classes = np.zeros(0, _U), np.zeros(0, np.int64)
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    pairs: list[np.ndarray] = []
+    forest = Forest()
     held, part = 0, None
 
-    def settle() -> Columns:
-        nonlocal known, one, waiting, held
-        k, c = (np.concatenate(w) for w in zip(*waiting))
+    def settle() -> None:
+        nonlocal keys, classes, waiting, held
+        k, c = (np.concatenate(w) for w in zip((keys, classes), *waiting))
         order = np.lexsort((c, k))
         k, c = k[order], c[order]
-        new = np.r_[True, k[1:] != k[:-1]]
-        keys, first = k[new], c[new]
-        at = np.searchsorted(known, keys)
-        seen = at < len(known)
-        seen[seen] = known[at[seen]] == keys[seen]
-        first[seen] = one[at[seen]]
-        to = first[np.cumsum(new) - 1]
-        links = np.unique(np.stack([c, to], 1)[c != to], axis=0)
-        known = np.insert(known, at[~seen], keys[~seen])
-        one = np.insert(one, at[~seen], first[~seen])
+        once = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
+        k, c = k[once], c[once]
+        start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        sizes = np.diff(np.r_[start, len(k)])
+        to = np.repeat(c[start], sizes)
+        links = np.stack([c, to], 1)[np.repeat(sizes > BUCKET_PAIRED, sizes) & (c != to)]
+        forest.add(*np.unique(links, axis=0).T.tolist())
+        kept = np.arange(len(k)) - np.repeat(start, sizes) <= BUCKET_PAIRED
+        keys, classes = k[kept], c[kept]
         waiting, held = [], 0
-        return {"a": links[:, 0].tolist(), "b": links[:, 1].tolist()}
+
+    def close() -> None:
+        """Pair what is left in small buckets of the part that ends."""
+        nonlocal keys, classes
+        start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        sizes = np.diff(np.r_[start, len(keys)])
+        few = np.repeat((sizes > 1) & (sizes <= BUCKET_PAIRED), sizes)
+        pairs.append(_pairs_of(keys[few], classes[few]))
+        keys, classes = keys[:0], classes[:0]
+
+    def out(least_pairs: int = 1, least_nodes: int = 1) -> Iterator[Columns]:
+        nonlocal pairs, forest
+        if sum(map(len, pairs)) >= least_pairs:
+            found = np.unique(np.concatenate(pairs), axis=0)
+            yield {"a": found[:, 0], "b": found[:, 1], "large": np.zeros(len(found), bool)}
+            pairs = []
+        if len(forest) >= least_nodes:
+            links = forest.links()
+            yield {**links, "large": np.ones(len(links["a"]), bool)}
+            forest = Forest()
 
     for b in batches:
-        for p, keys, numbers, classes in zip(b["p"], b["keys"], b["numbers"], b["classes"]):
+        for p, packed, numbers, own in zip(b["p"], b["keys"], b["numbers"], b["classes"]):
             if p != part:
                 if waiting:
-                    yield settle()
-                known, one, part = known[:0], one[:0], p
-            n = len(keys) // _KEY_BYTES
+                    settle()
+                close()
+                part = p
+                yield from out(PAIRS_HELD, FOREST_NODES)
+            n = len(packed) // _KEY_BYTES
             k = np.zeros((n, 8), np.uint8)
-            k[:, :_KEY_BYTES] = np.frombuffer(keys, np.uint8).reshape(n, _KEY_BYTES)
-            own = np.frombuffer(classes, np.int64)
+            k[:, :_KEY_BYTES] = np.frombuffer(packed, np.uint8).reshape(n, _KEY_BYTES)
+            c = np.frombuffer(own, np.int64)
             if numbers is not None:
-                own = own[np.frombuffer(numbers, np.uint16 if len(numbers) == 2 * n else np.uint32)]
-            waiting.append((k.view(_U)[:, 0], own))
+                c = c[np.frombuffer(numbers, np.uint16 if len(numbers) == 2 * n else np.uint32)]
+            waiting.append((k.view(_U)[:, 0], c))
             held += n
             if held >= SETTLE_KEYS:
-                yield settle()
+                settle()
+                yield from out(PAIRS_HELD, FOREST_NODES)
     if waiting:
-        yield settle()
+        settle()
+    close()
+    yield from out()
 
 
 def _sketch(shingles: np.ndarray) -> np.ndarray:
@@ -338,6 +397,25 @@ def _sieve(c: Columns) -> Columns:
     return {"a": [x for x, _ in links], "b": [y for _, y in links]}
 
 
+def _differing(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, folded to the shorter one."""
+    if len(x) < len(y):
+        x, y = y, x
+    size, folded = len(x), int.from_bytes(x, "little")
+    while size > len(y):
+        size //= 2
+        folded = (folded >> 8 * size) ^ (folded & (1 << 8 * size) - 1)
+    return (folded ^ int.from_bytes(y, "little")).bit_count()
+
+
+def _near_pairs(batches: Iterator[Columns]) -> Iterator[Columns]:
+    """Pairs that their sketches leave possible."""
+    for b in batches:
+        rows = zip(b["a"], b["b"], b["n1"], b["n2"], b["sketch1"], b["sketch2"])
+        near = [(x, y) for x, y, n, m, one, two in rows if _differing(one, two) <= _least_distance(n, m)]
+        yield {"a": [x for x, _ in near], "b": [y for _, y in near]}
+
+
 def _verify(c: Columns) -> Columns:
     links = verify_block(c["c"], c["text"], c["side"])
     return {"a": [x for x, _ in links], "b": [y for _, y in links]}
@@ -376,13 +454,13 @@ def _id(name: str):
     return F.coalesce(F.col(name), F.lit(-(1 << 63)).cast("long"))
 
 
-def _common_shingles(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the most frequent shingles, at most ``COMMON_MOST``.
+def _common_shingles(found: DataFrame) -> np.ndarray:
+    """Sorted hashes of the most frequent shingles, at most ``COMMON_MOST``, of the counts of all stretches.
 
-    A histogram of their counts, of some hundred rows, gives the count from which on they
+    A histogram of their sums, of some hundred rows, gives the sum from which on they
     are few enough, so no more than are wanted reach the driver.
     """
-    counts = map_columns(docs, _common_rows, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    counts = found.groupBy("s").agg(F.sum("often").alias("n")).where(F.col("n") >= COMMON_TOTAL)
     counts, _ = pin(counts.withColumn("size", F.floor(8 * F.log2("n")).cast("int")), "jaccard-common")
     total, least, share = 0, 0, 1.0
     for size, n in sorted(counts.groupBy("size").count().collect(), reverse=True):
@@ -412,8 +490,9 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     docs = docs.select("doc_id", "text")
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
-    members, _ = pin(map_columns(keyed, _class_rows, "doc_id long, text_key long, n long, c long, sketch binary"), "jaccard-classes")
-    common = _common_shingles(docs)
+    told, _ = pin(map_columns(keyed, _class_rows, "doc_id long, text_key long, n long, c long, sketch binary, s long, often long"), "jaccard-classes")
+    members = told.where("n IS NOT NULL").drop("s", "often")
+    common = _common_shingles(told.where("s IS NOT NULL"))
 
     shingles = members.agg(F.sum("n")).first()[0] or 0
     parts = max(8, -(-shingles // KEYS_PER_PART))  # a set has about as many keys as shingles
@@ -422,14 +501,20 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     # By the number itself, so tasks are even. Sets that share many keys meet in many parts; a task keeps
     # a link that connects, and drops those that repeat it.
     dealt = keys.repartitionById(tasks, (F.col("p") % tasks).cast("int")).sortWithinPartitions("p")
-    candidates = map_columns(dealt, lambda batches: spanning(_bucket_links(batches)), "a long, b long")
-    held, _ = pin(connected_components(candidates), "jaccard-candidates")
+    candidates, _ = pin(map_columns(dealt, _candidates, "a long, b long, large boolean"), "jaccard-candidates")
+    pairs, _ = pin(candidates.where("NOT large").select("a", "b").distinct(), "jaccard-pairs")
+    held = connected_components(candidates.where("large")).select(F.col("node").alias("c"), "root")
+    held = held.unionByName(pairs.select(F.explode(F.array("a", "b")).alias("c"), F.lit(None).cast("long").alias("root")))
     # The least (id, text) of a class; null ids last.
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     classes = members.where("n > 0").groupBy("c").agg(F.min(place).alias("place"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    sketched, _ = pin(held.select(F.col("node").alias("c"), "root").join(classes, "c"), "jaccard-sketches")
-    dealt, _ = pin(_blocks(sketched.drop("place")), "jaccard-sieve")
+    sketched, _ = pin(held.groupBy("c").agg(F.max("root").alias("root")).join(classes, "c"), "jaccard-sketches")
+    dealt, _ = pin(_blocks(sketched.where("root IS NOT NULL").drop("place")), "jaccard-sieve")
     sieved = map_groups(dealt.groupBy("block"), _sieve, "a long, b long")
+    one, two = (sketched.select(F.col("c").alias(end), F.col("n").alias(f"n{i}"), F.col("sketch").alias(f"sketch{i}")) for i, end in ((1, "a"), (2, "b")))
+    least, most = F.least("n1", "n2"), F.greatest("n1", "n2")
+    compared = pairs.join(one, "a").join(two, "b").where(SIMILAR[1] * least >= SIMILAR[0] * most)
+    sieved = sieved.unionByName(map_columns(compared, _near_pairs, "a long, b long"))
     clusters = connected_components(sieved).select(F.col("node").alias("c"), "root")
 
     blocks = _blocks(clusters.join(sketched.drop("root", "sketch"), "c"))

@@ -58,6 +58,50 @@ def test_small_blocks_and_cells_give_the_same(spark, monkeypatch):
     assert joined(spark, docs) == sorted(brute.jaccard_components(docs), key=str)
 
 
+@pytest.mark.parametrize("paired", [1, 2, 100])
+def test_pairs_of_buckets_and_links_of_large_ones_give_the_same(spark, monkeypatch, paired):
+    docs = near_copies(12)
+    for name, value in {"BUCKET_PAIRED": paired, "PAIRS_HELD": 5, "FOREST_NODES": 5, "SETTLE_KEYS": 15, "KEYS_PER_PART": 300, "COMMON_DOCS": 2, "COMMON_TOTAL": 2}.items():
+        monkeypatch.setattr(jj, name, value)
+    assert joined(spark, docs) == sorted(brute.jaccard_components(docs), key=str)
+
+
+def test_words_repeated_by_chance_join_no_blocks(spark, monkeypatch):
+    """Texts that share eight words with each of some 14 others, elsewhere with each; two are near copies."""
+    rng = random.Random(4)
+    texts = [[f"own{i}x{j}" for j in range(10)] for i in range(500)]
+    for i in range(500):
+        for j in rng.sample(range(500), 7):
+            passage = [f"both{rng.randrange(10**9)}" for _ in range(8)]
+            texts[i] += [*passage, f"a{i}x{j}"]
+            texts[j] += [*passage, f"b{j}x{i}"]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs.append((1000, docs[3][1] + " and more"))
+    written = {}
+    real = jj.pin
+
+    def pin(df, purpose):
+        out, rows = real(df, purpose)
+        written[purpose] = rows
+        return out, rows
+
+    monkeypatch.setattr(jj, "BLOCK_SETS", 10)
+    monkeypatch.setattr(jj, "pin", pin)
+    found = {d: c for d, _, c in joined(spark, docs)}
+    assert found == {d: 3 if d == 1000 else d for d, _ in docs}
+    assert written["jaccard-sieve"] < len(docs)
+    assert written["jaccard-blocks"] < 10
+
+
+@pytest.mark.parametrize("common_share", [0, 0.3])
+def test_a_set_keeps_no_more_keys_than_it_needs(common_share):
+    pool = mix(np.arange(5000).astype(np.uint64))
+    common = np.sort(pool[: int(common_share * len(pool))])
+    rng = np.random.default_rng(2)
+    kept = [len(jj.index_keys(np.sort(rng.choice(pool, 256, replace=False)), common)) for _ in range(50)]
+    assert max(kept) <= 256 * 2 // 3 and np.mean(kept) < 100 + 200 * common_share
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jj.similarity_components(df).count() == 0
